@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators.extract import page_link_records
 from linkloom.operators.scoring import ScoreRules
+from linkloom.session import spread
 from linkloom.sources.api import parse_api_body
 
 AS_OF = 20240624
@@ -17,9 +18,13 @@ RECHECK_FROM = "2024-01-16 00:00:00"
 RULES = ScoreRules(as_of=AS_OF, coin=("the", "de"), other=("der", "la"), fold_case=True)
 RECHECK_RULES = ScoreRules(as_of=20240124, coin=("the", "de"), other=("der", "la"), fold_case=True)
 
+# Tables whose rows carry much text work.
+TEXT_TABLES = ("documents", "pages")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
 
 
 def _day(number: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkloom.functions.binding import bind
+
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 _PUBDATE = (
@@ -14,16 +16,23 @@ _PUBDATE = (
 _STAMP = r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _timestamp(text: Column, pattern: str, breaks: str, places: tuple[int, ...]) -> Column:
+    """Wall clock from the parts of a matching text; null when it does not match."""
+
+    def build(parts: Column) -> Column:
+        year, month, *rest = [F.get(parts, F.lit(i)) for i in places]
+        number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(month))
+        month = F.coalesce(month.try_cast("int"), number.cast("int"))
+        return F.try_make_timestamp_ntz(
+            year.try_cast("int"), month, *[part.try_cast("int") for part in rest]
+        )
+
+    return bind(F.split(F.regexp_extract(text, pattern, 0), breaks), build)
 
 
 def pubdate_timestamp(text: Column) -> Column:
     """RFC-2822 text to the sender's wall clock; null when malformed."""
-    names = F.array(*[F.lit(m) for m in MONTHS])
-    month = F.array_position(names, F.lower(F.regexp_extract(text, _PUBDATE, 2))).cast("int")
-    part = lambda group: _number(text, _PUBDATE, group)
-    return F.try_make_timestamp_ntz(part(3), month, part(1), part(4), part(5), part(6))
+    return _timestamp(text, _PUBDATE, r"[\s,:]+", (3, 2, 1, 4, 5, 6))
 
 
 def pubdate_norm(text: Column) -> Column:
@@ -34,14 +43,15 @@ def pubdate_norm(text: Column) -> Column:
 def stamp_timestamp(text: Column) -> Column:
     """``yyyy-MM-dd[:] HH:mm:ss`` to a wall-clock timestamp; null when malformed."""
     plain = F.replace(text, F.lit(": "), F.lit(" "))
-    part = lambda group: _number(plain, _STAMP, group)
-    return F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5), part(6))
+    return _timestamp(plain, _STAMP, r"[-\s:]+", (0, 1, 2, 3, 4, 5))
 
 
 def date_int(text: Column) -> Column:
     """``yyyy-MM-dd[:] HH:mm:ss`` to the integer yyyymmdd."""
-    stamp = stamp_timestamp(text)
-    return (F.year(stamp) * 10000 + F.month(stamp) * 100 + F.day(stamp)).cast("int")
+    return bind(
+        F.to_date(stamp_timestamp(text)),
+        lambda day: (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("int"),
+    )
 
 
 def seoul_date(utc: Column) -> Column:

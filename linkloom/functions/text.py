@@ -12,12 +12,17 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkloom.functions.binding import bind
 from linkloom.constants import COIN_WORDS, LONG_PIECE, OTHER_WORDS, PARTICLES, WHITESPACE
 
 _HEADLINE_NOISE = (
     r"(?U)(?<![\p{L}\p{N}_])\p{Nd}+시간 전(?![\p{L}\p{N}_])|[^\p{L}\p{N}_\s\x1c-\x1f]"
 )
-_STEM_AND_PARTICLE = r"^(\p{IsHangul}{2,}?)(?:" + "|".join(PARTICLES) + r")$"
+_HANGUL = "[가-힣]"
+_STEM_AND_PARTICLE = "^(" + _HANGUL + "{2,}?)(?:" + "|".join(PARTICLES) + ")$"
+
+# Parts words in one string; a token consists of letters and never holds it.
+SEPARATOR = "\u0001"
 
 
 def strip(text: Column) -> Column:
@@ -60,63 +65,75 @@ def tokens(
     words = F.regexp_extract_all(source, F.lit(r"\p{L}{%d,}" % min_length), F.lit(0))
     if not particles:
         return words
-    return F.when(
-        F.rlike(source, F.lit(r"\p{IsHangul}")),
-        F.filter(
-            F.transform(words, lambda w: F.regexp_replace(w, _STEM_AND_PARTICLE, "$1")),
-            lambda w: F.length(w) >= min_length,
-        ),
-    ).otherwise(words)
-
-
-def _count(n: Column, first: Column, word: Column) -> Column:
-    return F.struct(
-        n.cast("int").alias("n"), first.cast("int").alias("neg_first"), word.alias("word")
+    stems = lambda ws: F.filter(
+        F.transform(ws, lambda w: F.regexp_replace(w, _STEM_AND_PARTICLE, "$1")),
+        lambda w: F.length(w) >= min_length,
     )
+    return F.when(F.rlike(text, F.lit(_HANGUL)), stems(words)).otherwise(words)
+
+
+def _runs(words: Column) -> Column:
+    """Distinct words with their counts: ``array<struct<word, n>>``.
+
+    Sorted and joined, equal words stand in runs that one pattern finds; a run's
+    length over its word's gives the count.  Work per distinct word, not per token.
+    """
+    joined = F.concat(F.array_join(F.sort_array(words), SEPARATOR), F.lit(SEPARATOR))
+    found = F.regexp_extract_all(joined, F.lit(rf"([^{SEPARATOR}]+{SEPARATOR})\1*+"), F.lit(0))
+
+    def counted(run: Column, word: Column) -> Column:
+        n = F.octet_length(run) / (F.octet_length(word) + 1)
+        return F.struct(word.alias("word"), n.cast("bigint").alias("n"))
+
+    return F.transform(found, lambda run: counted(run, F.substring_index(run, SEPARATOR, 1)))
 
 
 def top_words(words: Column, k: int = 1) -> Column:
     """The ``k`` most frequent tokens, ties to the one seen first.
 
-    Returns ``array<struct<word, n>>``.  Sorted tokens form runs; one pass over the
-    runs keeps the best ``k``, so the work is that of the sort.
+    Returns ``array<struct<word, n>>``.  Words above the k-th count are all taken; the
+    places left go to words with exactly that count, in text order, which is the order
+    ``array_intersect`` keeps.
     """
-    runs = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("i"))))
-    nothing = _count(F.lit(0), F.lit(0), F.lit(None).cast("string"))
-    if k == 1:
-        start = nothing
-        keep = lambda best, run: F.greatest(best, run)
-    else:
-        start = F.array(nothing)
-        keep = lambda best, run: F.slice(
-            F.sort_array(F.array_append(best, run), asc=False), 1, k
-        )
 
-    def step(state: Column, item: Column) -> Column:
-        run = state["run"]
-        return F.when(
-            item["word"].eqNullSafe(run["word"]),
-            F.struct(
-                state["best"].alias("best"),
-                _count(run["n"] + 1, run["neg_first"], run["word"]).alias("run"),
+    def pick(words: Column, runs: Column) -> Column:
+        counts = F.sort_array(F.transform(runs, lambda r: r["n"]), asc=False)
+        least = F.element_at(counts, F.least(F.size(counts), F.lit(k)))
+        return bind(least, lambda n: taken(words, runs, n))
+
+    def in_text_order(words: Column, runs: Column) -> Column:
+        return F.array_intersect(words, F.transform(runs, lambda r: r["word"]))
+
+    def taken(words: Column, runs: Column, least: Column) -> Column:
+        level = in_text_order(words, F.filter(runs, lambda r: r["n"] == least))
+        at_level = F.transform(level, lambda w: F.struct(w.alias("word"), least.alias("n")))
+        if k == 1:
+            return F.slice(at_level, 1, 1)
+        above = F.filter(runs, lambda r: r["n"] > least)
+        ranked = bind(
+            in_text_order(words, above),
+            lambda order: F.sort_array(
+                F.transform(
+                    above,
+                    lambda r: F.struct(
+                        (-r["n"]).alias("fewer"),
+                        F.array_position(order, r["word"]).alias("first"),
+                        r["word"].alias("word"),
+                    ),
+                )
             ),
-        ).otherwise(
-            F.struct(
-                keep(state["best"], run).alias("best"),
-                _count(F.lit(1), -item["i"], item["word"]).alias("run"),
-            )
         )
-
-    best = F.aggregate(
-        runs,
-        F.struct(start.alias("best"), nothing.alias("run")),
-        step,
-        lambda state: keep(state["best"], state["run"]),
-    )
-    ranked = F.array(best) if k == 1 else best
-    return F.transform(
-        F.filter(ranked, lambda x: x["n"] > 0),
-        lambda x: F.struct(x["word"].alias("word"), x["n"].cast("bigint").alias("n")),
+        leading = F.transform(
+            ranked, lambda r: F.struct(r["word"].alias("word"), (-r["fewer"]).alias("n"))
+        )
+        return F.slice(F.concat(leading, at_level), 1, k)
+
+    none = F.array().cast("array<struct<word:string,n:bigint>>")
+    return bind(
+        words,
+        lambda ws: F.when(
+            F.size(ws) > 0, bind(_runs(ws), lambda runs: pick(ws, runs))
+        ).otherwise(none),
     )
 
 

@@ -95,12 +95,14 @@ def page_features(pages: DataFrame, rules: ScoreRules) -> DataFrame:
 def enrich_links(links: DataFrame, pages: DataFrame, rules: ScoreRules) -> DataFrame:
     """Add content, keyword and score to links; other fields are kept.
 
-    Text work happens per page before the join, so a link collected a million times
-    repeats only the finished features.  ``pages`` is keyed by url.  The join is the
-    one shuffle; AQE splits the partition of a link that most rows share.
+    Only pages that some link names are read for text, each once, however often it
+    was collected: a link met a million times repeats only the finished features.
+    ``pages`` is keyed by url and shuffled once, both joins use that partitioning, and
+    AQE splits the partition of a link that most rows share.
     """
-    features = page_features(pages, rules).withColumnRenamed("url", "link")
-    joined = links.join(features, "link", "left").withColumns(
+    wanted = links.select(F.col("link").alias("url")).distinct()
+    features = page_features(pages.join(wanted, "url", "left_semi"), rules)
+    joined = links.join(features.withColumnRenamed("url", "link"), "link", "left").withColumns(
         {
             "content": F.coalesce("content", F.lit("")),
             "keyword": F.coalesce(
@@ -109,6 +111,4 @@ def enrich_links(links: DataFrame, pages: DataFrame, rules: ScoreRules) -> DataF
             "clean_length": F.coalesce("clean_length", F.lit(0)),
         }
     )
-    return score_links(joined, rules).select(
-        *links.columns, "content", "keyword", "score"
-    )
+    return score_links(joined, rules).select(*links.columns, "content", "keyword", "score")
