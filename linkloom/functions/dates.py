@@ -37,7 +37,7 @@ def pubdate_timestamp(text: Column) -> Column:
 
 def pubdate_norm(text: Column) -> Column:
     """RFC-2822 text to ``yyyy-MM-dd: HH:mm:ss``, offset dropped without conversion."""
-    return F.date_format(pubdate_timestamp(text), "yyyy-MM-dd: HH:mm:ss")
+    return F.replace(run_stamp(pubdate_timestamp(text)), F.lit(" "), F.lit(": "))
 
 
 def stamp_timestamp(text: Column) -> Column:
@@ -60,5 +60,9 @@ def seoul_date(utc: Column) -> Column:
 
 
 def run_stamp(ts: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp.
+
+    A cast, because ``date_format`` would first move a wall clock into the session
+    time zone, where some hours of the year do not exist.
+    """
+    return F.substring_index(ts.cast("string"), ".", 1)
