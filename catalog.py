@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 import fixtures as fx
 from linkloom.functions import dates, text, urls
 from linkloom.functions import score as S
+from linkloom.functions.binding import exploded
 from linkloom.functions.html import Selector, inner_text
 from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring
 from linkloom.plans import collection, recheck
-from linkloom.session import scratch_path
+from linkloom.session import materialize, scratch_path
 from linkloom.sources import api, csvfiles, tables
 from linkloom.streaming.collection import stream_first_collection
 from linkloom.streaming.recheck import recheck_batches, run_latest_status, version_path
@@ -363,14 +364,14 @@ def lexicon_keywords(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def top_keyword(spark: SparkSession, sf: str) -> DataFrame:
     found = keywords.top_keywords(fx.docs(spark, sf), 1, **TOKEN_RULES)
-    return found.select("doc_id", F.inline("keyword"))
+    return exploded(found, ["doc_id"], F.col("keyword")).select("doc_id", "item.word", "item.n")
 
 
 @query
 def top_k_keywords(spark: SparkSession, sf: str) -> DataFrame:
     found = keywords.top_keywords(fx.docs(spark, sf), 3, **TOKEN_RULES)
-    return found.select("doc_id", F.posexplode("keyword").alias("rank", "k")).select(
-        "doc_id", "rank", "k.word", "k.n"
+    return exploded(found, ["doc_id"], F.col("keyword"), pos="rank").select(
+        "doc_id", "rank", "item.word", "item.n"
     )
 
 
@@ -380,9 +381,7 @@ def _pieces(content: Column) -> Column:
 
 @query
 def sentence_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.docs(spark, sf).select(
-        "doc_id", F.posexplode(_pieces(F.col("content"))).alias("pos", "piece")
-    )
+    return exploded(fx.docs(spark, sf), ["doc_id"], _pieces(F.col("content")), item="piece")
 
 
 @query
@@ -556,7 +555,7 @@ CRAWL = {"max_pages": 1000, "max_depth": 2}
 
 def _crawled(spark: SparkSession, sf: str) -> DataFrame:
     start = fx.graph_seeds(spark, sf).agg(F.max("url").alias("url"))
-    return crawl.bfs_crawl(start, fx.edges(spark, sf), **CRAWL)
+    return crawl.bfs_crawl(start, materialize(fx.edges(spark, sf), "edges"), **CRAWL)
 
 
 @query
@@ -581,10 +580,9 @@ def deep_crawl(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def deep_crawl_wide(spark: SparkSession, sf: str) -> DataFrame:
-    visited = crawl.multi_seed_crawl(
+    return crawl.multi_seed_crawl(
         fx.graph_seeds(spark, sf), fx.edges(spark, sf), max_pages=36, max_depth=2
     )
-    return visited.select("seed", "url", "depth")
 
 
 @query
@@ -673,11 +671,12 @@ def first_collection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def deep_collection(spark: SparkSession, sf: str) -> DataFrame:
+    records = materialize(fx.html_records(spark, sf), "records")
     stored = collection.deep_collection(
         _pages(spark, sf),
-        fx.html_records(spark, sf),
-        fx.html_fetch_log(spark, sf),
-        fx.html_link_pages(spark, sf),
+        records,
+        fx.html_fetch_log(records),
+        fx.html_link_pages(records, _pages(spark, sf)),
         fx.RULES,
         fx.RUN_TS,
     )

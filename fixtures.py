@@ -232,24 +232,22 @@ def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def html_fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def html_fetch_log(records: DataFrame) -> DataFrame:
     """Fetches of the links found in web pages; the link's length decides the answer."""
     rest = F.length("link") % 3
-    return html_records(spark, sf_dir).select(
+    return records.select(
         F.col("link").alias("url"),
         F.when(rest == 0, 200).when(rest == 1, 404).alias("status"),
         F.lit("2024-06-24 08:30:00").cast("timestamp_ntz").alias("fetched_at"),
     )
 
 
-def html_link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def html_link_pages(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of those links: each link shows the first page that mentions it."""
-    pages = table(spark, sf_dir, "pages")
+    keyed = pages.select("page_id", F.col("url").alias("page_url"), "html")
     first = (
-        page_link_records(pages, RUN_TS, keys=("page_id",))
+        records.join(keyed.drop("html"), "page_url")
         .groupBy("link")
         .agg(F.min("page_id").alias("page_id"))
     )
-    return first.join(pages.select("page_id", "html"), "page_id").select(
-        F.col("link").alias("url"), "html"
-    )
+    return first.join(keyed, "page_id").select(F.col("link").alias("url"), "html")

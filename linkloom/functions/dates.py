@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,23 +18,43 @@ _PUBDATE = (
 _STAMP = r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
-def _timestamp(text: Column, pattern: str, breaks: str, places: tuple[int, ...]) -> Column:
-    """Wall clock from the parts of a matching text; null when it does not match."""
+def _timestamp(
+    text: Column,
+    pattern: str,
+    breaks: str,
+    places: tuple[int, ...],
+    month_number: Callable[[Column], Column],
+) -> Column:
+    """Wall clock from the parts of a matching text; null when there is no such time.
+
+    Impossible hours and days are tested for, because a failed cast or a refused
+    timestamp raises and catches an exception for each row.
+    """
 
     def build(parts: Column) -> Column:
         year, month, *rest = [F.get(parts, F.lit(i)) for i in places]
-        number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(month))
-        month = F.coalesce(month.try_cast("int"), number.cast("int"))
-        return F.try_make_timestamp_ntz(
-            year.try_cast("int"), month, *[part.try_cast("int") for part in rest]
+        number = month_number(month)
+        day, hour, minute, second = [part.try_cast("int") for part in rest]
+        possible = (
+            number.between(1, 12) & day.between(1, 31)
+            & (hour < 24) & (minute < 60) & (second < 60)
+        )
+        stamp = F.try_make_timestamp_ntz(
+            year.try_cast("int"), number, day, hour, minute, second
         )
+        return F.when(possible, stamp)
 
     return bind(F.split(F.regexp_extract(text, pattern, 0), breaks), build)
 
 
+def _month_by_name(name: Column) -> Column:
+    months = F.array(*[F.lit(m) for m in MONTHS])
+    return F.array_position(months, F.lower(name)).cast("int")
+
+
 def pubdate_timestamp(text: Column) -> Column:
     """RFC-2822 text to the sender's wall clock; null when malformed."""
-    return _timestamp(text, _PUBDATE, r"[\s,:]+", (3, 2, 1, 4, 5, 6))
+    return _timestamp(text, _PUBDATE, r"[\s,:]+", (3, 2, 1, 4, 5, 6), _month_by_name)
 
 
 def pubdate_norm(text: Column) -> Column:
@@ -43,7 +65,9 @@ def pubdate_norm(text: Column) -> Column:
 def stamp_timestamp(text: Column) -> Column:
     """``yyyy-MM-dd[:] HH:mm:ss`` to a wall-clock timestamp; null when malformed."""
     plain = F.replace(text, F.lit(": "), F.lit(" "))
-    return _timestamp(plain, _STAMP, r"[-\s:]+", (0, 1, 2, 3, 4, 5))
+    return _timestamp(
+        plain, _STAMP, r"[-\s:]+", (0, 1, 2, 3, 4, 5), lambda month: month.try_cast("int")
+    )
 
 
 def date_int(text: Column) -> Column:

@@ -33,45 +33,50 @@ def frontier_step(frontier: DataFrame, edges: DataFrame, visited: DataFrame) ->
 
 
 def _leading_edges(edges: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` links of each page.
+    """The first ``limit`` links of each page with their rank from 1: url, link, rank.
 
     Exact for a crawl of at most ``limit`` pages: a later link of the page has
     ``limit`` distinct pages queued or visited before it, so it is never visited.
     """
     order = Window.partitionBy("url").orderBy("pos")
-    return (
-        edges.withColumn("rank_", F.row_number().over(order))
-        .filter(F.col("rank_") <= limit)
-        .drop("rank_")
-    )
+    ranked = edges.select("url", "link", F.row_number().over(order).alias("rank"))
+    return ranked.filter(F.col("rank") <= limit)
 
 
-def _first_pages(level: DataFrame, counts: DataFrame, max_pages: int) -> DataFrame:
-    """The pages of a level that fit under each seed's page limit, in queue order."""
-    order = Window.partitionBy("seed").orderBy("order_key")
-    ranked = level.withColumn("rank_", F.row_number().over(order)).filter(
-        F.col("rank_") <= max_pages
+def _useful_parents(frontier: DataFrame, followed: DataFrame, max_pages: int) -> DataFrame:
+    """The frontier without pages queued behind one that fills its crawl alone.
+
+    A page with ``max_pages`` links leaves no room for the links of later pages, so
+    crawls through hubs follow one hub and not the product of all.
+    """
+    full = followed.filter(F.col("rank") == max_pages).select("url", F.lit(True).alias("full"))
+    last = (
+        frontier.join(full, "url")
+        .groupBy("seed")
+        .agg(F.min("visit").alias("last"))
     )
     return (
-        ranked.join(counts, "seed")
-        .filter(F.col("rank_") + F.col("visited_") <= max_pages)
-        .drop("rank_", "visited_")
+        frontier.join(last, "seed", "left")
+        .filter(F.col("last").isNull() | (F.col("visit") <= F.col("last")))
+        .drop("last")
     )
 
 
 def multi_seed_crawl(
     seeds: DataFrame, edges: DataFrame, *, max_pages: int, max_depth: int
 ) -> DataFrame:
-    """Pages visited from every seed: seed, url, depth, order_key.
+    """Pages visited from every seed: seed, url, depth, visit (0, 1, 2, ...).
 
     ``seeds`` has one column ``url``; all seeds advance together, one join per level.
-    ``edges`` holds url, link, pos with distinct positions and links per url.
+    ``edges`` holds url, link, pos with distinct positions and links per url.  The
+    order of a level is one number, the parent's visit and the link's rank, so the
+    first arrival of a page is a plain hash aggregation.
     """
     level = seeds.select(
         F.col("url").alias("seed"),
         "url",
         F.lit(0).alias("depth"),
-        F.array().cast("array<bigint>").alias("order_key"),
+        F.lit(0).cast("bigint").alias("visit"),
     ).distinct()
     if max_pages < 1 or max_depth < 0:
         return level.limit(0)
@@ -80,13 +85,35 @@ def multi_seed_crawl(
     if max_depth == 0 or max_pages == 1:
         return level
     followed = materialize(_leading_edges(edges, max_pages), "crawl-edges")
+    queue_order = Window.partitionBy("seed").orderBy("arrival")
     for _ in range(max_depth):
         visited = reduce(DataFrame.unionByName, levels)
-        counts = visited.groupBy("seed").agg(F.count("*").alias("visited_"))
-        open_seeds = counts.filter(F.col("visited_") < max_pages).select("seed")
-        frontier = level.join(open_seeds, "seed", "left_semi")
-        reached = frontier_step(frontier, followed, visited)
-        level = materialize(_first_pages(reached, counts, max_pages), "crawl-level")
+        counts = visited.groupBy("seed").agg(F.count("*").alias("visited"))
+        unfilled = counts.filter(F.col("visited") < max_pages)
+        frontier = level.join(unfilled.select("seed"), "seed", "left_semi")
+        arrival = F.col("visit") * (max_pages + 1) + F.col("rank")
+        reached = (
+            _useful_parents(frontier, followed, max_pages)
+            .join(followed, "url")
+            .select(
+                "seed",
+                F.col("link").alias("url"),
+                (F.col("depth") + 1).alias("depth"),
+                arrival.alias("arrival"),
+            )
+            .groupBy("seed", "url", "depth")
+            .agg(F.min("arrival").alias("arrival"))
+            .join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+        )
+        taken = (
+            reached.withColumn("rank", F.row_number().over(queue_order))
+            .filter(F.col("rank") <= max_pages)
+            .join(unfilled, "seed")
+            .withColumn("visit", F.col("visited") + F.col("rank") - 1)
+            .filter(F.col("visit") < max_pages)
+            .select("seed", "url", "depth", "visit")
+        )
+        level = materialize(taken, "crawl-level")
         if level.isEmpty():
             break
         levels.append(level)
@@ -134,7 +161,7 @@ def crawl_results(
     ``records`` is keyed by ``page``; a page without a body has none.
     """
     parents = visited.filter(F.col("depth") < max_depth).withColumnRenamed("url", page)
-    carried = [c for c in ("seed",) if c in visited.columns]
+    carried = ["seed"] if "seed" in visited.columns else []
     return parents.select(*carried, page, "depth").join(records, page)
 
 

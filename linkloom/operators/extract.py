@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.constants import SKIPPED_PREFIXES, SKIPPED_SUBSTRING
 from linkloom.functions import html as H
+from linkloom.functions.binding import exploded
 from linkloom.functions.urls import url_join
 
 
@@ -33,7 +34,7 @@ def page_anchors(
         ),
         lambda a: a["href"].isNotNull(),
     )
-    return pages.select(*keys, F.posexplode(anchors).alias("pos", "anchor")).select(
+    return exploded(pages, keys, anchors, item="anchor").select(
         *keys,
         "pos",
         F.col("anchor.href").alias("href"),
@@ -107,7 +108,7 @@ def page_link_set(
             lambda link: F.startswith(link, F.lit("http")),
         )
     )
-    return pages.select(*keys, F.explode(links).alias("link"))
+    return exploded(pages, keys, links, item="link").drop("pos")
 
 
 def element_search(
@@ -125,7 +126,7 @@ def element_search(
     """
     find = H.blocks if nested else H.flat_elements
     found = find(H.drop_hidden(F.col(html)), selector)
-    return pages.select(*keys, F.posexplode(found).alias("pos", "element"))
+    return exploded(pages, keys, found, item="element")
 
 
 def with_attribute(

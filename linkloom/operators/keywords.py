@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.functions.binding import exploded
 from linkloom.functions.text import tokens, top_words
 
 
@@ -24,9 +25,7 @@ def noun_tokens(
     broadcast only if Catalyst finds it small enough; otherwise both sides shuffle and
     AQE splits the partitions of frequent words.
     """
-    rows = docs.select(
-        *keys, F.posexplode(tokens(F.col(text), **rules)).alias("pos", "word")
-    )
+    rows = exploded(docs, keys, tokens(F.col(text), **rules), item="word")
     if lexicon is None:
         return rows
     return rows.join(lexicon.select("word").distinct(), "word", "left_semi").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.constants import CARD_CLASSES, RESULT_BLOCK_ID
 from linkloom.functions import html as H
+from linkloom.functions.binding import exploded
 from linkloom.functions.text import title_squash
 from linkloom.sources.api import api_items
 
@@ -34,16 +35,10 @@ def class_detect(html: Column, candidates: Sequence[str] = CARD_CLASSES) -> Colu
     )
 
 
-def _zip_to_shortest(**columns: Column) -> Column:
-    length = F.least(*[F.size(c) for c in columns.values()]) if len(columns) > 1 else None
-    cut = {
-        name: c if length is None else F.slice(c, F.lit(1), length) for name, c in columns.items()
-    }
-    return F.arrays_zip(*[c.alias(name) for name, c in cut.items()])
-
-
-def _anchors(fragment: Column) -> Column:
-    return H.starting_tags(fragment, "a")
+def _zip_to_shortest(*columns: str) -> Column:
+    """Array columns side by side, cut to the shortest."""
+    length = F.least(*[F.size(c) for c in columns])
+    return F.arrays_zip(*[F.slice(c, F.lit(1), length).alias(c) for c in columns])
 
 
 def list_blocks(
@@ -62,50 +57,39 @@ def list_blocks(
     """
     keys = list(keys)
     body = H.drop_hidden(F.col(html))
-    containers = pages.select(
-        *keys, F.posexplode(H.blocks(body, profile.container)).alias("block", "html_")
-    )
+    containers = exploded(pages, keys, H.blocks(body, profile.container), pos="block")
     # A container ends at its last closing tag; what follows it is page furniture.
     inside = F.regexp_replace(
-        F.col("html_"), r"(?is)^(.*)</" + profile.container.tag + r"[\s>].*$", "$1"
+        F.col("item"), r"(?is)^(.*)</" + profile.container.tag + r"[\s>].*$", "$1"
     )
-    items = containers.select(
-        *keys, "block", F.posexplode(H.flat_elements(inside, profile.item)).alias("item", "html_")
+    keys = [*keys, "block"]
+    items = exploded(
+        containers, keys, H.flat_elements(inside, profile.item), pos="item", item="html_"
     )
     titles = H.flat_elements(F.col("html_"), profile.title)
     infos = (
-        F.transform(titles, lambda _: F.lit("")) if profile.info is None
+        F.transform(titles, lambda _: F.lit(""))
+        if profile.info is None
         else H.blocks(F.col("html_"), profile.info)
     )
-    pairs = items.select(
-        *keys, "block", "item", titles.alias("titles"), infos.alias("infos")
-    ).select(
-        *keys,
-        "block",
-        "item",
-        F.posexplode(
-            _zip_to_shortest(titles=F.col("titles"), infos=F.col("infos"))
-        ).alias("pair", "p"),
+    keys = [*keys, "item"]
+    found = items.select(*keys, titles.alias("titles"), infos.alias("infos"))
+    pairs = exploded(
+        found, keys, _zip_to_shortest("titles", "infos"), pos="pair", item="p"
+    )
+    anchors = H.starting_tags(F.col("p.titles"), "a")
+    links = F.filter(
+        F.transform(anchors, lambda a: H.attribute(a, "href")), lambda h: h.isNotNull()
     )
-    anchors = _anchors(F.col("p.titles"))
-    links = F.filter(F.transform(anchors, lambda a: H.attribute(a, "href")), lambda h: h.isNotNull())
     texts = F.transform(anchors, lambda a: title(H.inner_text(H.until_close(a, "a"))))
     if profile.info is None:
-        dates = F.transform(links, lambda _: F.lit(None).cast("string"))
+        dates = F.transform(anchors, lambda _: F.lit(None).cast("string"))
     else:
-        dates = F.transform(
-            H.flat_elements(F.col("p.infos"), profile.date), H.inner_text
-        )
-    zipped = pairs.select(
-        *keys, "block", "item", "pair",
-        links.alias("links"), dates.alias("dates"), texts.alias("texts"),
-    )
-    rows = F.posexplode(
-        _zip_to_shortest(link=F.col("links"), date=F.col("dates"), title=F.col("texts"))
-    ).alias("pos", "row")
-    return zipped.select(*keys, "block", "item", "pair", rows).select(
-        *keys, "block", "item", "pair", "pos", "row.link", "row.date", "row.title"
-    )
+        dates = F.transform(H.flat_elements(F.col("p.infos"), profile.date), H.inner_text)
+    keys = [*keys, "pair"]
+    zipped = pairs.select(*keys, links.alias("link"), dates.alias("date"), texts.alias("title"))
+    rows = exploded(zipped, keys, _zip_to_shortest("link", "date", "title"), item="row")
+    return rows.select(*keys, "pos", "row.link", "row.date", "row.title")
 
 
 def result_blocks(
@@ -127,9 +111,11 @@ def result_blocks(
     found = H.blocks(after_outer, inner)
     if first_block_only:
         found = F.slice(found, 1, 1)
-    block_rows = pages.select(*keys, F.posexplode(found).alias("block", "html_"))
-    anchors = F.filter(_anchors(F.col("html_")), lambda a: H.matches(a, anchor))
-    return block_rows.select(*keys, "block", F.posexplode(anchors).alias("pos", "a")).select(
+    block_rows = exploded(pages, keys, found, pos="block", item="html_")
+    anchors = F.filter(
+        H.starting_tags(F.col("html_"), "a"), lambda a: H.matches(a, anchor)
+    )
+    return exploded(block_rows, [*keys, "block"], anchors, item="a").select(
         *keys, "block", "pos", H.attribute(F.col("a"), "href").alias("link")
     )
 
@@ -173,9 +159,7 @@ def card_blocks(
     cards = F.filter(
         F.slice("divs", F.col("first") + 1, F.size("divs")), lambda d: has_class(d, card)
     )
-    return located.select(*keys, F.posexplode(cards).alias("pos", "card")).select(
-        *keys, "pos", "card.link"
-    )
+    return exploded(located, keys, cards, item="card").select(*keys, "pos", "card.link")
 
 
 def _link_rows(rows: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkloom.functions.binding import exploded
+
 
 def flatten_maps(
     results: DataFrame, *, column: str = "results", keys: Sequence[str] = ()
@@ -29,4 +31,4 @@ def flatten_nested(
     kind = rows.schema[column].dataType
     nested = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType)
     items = F.flatten(column) if nested else F.col(column)
-    return rows.select(*keys, F.posexplode(items).alias("pos", output))
+    return exploded(rows, keys, items, item=output)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.constants import API_ROWS_PER_REQUEST
+from linkloom.functions.binding import exploded
 from linkloom.functions.dates import pubdate_norm
 from linkloom.schemas import API_BODY, API_RESPONSE
 
@@ -71,9 +72,7 @@ def api_items(
 ) -> DataFrame:
     """Items of each response in order: keys, pos, title, link, date (normalized)."""
     keys = list(keys)
-    return responses.select(
-        *keys, F.posexplode(F.col(f"{body}.items")).alias("pos", "item")
-    ).select(
+    return exploded(responses, keys, F.col(f"{body}.items")).select(
         *keys,
         "pos",
         "item.title",

@@ -513,8 +513,9 @@ queue AS (
   UNION ALL SELECT seed, url, 1, k1, 0 FROM level1
   UNION ALL SELECT seed, url, 2, key[1], key[2] FROM level2
             ANTI JOIN level1 USING (seed, url))
-SELECT seed, url, CAST(depth AS INTEGER) AS depth FROM queue
-QUALIFY row_number() OVER (PARTITION BY seed ORDER BY depth, a, b) <= 36"""
+SELECT seed, url, CAST(depth AS INTEGER) AS depth,
+       row_number() OVER (PARTITION BY seed ORDER BY depth, a, b) - 1 AS visit
+FROM queue QUALIFY visit < 36"""
 
 _LINES = """(SELECT doc_id, lines, unnest(range(len(lines))) AS i
   FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))"""

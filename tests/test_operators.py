@@ -245,7 +245,7 @@ def test_crawl(spark, depth, pages, want):
     limits = {"max_pages": pages, "max_depth": depth}
     one = crawl.bfs_crawl(start, edges, **limits)
     many = crawl.multi_seed_crawl(start, edges, **limits)
-    for visited in (one, many):
+    for visited in (one, many.withColumn("order_key", F.col("visit"))):
         got = rows(visited.select("url", "depth"), "depth", "order_key")
         assert " ".join(f"{u}{d}" for u, d in got) == want
     records = edges.withColumnRenamed("url", "page_url").withColumn("title", F.lit("t"))
@@ -280,7 +280,7 @@ def test_crawl_equals_a_queue(spark):
         edges += [(f"n{node}", f"n{t}", i) for i, t in enumerate(targets)]
     frame = spark.createDataFrame(edges, "url string, link string, pos bigint").cache()
     seeds = [f"n{i}" for i in (0, 3, 7, 11)]
-    for max_pages, max_depth in [(7, 3), (20, 2), (100, 4)]:
+    for max_pages, max_depth in [(2, 2), (4, 3), (7, 3), (20, 2), (100, 4)]:
         limits = {"max_pages": max_pages, "max_depth": max_depth}
         many = crawl.multi_seed_crawl(spark.createDataFrame([(s,) for s in seeds], "url string"), frame, **limits)
         got = {}
