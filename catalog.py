@@ -33,7 +33,7 @@ def query(run: Query) -> Query:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.table(spark, sf, "pages")
+    return fx.text_table(spark, sf, "pages")
 
 
 def _anchors(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,7 +288,7 @@ def url_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def headline_clean(spark: SparkSession, sf: str) -> DataFrame:
     stamped = F.concat(F.lit("비트코인, 상승! 12시간 전... "), "text")
-    return fx.table(spark, sf, "documents").select(
+    return fx.text_table(spark, sf, "documents").select(
         "doc_id", text.headline_clean(stamped).alias("cleaned")
     )
 
@@ -433,12 +433,11 @@ def relevance_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def enrich_links(spark: SparkSession, sf: str) -> DataFrame:
-    pages = _pages(spark, sf)
+    pages = fx.table(spark, sf, "pages")
     found = pages.select(
         F.col("url").alias("title"), F.col("url").alias("link"), F.lit(fx.RUN_TS).alias("date")
     )
-    unread = fx.docs(spark, sf).select("title", "link", "date")
-    links = found.unionByName(found).unionByName(unread)
+    links = found.unionByName(found).unionByName(fx.doc_links(spark, sf))
     enriched = scoring.enrich_links(links, pages.select("url", "html"), fx.RULES)
     return enriched.withColumn("keyword", text.keyword_json(F.col("keyword")))
 
@@ -639,10 +638,9 @@ def _doc_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def status_flow(spark: SparkSession, sf: str) -> DataFrame:
-    links = fx.docs(spark, sf).select("title", "link", "date")
     return _all_rows(
         collection.status_flow(
-            links, fx.doc_fetch_log(spark, sf), fx.doc_pages(spark, sf), fx.RULES, fx.RUN_TS
+            fx.doc_links(spark, sf), fx.doc_fetch_log(spark, sf), fx.doc_pages(spark, sf), fx.RULES, fx.RUN_TS
         )
     )
 
@@ -673,10 +671,10 @@ def first_collection(spark: SparkSession, sf: str) -> DataFrame:
 def deep_collection(spark: SparkSession, sf: str) -> DataFrame:
     records = materialize(fx.html_records(spark, sf), "records")
     stored = collection.deep_collection(
-        _pages(spark, sf),
+        fx.table(spark, sf, "pages"),
         records,
         fx.html_fetch_log(records),
-        fx.html_link_pages(records, _pages(spark, sf)),
+        fx.html_link_pages(records, fx.table(spark, sf, "pages")),
         fx.RULES,
         fx.RUN_TS,
     )
@@ -711,9 +709,8 @@ def stream_latest_status(spark: SparkSession, sf: str) -> DataFrame:
     collection.StoredTables(fx.ready_table(spark, sf), fx.not_ready_table(spark, sf)).write(
         version_path(base, 0), mode="overwrite"
     )
-    migrate = recheck_batches(
-        spark, base, fx.site_pages(spark, sf), fx.RECHECK_RULES, fx.RUN_TS
-    )
+    pages = materialize(fx.site_pages(spark, sf), "pages")
+    migrate = recheck_batches(spark, base, pages, fx.RECHECK_RULES, fx.RUN_TS)
     versions = []
 
     def apply(checks: DataFrame, batch_id: int) -> None:

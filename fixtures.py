@@ -18,22 +18,21 @@ RECHECK_FROM = "2024-01-16 00:00:00"
 RULES = ScoreRules(as_of=AS_OF, coin=("the", "de"), other=("der", "la"), fold_case=True)
 RECHECK_RULES = ScoreRules(as_of=20240124, coin=("the", "de"), other=("der", "la"), fold_case=True)
 
-# Tables whose rows carry much text work.
-TEXT_TABLES = ("documents", "pages")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in TEXT_TABLES else rows
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to get text work where it is read."""
+    return spread(table(spark, sf_dir, name))
 
 
 def _day(number: Column) -> Column:
     return F.date_sub(F.lit("2024-06-24").cast("date"), (number % 6).cast("int"))
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links with their text: doc_id, link, title (first line), content, date."""
-    return table(spark, sf_dir, "documents").select(
+def _doc_rows(documents: DataFrame) -> DataFrame:
+    return documents.select(
         "doc_id",
         F.concat(F.lit("doc-"), F.col("doc_id")).alias("link"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -44,6 +43,16 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with their text: doc_id, link, title (first line), content, date."""
+    return _doc_rows(text_table(spark, sf_dir, "documents"))
+
+
+def doc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same links without the text: title, link, date."""
+    return _doc_rows(table(spark, sf_dir, "documents")).select("title", "link", "date")
+
+
 def _as_html(text: Column) -> Column:
     escaped = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     return F.concat(F.lit("<html><body><p>"), escaped, F.lit("</p></body></html>"))
@@ -51,7 +60,7 @@ def _as_html(text: Column) -> Column:
 
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of the document links: url, html."""
-    return docs(spark, sf_dir).select(
+    return _doc_rows(table(spark, sf_dir, "documents")).select(
         F.col("link").alias("url"), _as_html(F.col("content")).alias("html")
     )
 
@@ -70,7 +79,7 @@ def api_responses(spark: SparkSession, sf_dir: str, *, per_line: bool = True) ->
 
     Each line of the document is an item, or with ``per_line`` off its title alone.
     """
-    source = table(spark, sf_dir, "documents").select(
+    source = text_table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "text", F.concat(F.lit("doc-"), F.col("doc_id")).alias("link")
     )
     pub_date = F.concat(
@@ -227,7 +236,7 @@ def graph_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link records of the web pages: page_url, pos, title, link, date."""
-    return page_link_records(table(spark, sf_dir, "pages"), RUN_TS).withColumnRenamed(
+    return page_link_records(text_table(spark, sf_dir, "pages"), RUN_TS).withColumnRenamed(
         "url", "page_url"
     )
 
