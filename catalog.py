@@ -260,7 +260,7 @@ def url_root(spark: SparkSession, sf: str) -> DataFrame:
         _pages(spark, sf).select("page_id", "url"),
         F.col("url"),
         rest,
-        F.substring(rest, 3, 100000),
+        F.substring(rest, F.lit(3), F.length(rest)),
         F.concat(F.lit("HTTP:"), rest),
         F.concat(F.lit("localhost:8080/"), F.col("url")),
         F.lit(""),

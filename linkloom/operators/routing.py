@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.constants import FAILED_STATUS, READY_STATUS
+from linkloom.operators.skew import salted_join
 
 
 def fetch_status(status: Column, error: Column | None = None) -> Column:
@@ -47,16 +48,22 @@ def latest_fetch(
 
 
 def classify_links(
-    links: DataFrame, fetch_log: DataFrame, run_ts: str, *, order: Sequence[str] = ("fetched_at",)
+    links: DataFrame,
+    fetch_log: DataFrame,
+    run_ts: str,
+    *,
+    order: Sequence[str] = ("fetched_at",),
+    hot: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``status`` and ``updated_at`` to links from the last fetch of each.
 
-    A link without an answer in the log counts as failed.
+    A link without an answer in the log counts as failed.  ``hot`` names links that
+    are a large share of the rows; the join spreads them.
     """
     answered = latest_fetch(status_classify(fetch_log), order=order).select(
         F.col("url").alias("link"), F.col("status").alias("answer")
     )
-    return links.join(answered, "link", "left").select(
+    return salted_join(links, answered, "link", hot).select(
         *links.columns,
         fetch_status(F.col("answer")).alias("status"),
         F.lit(run_ts).alias("updated_at"),

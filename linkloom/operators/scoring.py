@@ -13,6 +13,7 @@ from linkloom.functions import score as S
 from linkloom.functions.dates import date_int
 from linkloom.functions.html import visible_text
 from linkloom.functions.text import clean_length, clean_pieces, tokens, top_words
+from linkloom.operators.skew import salted_join
 
 
 @dataclass(frozen=True)
@@ -92,17 +93,20 @@ def page_features(pages: DataFrame, rules: ScoreRules) -> DataFrame:
     return content_features(content, rules)
 
 
-def enrich_links(links: DataFrame, pages: DataFrame, rules: ScoreRules) -> DataFrame:
+def enrich_links(
+    links: DataFrame, pages: DataFrame, rules: ScoreRules, *, hot: Sequence[str] = ()
+) -> DataFrame:
     """Add content, keyword and score to links; other fields are kept.
 
     Only pages that some link names are read for text, each once, however often it
     was collected: a link met a million times repeats only the finished features.
-    ``pages`` is keyed by url and shuffled once, both joins use that partitioning, and
-    AQE splits the partition of a link that most rows share.
+    ``pages`` is keyed by url and shuffled once; without ``hot`` links both joins use
+    that partitioning, with them the second join spreads their rows.
     """
     wanted = links.select(F.col("link").alias("url")).distinct()
     features = page_features(pages.join(wanted, "url", "left_semi"), rules)
-    joined = links.join(features.withColumnRenamed("url", "link"), "link", "left").withColumns(
+    keyed = features.withColumnRenamed("url", "link")
+    joined = salted_join(links, keyed, "link", hot).withColumns(
         {
             "content": F.coalesce("content", F.lit("")),
             "keyword": F.coalesce(

@@ -1,0 +1,60 @@
+"""Joins whose left side may hold one key in a large share of its rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from math import ceil
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 1 / 128
+MIN_ROWS = 1_000_000
+SALTS = 64
+TRACKED = 65_536
+
+
+def hot_keys(
+    rows: DataFrame, key: str, *, share: float = HOT_SHARE, min_rows: int = MIN_ROWS
+) -> list[str]:
+    """Keys that hold at least ``share`` of the rows, ``1 / share`` of them at most.
+
+    One pass with a frequent-items sketch, merged across tasks: nothing shuffles by
+    key, and a key of this share is never missed.  The sketch only decides which keys
+    are spread; results do not depend on it.  Tables under ``min_rows`` have none.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {ceil(1 / share)}, {TRACKED})")
+    found = rows.agg(F.count("*").alias("n"), sketch.alias("top")).first()
+    if found is None or found["n"] < min_rows or not found["top"]:
+        return []
+    return [t["item"] for t in found["top"] if t["item"] is not None
+            and t["count"] >= share * found["n"]]
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    hot: Sequence[str],
+    *,
+    how: str = "left",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join on ``key`` with the rows of hot keys spread over ``salts`` tasks each.
+
+    ``right`` has one row per key and repeats those of hot keys once per salt.  A left
+    row's salt is the number of the task that reads it: copies of one row spread too,
+    and a task run again gives the same salts.  Null keys match nothing and are spread
+    like hot ones.
+    """
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isNull() | F.col(key).isin(*hot)
+    spread_left = left.withColumn(
+        "salt_", F.when(is_hot, F.spark_partition_id() % salts).otherwise(F.lit(0))
+    )
+    copies = F.when(
+        F.col(key).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("salt_", F.explode(copies))
+    return spread_left.join(repeated, [key, "salt_"], how).drop("salt_")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.storagelevel import StorageLevel
 
 from linkloom.operators.crawl import deep_crawl
 from linkloom.operators.routing import classify_links, route_not_ready, route_ready
+from linkloom.operators.skew import hot_keys
 from linkloom.operators.scoring import ScoreRules, enrich_links
 from linkloom.sources import tables
 
@@ -45,16 +47,21 @@ def status_flow(
     *,
     order: tuple[str, ...] = ("fetched_at",),
     persist: bool = False,
+    hot: Sequence[str] | None = None,
 ) -> StoredTables:
     """Classify links by fetch status, then shape both routes for storage.
 
+    Links that are a large share of the rows are looked for first, unless ``hot``
+    names them, and spread in both joins.
     ``persist`` keeps the classified links (on disk when memory is short) for callers
     that write both tables; they read links and log once then.
     """
-    classified = classify_links(links, fetch_log, run_ts, order=order)
+    if hot is None:
+        hot = hot_keys(links, "link")
+    classified = classify_links(links, fetch_log, run_ts, order=order, hot=hot)
     if persist:
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    enriched = enrich_links(route_ready(classified), pages, rules)
+    enriched = enrich_links(route_ready(classified), pages, rules, hot=hot)
     return StoredTables(
         ready=tables.ready_rows(enriched, run_ts),
         not_ready=tables.not_ready_rows(route_not_ready(classified)),

@@ -40,15 +40,12 @@ def checked_links(
     """Checked urls as links: title, link, date, status, updated_at.
 
     Title and date come from the stored row, the latest one if a url was stored more
-    than once; only rows of checked urls take part.
+    than once.  Stored rows are reduced to one per url inside each task before they
+    meet the checks.
     """
     have = ["url", "created_at", "title"]
     stored = ready.select(*have).unionByName(not_ready.select(*have))
-    last = (
-        stored.join(checks.select("url"), "url", "left_semi")
-        .groupBy("url")
-        .agg(F.max(F.struct("created_at", "title")).alias("row"))
-    )
+    last = stored.groupBy("url").agg(F.max(F.struct("created_at", "title")).alias("row"))
     return checks.join(last, "url", "left").select(
         F.col("row.title").alias("title"),
         F.col("url").alias("link"),

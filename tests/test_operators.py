@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions.html import Selector, inner_text
-from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring, topk
+from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring, skew, topk
+from linkloom.plans import collection
 from linkloom.sources import api, csvfiles, tables
 
 BASE = "https://a.b/news/1"
@@ -343,3 +344,41 @@ def test_write_table(spark, tmp_path, fmt):
     for _ in range(2):
         tables.write_table(links, path, ("url", "title"), fmt=fmt)
     assert rows(tables.read_table(spark, path, fmt=fmt).select("url", "title")) == [("u", "t")] * 2
+
+
+def test_hot_keys_are_spread_without_changing_the_rows(spark):
+    n = F.col("id")
+    link = F.when(n % 3 == 0, F.lit("hot")).when(n % 7 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("u"), n)
+    )
+    links = spark.range(0, 3000, numPartitions=8).select(link.alias("link"), F.lit("t").alias("title"))
+    assert skew.hot_keys(links, "link") == []
+    hot = skew.hot_keys(links, "link", min_rows=0)
+    assert hot == ["hot"]
+    right = spark.createDataFrame([("hot", 1), ("u1", 2), ("none", 3)], "link string, v int")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        plain = links.join(right, "link", how)
+        salted = skew.salted_join(links, right, "link", hot, how=how)
+        assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+    copies = skew.salted_join(links, right, "link", hot).filter("link = 'hot'")
+    assert copies.count() == 1000
+
+
+def test_status_flow_with_hot_links(spark):
+    links = spark.range(0, 90, numPartitions=4).select(
+        F.lit("t").alias("title"),
+        F.concat(F.lit("u"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("link"),
+        F.lit("2024-06-24 00:00:00").alias("date"),
+    )
+    log = spark.createDataFrame(
+        [("u0", 200), ("u1", 404), ("u2", 200)], "url string, status int"
+    ).withColumn("fetched_at", F.lit("2024-06-24").cast("timestamp_ntz"))
+    pages = spark.createDataFrame([("u0", "<p>코인</p>"), ("u5", "x")], "url string, html string")
+    rules = scoring.ScoreRules(as_of=20240624)
+    flows = [
+        collection.status_flow(links, log, pages, rules, "now", hot=hot) for hot in ([], ["u0", "u9"])
+    ]
+    assert flows[0].ready.count() == 31 and flows[0].not_ready.count() == 59
+    for name in ("ready", "not_ready"):
+        one, two = [sorted(map(str, getattr(f, name).collect())) for f in flows]
+        assert one == two
