@@ -15,7 +15,7 @@ from linkloom.functions.binding import exploded
 from linkloom.functions.html import Selector, inner_text
 from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring
 from linkloom.plans import collection, recheck
-from linkloom.session import materialize, scratch_path
+from linkloom.session import materialize, scratch_path, spread
 from linkloom.sources import api, csvfiles, tables
 from linkloom.streaming.collection import stream_first_collection
 from linkloom.streaming.recheck import recheck_batches, run_latest_status, version_path
@@ -438,7 +438,7 @@ def enrich_links(spark: SparkSession, sf: str) -> DataFrame:
         F.col("url").alias("title"), F.col("url").alias("link"), F.lit(fx.RUN_TS).alias("date")
     )
     links = found.unionByName(found).unionByName(fx.doc_links(spark, sf))
-    enriched = scoring.enrich_links(links, pages.select("url", "html"), fx.RULES)
+    enriched = scoring.enrich_links(links, _pages(spark, sf).select("url", "html"), fx.RULES)
     return enriched.withColumn("keyword", text.keyword_json(F.col("keyword")))
 
 
@@ -674,7 +674,7 @@ def deep_collection(spark: SparkSession, sf: str) -> DataFrame:
         fx.table(spark, sf, "pages"),
         records,
         fx.html_fetch_log(records),
-        fx.html_link_pages(records, fx.table(spark, sf, "pages")),
+        fx.html_link_pages(records, _pages(spark, sf)),
         fx.RULES,
         fx.RUN_TS,
     )
@@ -709,7 +709,7 @@ def stream_latest_status(spark: SparkSession, sf: str) -> DataFrame:
     collection.StoredTables(fx.ready_table(spark, sf), fx.not_ready_table(spark, sf)).write(
         version_path(base, 0), mode="overwrite"
     )
-    pages = materialize(fx.site_pages(spark, sf), "pages")
+    pages = spread(materialize(fx.site_pages(spark, sf), "pages"))
     migrate = recheck_batches(spark, base, pages, fx.RECHECK_RULES, fx.RUN_TS)
     versions = []
 

@@ -60,7 +60,7 @@ def _as_html(text: Column) -> Column:
 
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of the document links: url, html."""
-    return _doc_rows(table(spark, sf_dir, "documents")).select(
+    return _doc_rows(text_table(spark, sf_dir, "documents")).select(
         F.col("link").alias("url"), _as_html(F.col("content")).alias("html")
     )
 
@@ -181,7 +181,7 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("doc_id"),
         (F.get_json_object("props", "$.k").cast("int") % 10).alias("k"),
     ).distinct()
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = text_table(spark, sf_dir, "documents").select("doc_id", "text")
     return urls.join(texts, "doc_id").select(
         F.concat(
             F.lit("https://site"), F.col("doc_id"), F.lit(".example.org/p/"), F.col("k")
