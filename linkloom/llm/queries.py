@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkloom.llm.bpe import token_digests
 from linkloom.llm.chat import TURNS_PER_PIECE, chat_examples
 from linkloom.llm.exact import exact_duplicates
+from linkloom.llm.packing import best_fit
+from linkloom.llm.quality import quality_scores
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("LINKLOOM_TOKENIZERS", "/opt/tokenizers")
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,6 +32,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return best_fit(table(spark, sf, "documents"))
+
+
+@query
+def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    tokenizer = Path(TOKENIZERS, "byte_bpe_50k.json").read_text()
+    return token_digests(table(spark, sf, "documents"), tokenizer)
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(table(spark, sf, "documents"))
@@ -94,3 +112,8 @@ SELECT conv_id, ((pos - 1) // {TURNS_PER_PIECE})::INTEGER AS piece, count(*) AS
          || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
 FROM turns JOIN kept USING (conv_id) GROUP BY ALL
 """
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
