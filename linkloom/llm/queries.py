@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linkloom.llm.bpe import token_digests
 from linkloom.llm.chat import TURNS_PER_PIECE, chat_examples
 from linkloom.llm.exact import exact_duplicates
+from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
@@ -117,3 +118,8 @@ FROM turns JOIN kept USING (conv_id) GROUP BY ALL
 @query
 def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
