@@ -21,7 +21,7 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.n
 
     The driver gets at most 2**(bits - 15) rows of 4 KB, whatever the number of hashes.
     """
-    place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    place = F.shiftrightunsigned(column, 64 - bits)  # the first bits of the hash
     parts = (
         hashes.select(place.alias("place"))
         .groupBy(F.shiftright("place", _BUCKET_BITS).alias("bucket"))
@@ -36,7 +36,7 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.n
 
 def in_bitmap(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each 64-bit hash may be in the bitmap."""
-    place = hashes.astype(np.uint64, copy=False) & np.uint64(table.size * 8 - 1)
+    place = hashes.astype(np.uint64, copy=False) >> np.uint64(64 - (table.size * 8 - 1).bit_length())
     return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
+from linkloom.llm.copies import NO_ID, drop_rows
 from linkloom.llm.quotient import repeated
 from linkloom.session import materialize
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """For each row its group of equal texts: doc_id, keep_id, group_size, kept, text_sha256.
+    """For each row its group of equal texts: doc_id, keep_id, group_size, kept, text_sha256,
+    text_hash.
 
     A counting quotient filter of 64-bit fingerprints is built for each partition, and the filters
     are merged.  Only rows whose fingerprint counts above one go on: their texts are grouped byte by
@@ -49,13 +51,12 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         .otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .alias("kept"),
         F.col("sha").alias("text_sha256"),
+        F.col("fp").alias("text_hash"),
     )
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that :func:`exact_duplicates` does not keep."""
+    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
     dropped = exact_duplicates(docs).filter("not kept")
-    gone = dropped.select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    same = docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (sha == gone["_gone_sha"])
-    return docs.join(gone, same, "left_anti")
+    return drop_rows(docs, dropped.select(key.alias("_k"), F.col("text_hash").alias("_h")).distinct())

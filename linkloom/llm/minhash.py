@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
 from linkloom.llm.components import components
+from linkloom.llm.copies import drop_rows
 from linkloom.session import materialize
 
 #: Values that a sketch retains.
@@ -204,7 +205,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return pairs.select("u", "v", "u_members", "v_members").mapInPandas(confirm, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """Each row's group of near-duplicates: doc_id, n_shingles, component_id, kept.
 
     Words are runs of other than ASCII blanks, A-Z lower-cased; a set holds the distinct shingles of
@@ -283,3 +284,9 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id."""
+    dropped = near_duplicates(docs, width).filter("not kept")
+    return drop_rows(docs, dropped.select(F.col("doc_id").alias("_k")).distinct())

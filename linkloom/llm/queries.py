@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.llm.bpe import token_digests
+from linkloom.llm.byterepeats import remove_repeated_bytes
 from linkloom.llm.chat import TURNS_PER_PIECE, chat_examples
 from linkloom.llm.exact import exact_duplicates
 from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
+from linkloom.llm.wordrepeats import remove_repeated_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +41,13 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return best_fit(table(spark, sf, "documents"))
 
 
+@query
+def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    sha = F.sha2("kept", 256).alias("kept_sha256")
+    return remove_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", sha)
+
+
 @query
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     tokenizer = Path(TOKENIZERS, "byte_bpe_50k.json").read_text()
@@ -46,7 +56,7 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return exact_duplicates(table(spark, sf, "documents"))
+    return exact_duplicates(table(spark, sf, "documents")).drop("text_hash")
 
 
 ORACLES["op4_exact_dedup"] = """
@@ -122,4 +132,11 @@ def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates(table(spark, sf, "documents"), width=2)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    sha = F.sha2("kept", 256).alias("kept_sha256")
+    return remove_repeated_words(docs).select("doc_id", "n_words", "n_removed", sha)
