@@ -55,7 +55,8 @@ class Bins:
 
     def _successor(self, node: int, low: int, high: int, size: int, source: int, cluster: int) -> tuple | None:
         """The tightest compatible bin below a node: (residual, its bitmaps)."""
-        if high < size or self.sources[node] & source or self.clusters[node] & cluster:
+        common = self.sources[node]
+        if high < size or common < 0 or common & source or self.clusters[node] & cluster:
             return None
         if node >= self.width:
             fit = [(b[0], k) for k, b in self.leaves[low].items() if not k[0] & source and not k[1] & cluster]
