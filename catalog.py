@@ -15,7 +15,7 @@ from linkloom.functions.binding import exploded
 from linkloom.functions.html import Selector, inner_text
 from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring
 from linkloom.plans import collection, recheck
-from linkloom.session import materialize, scratch_path, spread
+from linkloom.session import apply_settings, materialize, scratch_path
 from linkloom.sources import api, csvfiles, tables
 from linkloom.streaming.collection import stream_first_collection
 from linkloom.streaming.recheck import recheck_batches, run_latest_status, version_path
@@ -28,7 +28,7 @@ WORDS = fx.RULES.words
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__] = lambda spark, sf: run(apply_settings(spark), sf)
     return run
 
 
@@ -92,6 +92,19 @@ def api_items(spark: SparkSession, sf: str) -> DataFrame:
     return api.api_items(fx.api_bodies(spark, sf), keys=("doc_id",))
 
 
+@query
+def api_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.col("doc_id") % 5
+    body = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.lit("not json"))
+        .when(kind == 2, F.lit('{"total": 3}'))
+        .otherwise(F.col("body"))
+    )
+    responses = fx.api_responses(spark, sf).withColumn("body", body)
+    return api.api_rejects(api.parse_api_body(responses), keys=("doc_id",))
+
+
 @query
 def page_scan(spark: SparkSession, sf: str) -> DataFrame:
     body = F.encode("html", "UTF-8")
@@ -514,9 +527,11 @@ def migrate_not_ready(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fx.table(spark, sf, "events").select(
-        F.col("user_id").alias("list_id"), F.col("event_id").alias("pos")
-    )
+    pos = F.when(F.col("event_id") % 100 == 0, None).otherwise(F.col("event_id"))
+    lists = F.when(F.col("user_id") % 10 != 0, F.col("user_id"))
+    rows = fx.table(spark, sf, "events").select(lists.alias("list_id"), pos.alias("pos"))
+    # Positions are distinct in a list: of the rows without one, each list keeps one.
+    rows = rows.filter("pos is not null").unionByName(rows.filter("pos is null").distinct())
     return routing.batch_assign(rows, 20, span=4096)
 
 
@@ -524,7 +539,12 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
 def bucket_assign(spark: SparkSession, sf: str) -> DataFrame:
     lists = (
         fx.table(spark, sf, "events")
-        .groupBy(F.col("user_id").alias("collection"), F.dayofmonth("ts").alias("list_id"))
+        .filter("user_id % 5 <> 0 or event_id < 3000")
+        .groupBy(
+            F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("collection"),
+            (F.dayofmonth("ts") % 4).alias("list_id"),
+            F.dayofmonth("ts").alias("day"),
+        )
         .agg(F.count("*").alias("links"))
     )
     return routing.bucket_assign(lists)
@@ -603,7 +623,9 @@ def flatten_nested(spark: SparkSession, sf: str) -> DataFrame:
     nested = fx.table(spark, sf, "documents").select(
         "doc_id",
         lines.alias("flat"),
-        F.transform(lines, lambda line: F.split(line, ",")).alias("lists"),
+        F.transform(
+            lines, lambda line, i: F.when(i != 1, F.split(line, ","))
+        ).alias("lists"),
     )
     one = reshape.flatten_nested(nested, column="flat", keys=("doc_id",))
     two = reshape.flatten_nested(nested, column="lists", keys=("doc_id",))
@@ -660,7 +682,6 @@ def first_collection(spark: SparkSession, sf: str) -> DataFrame:
         fx.doc_pages(spark, sf),
         fx.RULES,
         fx.RUN_TS,
-        persist=True,
     )
     base = scratch_path(spark, "first")
     stored.write(base)
@@ -709,7 +730,7 @@ def stream_latest_status(spark: SparkSession, sf: str) -> DataFrame:
     collection.StoredTables(fx.ready_table(spark, sf), fx.not_ready_table(spark, sf)).write(
         version_path(base, 0), mode="overwrite"
     )
-    pages = spread(materialize(fx.site_pages(spark, sf), "pages"))
+    pages = materialize(fx.site_pages(spark, sf), "pages")
     migrate = recheck_batches(spark, base, pages, fx.RECHECK_RULES, fx.RUN_TS)
     versions = []
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from linkloom.operators.extract import page_link_records
 from linkloom.operators.scoring import ScoreRules
-from linkloom.session import spread
 from linkloom.sources.api import parse_api_body
 
 AS_OF = 20240624
@@ -24,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table about to get text work where it is read."""
-    return spread(table(spark, sf_dir, name))
+    return table(spark, sf_dir, name)
 
 
 def _day(number: Column) -> Column:
@@ -70,6 +69,7 @@ def doc_fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(
         F.concat(F.lit("doc-"), F.col("doc_id")).alias("url"),
         F.when(F.col("quality") == 1, 200).otherwise(404).alias("status"),
+        F.when(F.col("doc_id") % 7 == 0, F.lit("body cut off")).alias("error"),
         F.lit("2024-06-24 08:30:00").cast("timestamp_ntz").alias("fetched_at"),
     )
 
@@ -77,7 +77,8 @@ def doc_fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_responses(spark: SparkSession, sf_dir: str, *, per_line: bool = True) -> DataFrame:
     """Search responses as JSON text, one per document: doc_id, keyword, start, body.
 
-    Each line of the document is an item, or with ``per_line`` off its title alone.
+    Each line of the document is an item, with a link of its own or, with ``per_line``
+    off, the document's.
     """
     source = text_table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "text", F.concat(F.lit("doc-"), F.col("doc_id")).alias("link")
@@ -85,7 +86,7 @@ def api_responses(spark: SparkSession, sf_dir: str, *, per_line: bool = True) ->
     pub_date = F.concat(
         F.date_format(_day(F.col("doc_id")), "EEE, dd MMM yyyy"), F.lit(" 08:00:00 +0900")
     )
-    lines = F.split("text", "\n") if per_line else F.array(F.substring_index("text", "\n", 1))
+    lines = F.split("text", "\n")
     link = F.col("link")
     items = F.transform(
         lines,
@@ -176,16 +177,13 @@ def recheck_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of the site urls: the text of the document numbered like the site."""
-    urls = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("doc_id"),
-        (F.get_json_object("props", "$.k").cast("int") % 10).alias("k"),
-    ).distinct()
-    texts = text_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return urls.join(texts, "doc_id").select(
+    """Pages of 60 sites' urls, every document one, so that urls are fetched again and again."""
+    site = (F.floor(F.col("doc_id") / 10) % 60).cast("string")
+    return text_table(spark, sf_dir, "documents").select(
         F.concat(
-            F.lit("https://site"), F.col("doc_id"), F.lit(".example.org/p/"), F.col("k")
+            F.lit("https://site"), site, F.lit(".example.org/p/"), F.col("doc_id") % 10
         ).alias("url"),
+        F.col("doc_id").alias("fetched_at"),
         _as_html(F.col("text")).alias("html"),
     )
 

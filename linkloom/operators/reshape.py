@@ -26,9 +26,10 @@ def flatten_nested(
 ) -> DataFrame:
     """A list, or a list of lists, as rows: keys, pos, item.
 
-    The column's type decides how many levels there are.
+    The column's type decides how many levels there are.  A null inner list has no items
+    and leaves the others as they are.
     """
     kind = rows.schema[column].dataType
     nested = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType)
-    items = F.flatten(column) if nested else F.col(column)
+    items = F.flatten(F.filter(column, lambda x: x.isNotNull())) if nested else F.col(column)
     return exploded(rows, keys, items, item=output)

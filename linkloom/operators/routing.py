@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.constants import FAILED_STATUS, READY_STATUS
-from linkloom.operators.skew import salted_join
 
 
 def fetch_status(status: Column, error: Column | None = None) -> Column:
@@ -29,6 +30,11 @@ def status_classify(
     )
 
 
+def error_column(fetch_log: DataFrame) -> str | None:
+    """The log's column of error texts, if it has one."""
+    return "error" if "error" in fetch_log.columns else None
+
+
 def latest_fetch(
     fetch_log: DataFrame,
     *,
@@ -53,17 +59,15 @@ def classify_links(
     run_ts: str,
     *,
     order: Sequence[str] = ("fetched_at",),
-    hot: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``status`` and ``updated_at`` to links from the last fetch of each.
 
-    A link without an answer in the log counts as failed.  ``hot`` names links that
-    are a large share of the rows; the join spreads them.
+    A link without an answer in the log counts as failed, and so does one whose last
+    fetch has an ``error``, if the log has that column.
     """
-    answered = latest_fetch(status_classify(fetch_log), order=order).select(
-        F.col("url").alias("link"), F.col("status").alias("answer")
-    )
-    return salted_join(links, answered, "link", hot).select(
+    answered = latest_fetch(status_classify(fetch_log, error=error_column(fetch_log)), order=order)
+    answered = answered.select(F.col("url").alias("link"), F.col("status").alias("answer"))
+    return links.join(answered, "link", "left").select(
         *links.columns,
         fetch_status(F.col("answer")).alias("status"),
         F.lit(run_ts).alias("updated_at"),
@@ -118,7 +122,8 @@ def batch_assign(
     With ``dense`` positions (0, 1, 2, ... as ``posexplode`` gives them) the batch
     follows from the position alone.  Otherwise rows are ranked per list and span of
     positions, and the spans before it are added as an offset: one list can be most
-    of the table and still spread over many tasks.  Positions are distinct in a list.
+    of the table and still spread over many tasks.  Positions are distinct in a list;
+    rows without one come first.  Rows without a list form a list of their own.
     """
     if dense:
         return rows.withColumn("batch", F.floor(F.col(pos) / size).cast("bigint"))
@@ -135,8 +140,11 @@ def batch_assign(
     ranked = spans.withColumn(
         "rank_", F.row_number().over(Window.partitionBy(list_id, "span_").orderBy(pos))
     )
-    return ranked.join(before, [list_id, "span_"]).select(
-        *rows.columns,
+    here, there = ranked.alias("r"), before.alias("b")
+    same = F.col(f"r.{list_id}").eqNullSafe(F.col(f"b.{list_id}"))
+    same &= F.col("r.span_").eqNullSafe(F.col("b.span_"))
+    return here.join(there, same).select(
+        *[F.col(f"r.{c}") for c in rows.columns],
         F.floor((F.col("rank_") - 1 + F.col("offset_")) / size).cast("bigint").alias("batch"),
     )
 
@@ -150,12 +158,18 @@ def bucket_assign(
     """Slot and group of each list of a collection; lists after the tenth are rejected.
 
     The n-th list takes slot n.  Slots 1-4 form group 1, 5-6 group 2, 7-8 group 3 and
-    9-10 group 4.  Only the first ten lists are ranked, and each task passes on no
-    more than ten per collection, so the size of a collection does not matter.
+    9-10 group 4.  Equal order values are told apart by the other columns, equal rows by
+    their number; lists without a collection form one.  Only the first ten lists are
+    ranked, and each task passes on no more than ten per collection, so the size of a
+    collection does not matter.
     """
-    first = Window.partitionBy(collection).orderBy(order)
+    others = [c for c in lists.columns if c not in (collection, order)]
+    key = [collection, order, *others, "copy_"]
+    alike = Window.partitionBy(*lists.columns).orderBy(F.lit(0))
+    numbered = lists.withColumn("copy_", F.row_number().over(alike))
+    first = Window.partitionBy(collection).orderBy(order, *others, "copy_")
     slots = (
-        lists.select(collection, order)
+        numbered.select(*key)
         .withColumn("slot", F.row_number().over(first))
         .filter(F.col("slot") <= SLOTS)
     )
@@ -163,6 +177,8 @@ def bucket_assign(
     group = (
         F.when(slot >= 9, 4).when(slot >= 7, 3).when(slot >= 5, 2).when(slot >= 1, 1)
     )
-    return lists.join(slots, [collection, order], "left").select(
-        *lists.columns, "slot", group.alias("group_no"), slot.isNull().alias("rejected")
+    here, there = numbered.alias("r"), slots.alias("s")
+    same = reduce(and_, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key])
+    return here.join(there, same, "left").select(
+        *[F.col(f"r.{c}") for c in lists.columns], "slot", group.alias("group_no"), slot.isNull().alias("rejected")
     )

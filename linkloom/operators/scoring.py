@@ -13,7 +13,6 @@ from linkloom.functions import score as S
 from linkloom.functions.dates import date_int
 from linkloom.functions.html import visible_text
 from linkloom.functions.text import clean_length, clean_pieces, tokens, top_words
-from linkloom.operators.skew import salted_join
 
 
 @dataclass(frozen=True)
@@ -88,25 +87,29 @@ def relevance_score(
 
 
 def page_features(pages: DataFrame, rules: ScoreRules) -> DataFrame:
-    """Url, content, keyword and cleaned length of each page, computed once per page."""
-    content = pages.select("url", visible_text(F.col("html")).alias("content"))
-    return content_features(content, rules)
+    """Url, content, keyword and cleaned length of the latest page of each url.
 
+    Text is read where the pages are scanned, so html is never shuffled.  The latest is
+    the one with the largest ``fetched_at``, if pages have it; ties, and pages without,
+    go by the text.  Pages are reduced to one per url inside each task first.
+    """
+    order = [c for c in ("fetched_at",) if c in pages.columns]
+    content = pages.select("url", *order, visible_text(F.col("html")).alias("content"))
+    features = content_features(content, rules)
+    found = ["content", "keyword", "clean_length"]
+    last = features.groupBy("url").agg(F.max(F.struct(*order, *found)).alias("last"))
+    return last.select("url", *[F.col(f"last.{c}") for c in found])
 
-def enrich_links(
-    links: DataFrame, pages: DataFrame, rules: ScoreRules, *, hot: Sequence[str] = ()
-) -> DataFrame:
+
+def enrich_links(links: DataFrame, pages: DataFrame, rules: ScoreRules) -> DataFrame:
     """Add content, keyword and score to links; other fields are kept.
 
-    Only pages that some link names are read for text, each once, however often it
-    was collected: a link met a million times repeats only the finished features.
-    ``pages`` is keyed by url and shuffled once; without ``hot`` links both joins use
-    that partitioning, with them the second join spreads their rows.
+    A page is read for text once, however often its link was collected: a link met a
+    million times repeats only the finished features.  Of several pages of one url the
+    latest counts.
     """
-    wanted = links.select(F.col("link").alias("url")).distinct()
-    features = page_features(pages.join(wanted, "url", "left_semi"), rules)
-    keyed = features.withColumnRenamed("url", "link")
-    joined = salted_join(links, keyed, "link", hot).withColumns(
+    keyed = page_features(pages, rules).withColumnRenamed("url", "link")
+    joined = links.join(keyed, "link", "left").withColumns(
         {
             "content": F.coalesce("content", F.lit("")),
             "keyword": F.coalesce(

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
 
 from linkloom.operators.crawl import deep_crawl
 from linkloom.operators.routing import classify_links, route_not_ready, route_ready
-from linkloom.operators.skew import hot_keys
 from linkloom.operators.scoring import ScoreRules, enrich_links
+from linkloom.session import materialize
 from linkloom.sources import tables
 
 
@@ -22,20 +20,21 @@ class StoredTables:
     ready: DataFrame
     not_ready: DataFrame
     total: DataFrame | None = None
-    cached: DataFrame | None = None
 
     def write(
         self, base: str, *, suffix: str = "", mode: str = "append", fmt: str = "parquet"
     ) -> None:
-        """Write each table to its folder under ``base``, then drop what was cached."""
+        """Write each table to its folder under ``base``.
+
+        A run that may be repeated after a failure gives its own ``suffix`` and the mode
+        ``overwrite``, so that it leaves its rows once.
+        """
         named = {
             "total_url": self.total, "request_url": self.ready, "not_request_url": self.not_ready
         }
         for name, rows in named.items():
             if rows is not None:
                 tables.write_table(rows, f"{base}/{name}{suffix}", mode=mode, fmt=fmt)
-        if self.cached is not None:
-            self.cached.unpersist()
 
 
 def status_flow(
@@ -46,26 +45,17 @@ def status_flow(
     run_ts: str,
     *,
     order: tuple[str, ...] = ("fetched_at",),
-    persist: bool = False,
-    hot: Sequence[str] | None = None,
 ) -> StoredTables:
     """Classify links by fetch status, then shape both routes for storage.
 
-    Links that are a large share of the rows are looked for first, unless ``hot``
-    names them, and spread in both joins.
-    ``persist`` keeps the classified links (on disk when memory is short) for callers
-    that write both tables; they read links and log once then.
+    Classified links are written to the shared folder once; both routes read them there,
+    so links and log are read once.
     """
-    if hot is None:
-        hot = hot_keys(links, "link")
-    classified = classify_links(links, fetch_log, run_ts, order=order, hot=hot)
-    if persist:
-        classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    enriched = enrich_links(route_ready(classified), pages, rules, hot=hot)
+    classified = materialize(classify_links(links, fetch_log, run_ts, order=order), "classified")
+    enriched = enrich_links(route_ready(classified), pages, rules)
     return StoredTables(
         ready=tables.ready_rows(enriched, run_ts),
         not_ready=tables.not_ready_rows(route_not_ready(classified)),
-        cached=classified if persist else None,
     )
 
 
@@ -78,6 +68,7 @@ def first_collection(
     **options: object,
 ) -> StoredTables:
     """Keep every collected link, and route each by the status of its fetch."""
+    links = materialize(links, "links")
     routed = status_flow(links, fetch_log, pages, rules, run_ts, **options)
     return replace(routed, total=tables.total_url_rows(links))
 
@@ -98,4 +89,5 @@ def deep_collection(
     found = deep_crawl(
         tables.ready_urls(ready), records, max_pages=max_pages, max_depth=max_depth
     ).select("title", "link", "date")
+    found = materialize(found, "found")
     return status_flow(found, fetch_log, pages, rules, run_ts, **options)

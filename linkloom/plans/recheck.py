@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.dates import run_stamp
 from linkloom.operators.routing import (
     delete_remaining,
+    error_column,
     latest_fetch,
     route_not_ready,
     route_ready,
@@ -17,6 +18,7 @@ from linkloom.operators.routing import (
 )
 from linkloom.operators.scoring import ScoreRules, enrich_links
 from linkloom.plans.collection import StoredTables
+from linkloom.session import materialize
 from linkloom.sources import tables
 
 
@@ -24,7 +26,7 @@ def latest_checks(
     fetch_log: DataFrame, *, order: Sequence[str] = ("fetched_at",)
 ) -> DataFrame:
     """The last answer of each re-checked url: url, status, updated_at."""
-    latest = latest_fetch(status_classify(fetch_log), order=order)
+    latest = latest_fetch(status_classify(fetch_log, error=error_column(fetch_log)), order=order)
     return latest.withColumn("updated_at", run_stamp(F.col("updated_at")))
 
 
@@ -69,7 +71,8 @@ def recheck(
     it answers, so running the same checks again changes nothing.  Rows of unchecked
     urls pass through as they are.
     """
-    links = checked_links(ready, not_ready, checks)
+    checks = materialize(checks, "checks")
+    links = materialize(checked_links(ready, not_ready, checks), "checked")
     enriched = enrich_links(route_ready(links), pages, rules)
     return StoredTables(
         ready=replace_rows(ready, checks, tables.ready_rows(enriched, run_ts)),

@@ -22,6 +22,17 @@ RECOMMENDED_CONF = {
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Apply the recommended settings to a running session.
+
+    Joins on links rely on them: a second join on the same key has no shuffle of its own, and
+    only with forceOptimizeSkewedJoin does Spark split the partition of a hot link there too.
+    """
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Apply the recommended settings to a session builder."""
     for key, value in RECOMMENDED_CONF.items():
@@ -55,19 +66,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
 
     Unlike an in-memory cache it survives lost executors, and the files give the
-    optimizer a true size for the joins that follow.
+    optimizer a true size for the joins that follow.  Folders stay until whoever owns the shared
+    folder empties it; an expiry of a few days there is enough, for no job reads another's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer splits than cores.
-
-    A small table in one file would otherwise keep its text work on one core.  A large
-    table has far more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

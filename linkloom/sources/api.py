@@ -63,8 +63,21 @@ def read_api_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_api_body(responses: DataFrame, *, body: str = "body") -> DataFrame:
-    """Parse a response body kept as JSON text."""
-    return responses.withColumn(body, F.from_json(F.col(body), API_BODY))
+    """Parse a response body kept as JSON text.
+
+    ``reject_reason`` says why a response gives no items: no body, or one that is not an
+    object with a list of items.  It is null for all others.
+    """
+    parsed = F.from_json(F.col(body), API_BODY)
+    reason = F.when(F.col(body).isNull(), F.lit("no body")).when(
+        parsed["items"].isNull(), F.lit("unreadable body")
+    )
+    return responses.withColumns({"reject_reason": reason, body: parsed})
+
+
+def api_rejects(responses: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
+    """Parsed responses without items to read: keys, reject_reason."""
+    return responses.filter("reject_reason is not null").select(*keys, "reject_reason")
 
 
 def api_items(

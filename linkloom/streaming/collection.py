@@ -35,10 +35,8 @@ def stream_first_collection(
     links = api_items(reader.json(responses)).select("title", "link", "date")
 
     def collect(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        stored = first_collection(batch, fetch_log, pages, rules, run_ts, order=order, persist=True)
+        stored = first_collection(batch, fetch_log, pages, rules, run_ts, order=order)
         stored.write(base, suffix=f"/batch_id={batch_id}", mode="overwrite")
-        batch.unpersist()
 
     return (
         links.writeStream.foreachBatch(collect)

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.functions.dates import run_stamp
-from linkloom.operators.routing import status_classify
+from linkloom.operators.routing import error_column, status_classify
 from linkloom.operators.scoring import ScoreRules
 from linkloom.plans.recheck import recheck
-from linkloom.sources.tables import write_table
 
 
 def latest_status(log: DataFrame, *, order: Sequence[str] = ("fetched_at",)) -> DataFrame:
@@ -22,7 +21,7 @@ def latest_status(log: DataFrame, *, order: Sequence[str] = ("fetched_at",)) ->
     that arrives late cannot replace a later one.
     """
     last = F.max(F.struct(*order, "status")).alias("last")
-    return status_classify(log).groupBy("url").agg(last).select(
+    return status_classify(log, error=error_column(log)).groupBy("url").agg(last).select(
         "url", "last.status", run_stamp(F.col(f"last.{order[0]}")).alias("updated_at")
     )
 
@@ -61,12 +60,10 @@ def recheck_batches(
 
     def apply(checks: DataFrame, batch_id: int) -> None:
         before, after = version_path(base, batch_id), version_path(base, batch_id + 1)
-        # Written once: the checks feed four joins and the state is read only here.
-        write_table(checks, f"{after}/checks", mode="overwrite")
         stored = recheck(
             spark.read.parquet(f"{before}/request_url"),
             spark.read.parquet(f"{before}/not_request_url"),
-            spark.read.schema(checks.schema).parquet(f"{after}/checks"),
+            checks,
             pages,
             rules,
             run_ts,

@@ -42,7 +42,7 @@ CHECKS = r"""checks AS (
          strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS updated_at
   FROM fetches WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY url)"""
 
-EDGES = r"""pairs AS (
+EDGES = r"""pairs AS MATERIALIZED (
   SELECT DISTINCT o_custkey AS c, l_suppkey AS s
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 edges AS (
@@ -196,6 +196,10 @@ SELECT doc_id, CAST(i AS INTEGER) AS pos, title, link || '/' || i AS link, date
 FROM (SELECT doc_id, link, date, unnest(lines) AS title, unnest(range(len(lines))) AS i
       FROM (SELECT doc_id, link, date, string_split(content, chr(10)) AS lines FROM docs))"""
 
+ORACLES["api_rejects"] = """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'no body' ELSE 'unreadable body' END AS reject_reason
+FROM documents WHERE doc_id % 5 < 3"""
+
 ORACLES["page_scan"] = """
 SELECT page_id, url, CAST(0 AS INTEGER) AS variant, html FROM pages
 UNION ALL SELECT page_id, url, 1, NULL FROM pages"""
@@ -423,8 +427,9 @@ _MIGRATE = (
     STATE,
     CHECKS,
     f"""texts AS (
-  SELECT DISTINCT url, trim(text, {WS}) AS content
-  FROM fetches JOIN events USING (event_id) JOIN documents ON doc_id = user_id)""",
+  SELECT 'https://site' || doc_id // 10 % 60 || '.example.org/p/' || doc_id % 10 AS url,
+         trim(arg_max(text, doc_id), {WS}) AS content
+  FROM documents GROUP BY url)""",
     _features("texts", "url"),
     """moved AS (
   SELECT checks.url, status, title, created_at, updated_at, coalesce(content, '') AS content,
@@ -450,18 +455,25 @@ ORACLES["migrate_ready"] = _with(*_MIGRATE) + _NEW_READY
 ORACLES["migrate_not_ready"] = _with(*_MIGRATE) + _NEW_NOT_READY
 
 ORACLES["batch_assign"] = """
-SELECT user_id AS list_id, event_id AS pos,
-       (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 20 AS batch
-FROM events"""
+SELECT list_id, pos,
+       (row_number() OVER (PARTITION BY list_id ORDER BY pos NULLS FIRST) - 1) // 20 AS batch
+FROM (SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS list_id, event_id AS pos
+      FROM events WHERE event_id % 100 <> 0
+      UNION ALL
+      SELECT DISTINCT CASE WHEN user_id % 10 <> 0 THEN user_id END, CAST(NULL AS BIGINT)
+      FROM events WHERE event_id % 100 = 0)"""
 
 ORACLES["bucket_assign"] = """
-SELECT collection, list_id, links, CASE WHEN n <= 10 THEN n END AS slot,
+SELECT collection, list_id, day, links, CASE WHEN n <= 10 THEN n END AS slot,
        CASE WHEN n <= 4 THEN 1 WHEN n <= 6 THEN 2 WHEN n <= 8 THEN 3 WHEN n <= 10 THEN 4 END
          AS group_no,
        n > 10 AS rejected
-FROM (SELECT *, CAST(row_number() OVER (PARTITION BY collection ORDER BY list_id) AS INTEGER) AS n
-      FROM (SELECT user_id AS collection, CAST(day(ts) AS INTEGER) AS list_id, count(*) AS links
-            FROM events GROUP BY ALL))"""
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY collection ORDER BY list_id, day, links)
+               AS INTEGER) AS n
+      FROM (SELECT CASE WHEN user_id % 5 <> 0 THEN user_id END AS collection,
+                   CAST(day(ts) % 4 AS INTEGER) AS list_id, CAST(day(ts) AS INTEGER) AS day,
+                   count(*) AS links
+            FROM events WHERE user_id % 5 <> 0 OR event_id < 3000 GROUP BY ALL))"""
 
 # Crawls and nested results.
 
@@ -475,18 +487,18 @@ GROUP BY link"""
 
 _BFS = EDGES + """,
 start AS (SELECT max('c' || c_custkey) AS url FROM customer),
-level1 AS (
+level1 AS MATERIALIZED (
   SELECT link AS url, min(pos) AS k1 FROM edges JOIN start USING (url)
-  WHERE link NOT IN (SELECT url FROM start) GROUP BY link),
-level2 AS (
-  SELECT link AS url, min((k1, pos)) AS key FROM level1 JOIN edges USING (url)
-  WHERE link NOT IN (SELECT url FROM start) AND link NOT IN (SELECT url FROM level1)
   GROUP BY link),
+reached AS (
+  SELECT link AS url, min((k1, pos)) AS key FROM level1 JOIN edges USING (url) GROUP BY link),
+level2 AS (
+  SELECT * FROM reached ANTI JOIN start USING (url) ANTI JOIN level1 USING (url)),
 queue AS (
   SELECT url, 0 AS depth, '' AS order_key, 0 AS a, 0 AS b FROM start
   UNION ALL SELECT url, 1, CAST(k1 AS VARCHAR), k1, 0 FROM level1
   UNION ALL SELECT url, 2, key[1] || '/' || key[2], key[1], key[2] FROM level2),
-visited AS (
+visited AS MATERIALIZED (
   SELECT url, CAST(depth AS INTEGER) AS depth, order_key FROM queue
   ORDER BY depth, a, b LIMIT 1000)"""
 
@@ -531,7 +543,8 @@ SELECT doc_id, CAST(i AS INTEGER) AS pos, lines[i + 1] AS item, CAST(1 AS INTEGE
 FROM {_LINES}
 UNION ALL
 SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER), unnest(p), 2
-FROM (SELECT doc_id, string_split(replace(text, chr(10), ','), ',') AS p FROM documents)"""
+FROM (SELECT doc_id, flatten(list_transform(lines[1:1] || lines[3:], lambda x: string_split(x, ','))) AS p
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))"""
 
 # Whole runs.
 
@@ -548,7 +561,8 @@ _DOC_TEXTS = (
     f"texts AS (SELECT doc_id, trim(content, {WS}) AS content FROM docs)",
     _features("texts", "doc_id"),
     """answers AS (
-  SELECT docs.doc_id, CASE WHEN quality IS NULL THEN 500 WHEN quality = 1 THEN 200 ELSE 404 END
+  SELECT docs.doc_id, CASE WHEN quality IS NULL OR docs.doc_id % 7 = 0 THEN 500
+    WHEN quality = 1 THEN 200 ELSE 404 END
     AS status
   FROM docs LEFT JOIN labels USING (doc_id))""",
 )
@@ -558,8 +572,15 @@ _DOC_FLOW = _with(*_DOC_TEXTS) + f"""
 UNION ALL {_STORED_NOT_READY} FROM docs JOIN answers USING (doc_id) WHERE status <> 200"""
 
 ORACLES["status_flow"] = _DOC_FLOW
-_FIRST = _DOC_FLOW + """
-UNION ALL SELECT 'total_url', link, NULL, NULL, NULL, NULL, NULL, date, NULL FROM docs"""
+_FIRST = _with(
+    *_DOC_TEXTS,
+    """items AS (
+  SELECT doc_id, link, date, unnest(string_split(content, chr(10))) AS title FROM docs)""",
+) + f"""
+{_STORED_READY} FROM items JOIN texts USING (doc_id)
+  JOIN features USING (doc_id) JOIN answers USING (doc_id) WHERE status = 200
+UNION ALL {_STORED_NOT_READY} FROM items JOIN answers USING (doc_id) WHERE status <> 200
+UNION ALL SELECT 'total_url', link, NULL, NULL, NULL, NULL, NULL, date, NULL FROM items"""
 ORACLES["first_collection"] = _FIRST
 ORACLES["stream_collection"] = _FIRST
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions.html import Selector, inner_text
-from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring, skew, topk
+from linkloom.operators import crawl, extract, keywords, portals, reshape, routing, scoring, topk
 from linkloom.plans import collection
 from linkloom.sources import api, csvfiles, tables
 
@@ -346,22 +346,43 @@ def test_write_table(spark, tmp_path, fmt):
     assert rows(tables.read_table(spark, path, fmt=fmt).select("url", "title")) == [("u", "t")] * 2
 
 
-def test_hot_keys_are_spread_without_changing_the_rows(spark):
-    n = F.col("id")
-    link = F.when(n % 3 == 0, F.lit("hot")).when(n % 7 == 0, F.lit(None)).otherwise(
-        F.concat(F.lit("u"), n)
+def test_lossless_on_odd_rows(spark):
+    rows_ = [(1, 5), (1, None), (None, 7), (None, 3), (1, 2)]
+    got = routing.batch_assign(spark.createDataFrame(rows_, "list_id int, pos int"), 2, span=2)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, None, 0), (1, 2, 0), (1, 5, 1), (None, 3, 0), (None, 7, 0)], key=str
     )
-    links = spark.range(0, 3000, numPartitions=8).select(link.alias("link"), F.lit("t").alias("title"))
-    assert skew.hot_keys(links, "link") == []
-    hot = skew.hot_keys(links, "link", min_rows=0)
-    assert hot == ["hot"]
-    right = spark.createDataFrame([("hot", 1), ("u1", 2), ("none", 3)], "link string, v int")
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        plain = links.join(right, "link", how)
-        salted = skew.salted_join(links, right, "link", hot, how=how)
-        assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
-    copies = skew.salted_join(links, right, "link", hot).filter("link = 'hot'")
-    assert copies.count() == 1000
+    tied = [("c", 1, "a"), ("c", 1, "b"), ("c", 1, "b"), (None, 2, "z")]
+    got = routing.bucket_assign(spark.createDataFrame(tied, "collection string, list_id int, x string"))
+    assert sorted((r.collection or "", r.x, r.slot, r.rejected) for r in got.collect()) == [
+        ("", "z", 1, False), ("c", "a", 1, False), ("c", "b", 2, False), ("c", "b", 3, False)
+    ]
+    nested = spark.createDataFrame([(1, [[1, 2], None, [3]])], "k int, x array<array<int>>")
+    got = reshape.flatten_nested(nested, column="x", keys=("k",))
+    assert [r.item for r in got.orderBy("pos").collect()] == [1, 2, 3]
+
+
+def test_unreadable_bodies_are_kept_apart(spark):
+    bodies = [(1, None), (2, "<html>"), (3, '{"items": []}'), (4, '{"items": [{"title": "t"}]}')]
+    parsed = api.parse_api_body(spark.createDataFrame(bodies, "k int, body string"))
+    assert rows(api.api_rejects(parsed, keys=("k",))) == [(1, "no body"), (2, "unreadable body")]
+    assert [r.k for r in api.api_items(parsed, keys=("k",)).collect()] == [4]
+
+
+def test_the_latest_page_of_a_url_counts(spark):
+    links = spark.createDataFrame([("t", "u", "2024-06-24 00:00:00")] * 2, "title string, link string, date string")
+    pages = [("u", 1, "<p>old</p>"), ("u", 3, "<p>new</p>"), ("u", 2, "<p>mid</p>")]
+    pages = spark.createDataFrame(pages, "url string, fetched_at int, html string")
+    got = scoring.enrich_links(links, pages, scoring.ScoreRules(as_of=20240624)).collect()
+    assert [r.content for r in got] == ["new"] * 2
+
+
+def test_errors_are_failures(spark):
+    links = spark.createDataFrame([("t", "u", "d"), ("t", "v", "d")], "title string, link string, date string")
+    log = [("u", 200, None, 1), ("u", 200, "timeout", 2), ("v", 200, "timeout", 1), ("v", 200, None, 2)]
+    log = spark.createDataFrame(log, "url string, status int, error string, fetched_at int")
+    got = routing.classify_links(links, log, "now").collect()
+    assert {r.link: r.status for r in got} == {"u": 500, "v": 200}
 
 
 def test_status_flow_with_hot_links(spark):
@@ -375,10 +396,8 @@ def test_status_flow_with_hot_links(spark):
     ).withColumn("fetched_at", F.lit("2024-06-24").cast("timestamp_ntz"))
     pages = spark.createDataFrame([("u0", "<p>코인</p>"), ("u5", "x")], "url string, html string")
     rules = scoring.ScoreRules(as_of=20240624)
-    flows = [
-        collection.status_flow(links, log, pages, rules, "now", hot=hot) for hot in ([], ["u0", "u9"])
-    ]
-    assert flows[0].ready.count() == 31 and flows[0].not_ready.count() == 59
-    for name in ("ready", "not_ready"):
-        one, two = [sorted(map(str, getattr(f, name).collect())) for f in flows]
-        assert one == two
+    flow = collection.status_flow(links, log, pages, rules, "now")
+    assert flow.ready.count() == 31 and flow.not_ready.count() == 59
+    for rows_ in (flow.ready, flow.not_ready):
+        plan = rows_._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan

@@ -93,9 +93,7 @@ def test_plans(spark, name):
                       "BroadcastNestedLoopJoin"):
         assert forbidden not in plan
     if name in ROW_LOCAL:
-        # Only the spreading of a one-file scan may shuffle.
-        exchanges = [line for line in plan.splitlines() if "Exchange" in line]
-        assert all("RoundRobin" in line for line in exchanges)
+        assert "Exchange" not in plan
 
 
 def test_shared_folder_is_the_named_one(spark):
