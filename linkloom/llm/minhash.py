@@ -215,9 +215,11 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     Equal sets become one class first, so copies never meet in pairs.  Classes are listed under the
     rarest values of their sketches.  First each class is compared with the smallest class of each
     of its lists: the union sketch filters, and the most promising pair of each class is verified on
-    the whole sets.  Lists whose members are then in one component are done.  In the others every
-    pair from different components is compared the same way, so no link between components is left
-    out; pairs inside a component cannot change the result.
+    the whole sets.  Lists whose members are then in one component are done.  In the others each
+    class is compared with a member drawn by lot from each of its lists, which brings in the rest of
+    a large group.  In the lists still open, every class outside the largest component is compared
+    with every member of another component, so no link between components is left out; pairs inside
+    a component cannot change the result.
 
     Null and empty texts, and texts of blanks, have n_shingles 0 and are linked with nothing; so are
     rows with a null doc_id (component_id null, kept).  doc_id names a document: rows repeated with
@@ -257,16 +259,37 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         own = links.select(F.col("u").alias(node), F.col("m").alias(name))
         return rows.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    rest = in_component(lists.filter("cls <> head"), "cls", "comp")
-    split = rest.groupBy("value").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b")
-    rest = materialize(rest.join(split.select("value"), "value", "left_semi"), "near-rest")
-    left = rest.select("value", *[F.col(c).alias(f"u_{c}") for c in ("cls", "n", "comp")])
-    right = rest.select("value", *[F.col(c).alias(f"v_{c}") for c in ("cls", "n", "comp")])
+    def unresolved(rows: DataFrame) -> DataFrame:
+        """Entries of the lists whose members are in several components."""
+        rest = in_component(rows.select("value", "cls", "n"), "cls", "comp")
+        split = rest.groupBy("value").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
+        split = split.filter("a < b").select("value")
+        return materialize(rest.join(split, "value", "left_semi"), "near-rest")
+
+    rest = unresolved(lists.filter("cls <> head"))
+    lot = F.struct(F.xxhash64("value", "cls").alias("h"), "cls", "n", "comp")
+    drawn = rest.groupBy("value").agg(F.min(lot).alias("v"))
+    tried = (
+        rest.join(drawn, "value")
+        .filter("comp <> v.comp")
+        .filter(sizes_allow("n", "v.n"))
+        .select(F.col("cls").alias("u"), F.col("v.cls").alias("v"))
+        .distinct()
+    )
+    best = estimated(tried, classes).groupBy("u").agg(F.max_by("v", F.struct("common", "v")).alias("v"))
+    more = verified(best, docs, width)
+    links = components(links.select("u", F.col("m").alias("v")).unionByName(more))
+
+    rest = unresolved(rest)
+    main = rest.groupBy("value", "comp").count().groupBy("value")
+    main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
+    outside = rest.join(main, "value").filter("comp <> main")
+    outside = outside.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "comp")])
     across = (
-        left.join(right, "value")
-        .filter("u_comp < v_comp")
-        .filter(sizes_allow("u_n", "v_n"))
-        .select(F.col("u_cls").alias("u"), F.col("v_cls").alias("v"))
+        outside.join(rest, "value")
+        .filter("comp <> o_comp")
+        .filter(sizes_allow("n", "o_n"))
+        .select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v"))
         .distinct()
     )
     open_star = in_component(in_component(star, "u", "u_comp"), "v", "v_comp").filter("u_comp <> v_comp")
