@@ -240,6 +240,41 @@ def block_extract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def list_portal(spark: SparkSession, sf: str) -> DataFrame:
+    found = portals.list_blocks(fx.list_pages(spark, sf), keys=("page_id",))
+    return found.select("page_id", "item", "link", "date", "title")
+
+
+@query
+def result_portal(spark: SparkSession, sf: str) -> DataFrame:
+    return portals.result_blocks(fx.result_pages(spark, sf), keys=("page_id",)).drop("block")
+
+
+@query
+def card_portal(spark: SparkSession, sf: str) -> DataFrame:
+    return portals.card_blocks(fx.card_pages(spark, sf), keys=("page_id",))
+
+
+@query
+def site_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    return portals.collect_sites(
+        {
+            "naver": fx.api_bodies(spark, sf),
+            "daum": fx.list_pages(spark, sf),
+            "google": fx.result_pages(spark, sf),
+            "bing": fx.card_pages(spark, sf),
+        }
+    )
+
+
+@query
+def portal_requests(spark: SparkSession, sf: str) -> DataFrame:
+    words = fx.table(spark, sf, "part").select(F.col("p_name").alias("keyword")).distinct()
+    forms = [api.portal_requests(words, form).withColumn("form", F.lit(form)) for form in ("list", "result", "card")]
+    return forms[0].unionByName(forms[1]).unionByName(forms[2])
+
+
 @query
 def class_detect(spark: SparkSession, sf: str) -> DataFrame:
     candidates = ("algocore", "ad", "lead story")

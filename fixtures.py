@@ -232,6 +232,45 @@ def graph_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _anchor_texts() -> Column:
+    return F.regexp_extract_all("html", F.lit("(?is)<a [^>]*>.*?</a>"), 0)
+
+
+def _portal_pages(spark: SparkSession, sf_dir: str, before: str, each: Column, after: str) -> DataFrame:
+    """Pages of a portal around each web page's own anchors: page_id, url, html."""
+    html = F.concat(F.lit(before), F.array_join(each, ""), F.lit(after))
+    return text_table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+
+
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list portal, with lists that are none of its own before, inside and after."""
+    foreign = '<ul><li data-docid="26x"><strong class="tit-g clamp-g"><a href="http://x">x</a></strong></li></ul>'
+    item = '<li data-docid="26a"><strong class="tit-g clamp-g">'
+    info = '</strong><span class="gem-subinfo"><b>by</b><span class="txt_info">1 min</span></span></li>'
+    each = F.transform(_anchor_texts(), lambda a: F.concat(F.lit(item), a, F.lit(info)))
+    end = f'<li>more<ul><li>1</li></ul></li></ul>{foreign.replace("26x", "26y")}'
+    return _portal_pages(spark, sf_dir, f'{foreign}<ul class="c-list-basic">', each, end)
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result portal, with links outside its block before, beside and after."""
+    link = '<a jsname="YKoRaf" href="http://%s">x</a>'
+    before = f'<div data-hveid="zz"><div class="MjjYud">{link % "before"}</div></div>'
+    before += f'<div data-hveid="CAx"><div class="ad">{link % "ad"}</div><div class="MjjYud">'
+    after = f'<div>{link % "nested"}</div></div><div class="MjjYud">{link % "second"}</div></div>{link % "after"}'
+    own = F.transform(_anchor_texts(), lambda a: F.concat(F.lit('<a jsname="YKoRaf" '), F.substring(a, 4, 1 << 30)))
+    return _portal_pages(spark, sf_dir, before, own, after)
+
+
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A card portal, with cards outside its containers."""
+    card = '<div class="newscard vr" url="http://%s"><div>x</div></div>'
+    links = F.transform(_anchor_texts(), lambda a: F.regexp_extract(a, 'href="([^"]*)"', 1))
+    own = F.transform(links, lambda h: F.concat(F.lit('<div class="newscard vr" url="'), h, F.lit('"><p>t</p></div>')))
+    before, after = f'{card % "before"}<div class="nwscnt">', f'</div>{card % "after"}<div class="nwscnt"></div>'
+    return _portal_pages(spark, sf_dir, before, own, after)
+
+
 def html_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link records of the web pages: page_url, pos, title, link, date."""
     return page_link_records(text_table(spark, sf_dir, "pages"), RUN_TS).withColumnRenamed(

@@ -33,8 +33,7 @@ RESULT_BLOCK_ID = r"CA|QHw|CA[0-9a-zA-Z]+|CB[0-9a-zA-Z]+"
 # Search request address forms.
 API_ROWS_PER_REQUEST = 100
 PORTAL_SEARCH_URLS = {
-    "list": "https://search.daum.net/search?w=news&nil_search=btn&DA=NTB&enc=utf8"
-    "&cluster=y&cluster_page=1&q=%s",
+    "list": "https://search.daum.net/search?w=news&nil_search=btn&DA=NTB&enc=utf8&cluster=y&cluster_page=1&q=%s",
     "result": "https://www.google.com/search?q=%s&tbm=nws&gl=ko&hl=kr",
     "card": "https://www.bing.com/news/search?q=%s",
 }

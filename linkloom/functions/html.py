@@ -1,13 +1,14 @@
 """HTML as expressions: elements, attributes, anchors, visible text.
 
-There is no tree.  An element is the text from its opening tag up to the next
-element of the same selector, or to its own closing tag; repeated blocks are taken
-to be siblings.  Every pattern is linear in the page, with possessive loops where a
-loop over alternatives is needed.
+There is no tree.  A whole element is found by counting opening and closing tags of its
+name; simpler forms cut at the next tag where elements are known to hold none of their
+own.  Every pattern is linear in the page, with possessive loops where a loop over
+alternatives is needed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -78,7 +79,7 @@ def drop_hidden(html: Column) -> Column:
 def visible_text(html: Column) -> Column:
     """Text nodes, stripped, empties dropped, joined by one space; null gives ''."""
     marked = F.regexp_replace(html, _HIDDEN_OR_TAG, MARK)
-    nodes = F.transform(F.split(decode_entities(marked), MARK), strip)
+    nodes = F.transform(F.split(marked, MARK), lambda x: strip(decode_entities(x)))
     return F.coalesce(F.array_join(F.filter(nodes, lambda x: x != ""), " "), F.lit(""))
 
 
@@ -163,17 +164,43 @@ def flat_elements(html: Column, selector: Selector) -> Column:
     return F.transform(found, lambda p: until_close(p, selector.tag))
 
 
-def blocks(html: Column, selector: Selector) -> Column:
-    """Elements that may nest their own tag: each runs to the next match or page end.
+def inside(element: Column) -> Column:
+    """What follows the opening tag of an element."""
+    return F.regexp_replace(element, r"(?is)^<[a-z]" + _ATTRS + ">", "")
 
-    The pieces between two matches belong to the first, so they are glued back to it.
+
+def whole_elements(html: Column, tag: str, wanted: Callable[[Column], Column]) -> Column:
+    """Elements whose opening tag is ``wanted``, in page order, nested ones too.
+
+    Opening and closing tags of the name give a running depth; an element ends before
+    the tag where the depth falls below its own, or at the page's end.
     """
-    pieces = starting_tags(html, selector.tag)
-    glued = F.array_join(
-        F.transform(
-            pieces, lambda p: F.when(matches(p, selector), F.concat(F.lit(MARK), p)).otherwise(p)
-        ),
-        "",
-    )
-    split = F.split(glued, MARK)
-    return F.slice(split, 2, F.greatest(F.size(split) - 1, F.lit(0)))
+
+    def found(parts: Column) -> Column:
+        opens = F.transform(parts, lambda p: F.rlike(p, F.lit(r"(?i)^<" + tag + r"[\s/>]")))
+        closes = F.transform(parts, lambda p: F.rlike(p, F.lit(r"(?i)^</" + tag + r"[\s>]")))
+        steps = F.zip_with(
+            opens, closes, lambda o, c: F.when(o, 1).when(c, -1).otherwise(0)
+        )
+        depths = F.aggregate(
+            steps,
+            F.array(F.lit(0)),
+            lambda seen, s: F.array_append(seen, F.element_at(seen, -1) + s),
+        )
+        # depths[i] is the depth after the first i parts.
+        return bind(depths, lambda depth: F.filter(F.transform(parts, lambda p, i: cut(parts, depth, p, i)), lambda e: e.isNotNull()))
+
+    def cut(parts: Column, depth: Column, part: Column, i: Column) -> Column:
+        own = F.get(depth, i + 1)
+        rest = F.slice(depth, i + 3, F.size(depth))
+        ends = F.array_position(F.transform(rest, lambda d: d < own), True).cast("int")
+        length = F.when(ends > 0, ends).otherwise(F.size(parts))
+        opened = F.rlike(part, F.lit(r"(?i)^<" + tag + r"[\s/>]"))
+        return F.when(opened & wanted(part), F.array_join(F.slice(parts, i + 1, length), ""))
+
+    return bind(F.split(html, r"(?i)(?=</?" + tag + r"[\s/>])"), found)
+
+
+def selected(html: Column, selector: Selector) -> Column:
+    """Whole elements that a selector matches."""
+    return whole_elements(html, selector.tag, lambda e: matches(e, selector))

@@ -121,10 +121,10 @@ def element_search(
 ) -> DataFrame:
     """Elements matching a selector: keys, pos, element.
 
-    ``nested`` is for elements that may hold their own tag; they then run to the next
-    match.  Otherwise an element ends at its first closing tag.
+    ``nested`` is for elements that may hold their own tag.  Otherwise an element ends at
+    its first closing tag.
     """
-    find = H.blocks if nested else H.flat_elements
+    find = H.selected if nested else H.flat_elements
     found = find(H.drop_hidden(F.col(html)), selector)
     return exploded(pages, keys, found, item="element")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.constants import CARD_CLASSES, RESULT_BLOCK_ID
 from linkloom.functions import html as H
-from linkloom.functions.binding import exploded
+from linkloom.functions.binding import bind, exploded
 from linkloom.functions.text import title_squash
 from linkloom.sources.api import api_items
 
@@ -57,20 +57,15 @@ def list_blocks(
     """
     keys = list(keys)
     body = H.drop_hidden(F.col(html))
-    containers = exploded(pages, keys, H.blocks(body, profile.container), pos="block")
-    # A container ends at its last closing tag; what follows it is page furniture.
-    inside = F.regexp_replace(
-        F.col("item"), r"(?is)^(.*)</" + profile.container.tag + r"[\s>].*$", "$1"
-    )
+    containers = exploded(pages, keys, H.selected(body, profile.container), pos="block")
     keys = [*keys, "block"]
-    items = exploded(
-        containers, keys, H.flat_elements(inside, profile.item), pos="item", item="html_"
-    )
+    inside = H.selected(H.inside(F.col("item")), profile.item)
+    items = exploded(containers, keys, inside, pos="item", item="html_")
     titles = H.flat_elements(F.col("html_"), profile.title)
     infos = (
         F.transform(titles, lambda _: F.lit(""))
         if profile.info is None
-        else H.blocks(F.col("html_"), profile.info)
+        else H.selected(F.col("html_"), profile.info)
     )
     keys = [*keys, "item"]
     found = items.select(*keys, titles.alias("titles"), infos.alias("infos"))
@@ -107,8 +102,8 @@ def result_blocks(
     Only the first inner block is read unless ``first_block_only`` is off.
     """
     keys = list(keys)
-    after_outer = F.array_join(H.blocks(H.drop_hidden(F.col(html)), outer), "")
-    found = H.blocks(after_outer, inner)
+    outers = H.selected(H.drop_hidden(F.col(html)), outer)
+    found = F.flatten(F.transform(outers, lambda o: H.selected(H.inside(o), inner)))
     if first_block_only:
         found = F.slice(found, 1, 1)
     block_rows = exploded(pages, keys, found, pos="block", item="html_")
@@ -130,36 +125,39 @@ def card_blocks(
 ) -> DataFrame:
     """Links of a card portal: keys, pos, link (null when the card has none).
 
-    The first two candidate classes present are container and card; a page with
+    Cards count once for each container that holds them.  The first two candidate classes present are container and card; a page with
     fewer gives no rows.
     """
     keys = list(keys)
     detected = class_detect(F.col(html), candidates)
-    divs = F.transform(
-        H.starting_tags(H.drop_hidden(F.col(html)), "div"),
-        lambda d: F.struct(
-            H.attribute(d, "class").alias("class"), H.attribute(d, attribute).alias("link")
-        ),
-    )
-    staged = pages.select(*keys, detected.alias("detected"), divs.alias("divs")).filter(
-        F.size("detected") >= 2
-    )
+    staged = pages.select(
+        *keys, detected.alias("detected"), H.drop_hidden(F.col(html)).alias("html_")
+    ).filter(F.size("detected") >= 2)
 
     def has_class(div: Column, wanted: Column) -> Column:
         is_token = ~F.contains(wanted, F.lit(" "))
         return F.coalesce(
-            (div["class"] == wanted)
-            | (is_token & F.array_contains(F.split(div["class"], r"\s+"), wanted)),
+            bind(
+                H.attribute(div, "class"),
+                lambda own: (own == wanted)
+                | (is_token & F.array_contains(F.split(own, r"\s+"), wanted)),
+            ),
             F.lit(False),
         )
 
     container, card = F.col("detected")[0], F.col("detected")[1]
-    first = F.array_position(F.transform("divs", lambda d: has_class(d, container)), True)
-    located = staged.select("*", first.cast("int").alias("first")).filter("first > 0")
-    cards = F.filter(
-        F.slice("divs", F.col("first") + 1, F.size("divs")), lambda d: has_class(d, card)
+    containers = H.whole_elements(F.col("html_"), "div", lambda d: has_class(d, container))
+    cards = F.flatten(
+        F.transform(
+            containers,
+            lambda c: F.filter(
+                H.starting_tags(H.inside(c), "div"), lambda d: has_class(d, card)
+            ),
+        )
+    )
+    return exploded(staged, keys, cards, item="card").select(
+        *keys, "pos", H.attribute(F.col("card"), attribute).alias("link")
     )
-    return exploded(located, keys, cards, item="card").select(*keys, "pos", "card.link")
 
 
 def _link_rows(rows: DataFrame) -> DataFrame:

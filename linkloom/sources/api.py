@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.constants import API_ROWS_PER_REQUEST
+from linkloom.constants import API_ROWS_PER_REQUEST, PORTAL_SEARCH_URLS
 from linkloom.functions.binding import exploded
 from linkloom.functions.dates import pubdate_norm
 from linkloom.schemas import API_BODY, API_RESPONSE
@@ -49,8 +49,11 @@ def request_plan(
 
 
 def portal_requests(keywords: DataFrame, form: str, *, keyword: str = "keyword") -> DataFrame:
-    """Put each keyword into a portal's search address; ``form`` holds one ``%s``."""
-    before, after = form.split("%s")
+    """Put each keyword into a portal's search address: keyword, url.
+
+    ``form`` is ``list``, ``result`` or ``card``, or an address with one ``%s``.
+    """
+    before, after = PORTAL_SEARCH_URLS.get(form, form).split("%s")
     return keywords.select(
         F.col(keyword).alias("keyword"),
         F.concat(F.lit(before), F.col(keyword), F.lit(after)).alias("url"),

@@ -279,6 +279,35 @@ FROM (SELECT page_id, unnest(lis) AS li, unnest(range(len(lis))) AS item
                      '(?is)<li>.*?</li>') AS lis
             FROM pages))"""
 
+_OWN = r"""own AS (
+  SELECT page_id, unnest(links) AS a, unnest(range(len(links))) AS i
+  FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a [^>]*>.*?</a>') AS links FROM pages))"""
+_OWN_HREF = _unescape("regexp_extract(a, 'href=\"([^\"]*)\"', 1)")
+_OWN_TEXT = f"trim(replace({_unescape("regexp_replace(a, '(?s)<[^>]*>', '', 'g')")}, ' ', ''), {WS})"
+ORACLES["list_portal"] = _with(_OWN) + f"""
+SELECT page_id, CAST(i AS INTEGER) AS item, {_OWN_HREF} AS link, '1 min' AS date,
+       {_OWN_TEXT} AS title FROM own"""
+_RESULTS = f"""SELECT page_id, CAST(i AS INTEGER) AS pos, {_OWN_HREF} AS link FROM own
+UNION ALL SELECT page_id, CAST((SELECT count(*) FROM own WHERE own.page_id = pages.page_id) AS INTEGER),
+  'http://nested' FROM pages"""
+ORACLES["result_portal"] = _with(_OWN) + _RESULTS
+_CARDS = f"SELECT page_id, CAST(i AS INTEGER) AS pos, {_OWN_HREF} AS link FROM own"
+ORACLES["card_portal"] = _with(_OWN) + _CARDS
+ORACLES["site_dispatch"] = _with(DOCS, _OWN) + f"""
+SELECT title, link || '/' || i AS link, date, 'naver' AS site
+FROM (SELECT link, date, unnest(lines) AS title, unnest(range(len(lines))) AS i
+      FROM (SELECT link, date, string_split(content, chr(10)) AS lines FROM docs))
+UNION ALL SELECT {_OWN_TEXT}, {_OWN_HREF}, '1 min', 'daum' FROM own
+UNION ALL SELECT NULL, link, NULL, 'google' FROM ({_RESULTS})
+UNION ALL SELECT NULL, link, NULL, 'bing' FROM ({_CARDS})"""
+
+ORACLES["portal_requests"] = """
+SELECT keyword, form, before || keyword || after AS url
+FROM (SELECT DISTINCT p_name AS keyword FROM part),
+     (VALUES ('list', 'https://search.daum.net/search?w=news&nil_search=btn&DA=NTB&enc=utf8&cluster=y&cluster_page=1&q=', ''),
+             ('result', 'https://www.google.com/search?q=', '&tbm=nws&gl=ko&hl=kr'),
+             ('card', 'https://www.bing.com/news/search?q=', '')) f(form, before, after)"""
+
 ORACLES["class_detect"] = """
 SELECT page_id, CASE WHEN NOT contains(html, 'class="ad">') THEN ''
   ELSE CASE page_id % 4 WHEN 0 THEN 'algocore|ad' WHEN 2 THEN 'ad|lead story' ELSE 'ad' END

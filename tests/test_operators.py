@@ -107,6 +107,25 @@ def test_card_portal(spark):
     ]
 
 
+def test_portal_blocks_end_at_their_own_tags(spark):
+    item = '<li data-docid="26{0}"><strong class="tit-g clamp-g"><a href="http://{0}">t</a></strong>'
+    item += '<span class="gem-subinfo"><span class="txt_info">d</span></span></li>'
+    html = f'{item.format("a")}<ul class="c-list-basic">{item.format("b")}<ul><li>z</li></ul>{item.format("c")}</ul>'
+    html += f'<ul>{item.format("d")}</ul>'
+    got = rows(portals.list_blocks(page(spark, html)).select("link"))
+    assert got == [("http://b",), ("http://c",)]
+    link = '<a jsname="YKoRaf" href="http://{0}">t</a>'
+    html = f'<div data-hveid="CA"><div class="MjjYud"><div>{link.format("in")}</div></div>{link.format("x")}</div>'
+    html = f'<div data-hveid="CA"></div>{html}<div class="MjjYud">{link.format("y")}</div>'
+    assert rows(portals.result_blocks(page(spark, html)).select("link")) == [("http://in",)]
+    html = f'<div data-hveid="CA" class="MjjYud"><div class="MjjYud"></div>{link.format("x")}</div>{link.format("y")}'
+    assert rows(portals.result_blocks(page(spark, html))) == []
+    card = '<div class="newscard vr" url="{0}"></div>'
+    html = f'{card.format("a")}<div class="nwscnt"><div>{card.format("b")}</div><div class="nwscnt">{card.format("c")}'
+    html += f'</div></div>{card.format("d")}'
+    assert sorted(rows(portals.card_blocks(page(spark, html)).select("link"))) == [("b",), ("c",), ("c",)]
+
+
 def test_site_dispatch(spark):
     html = '<div class="nwscnt"><div class="newscard vr" url="u1"></div></div>'
     got = rows(portals.collect_sites({"bing": page(spark, html), "google": page(spark, "<p></p>")}))
