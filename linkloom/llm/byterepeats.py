@@ -25,7 +25,7 @@ GRAM = 16
 #: Windows of a phrase at most; longer runs become several phrases.
 LONGEST = 256
 #: Windows that a task sorts at once, unless one trigger alone has more.
-SORTED = 1_500_000
+SORTED = 700_000
 
 
 def window_triggers(data: bytes) -> np.ndarray:
@@ -51,18 +51,11 @@ def _changes(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if values.size else np.empty(0, np.int64)
 
 
-def trigger_hashes(rows: DataFrame) -> DataFrame:
-    """One binary per row: the distinct trigger hashes of its windows, eight bytes each."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = []
-            for text in batch.column(0).to_pylist():
-                found = window_triggers(text.encode())
-                packed.append(np.unique(found[_changes(found)]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["triggers"])
-
-    return rows.select("_text").mapInArrow(find, "triggers binary")
+def trigger_hashes(column: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct trigger hashes of each text's windows."""
+    for text in column:
+        found = window_triggers(text.as_py().encode())
+        yield np.unique(found[_changes(found)])
 
 
 def parse(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -77,8 +70,8 @@ def parse(rows: DataFrame, table: np.ndarray) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             triggers, phrases, starts, times = [np.empty(0, np.uint64)], [], [], []
-            for text in batch.column(2).to_pylist():
-                data = text.encode()
+            for text in batch.column(2):
+                data = text.as_py().encode()
                 found = window_triggers(data)
                 begins = _changes(found)
                 ends = np.r_[begins[1:], found.size]
@@ -198,7 +191,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     whole = copies(rows)
     distinct = without(rows, whole)
     n = distinct.select(F.sum(F.octet_length("_text"))).first()[0] or 0
-    prints = repeated(trigger_hashes(distinct), "triggers", n // 18, remainder_bytes=4)
+    prints = repeated(distinct, "_text", n // 18, 4, trigger_hashes)
     table = hash_bitmap(prints.select("print"), "print")
     parsed = materialize(parse(distinct, table), "parse")
     name = ["trigger", "p1", "p2"]

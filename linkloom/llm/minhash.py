@@ -26,7 +26,7 @@ COMMON = 34
 SIMILAR = 80
 #: Bits of a sketch value by which its frequency is counted, for the order of the inverted lists.
 COUNTER_BITS = 16
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -81,14 +81,17 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            sets = [shingler.set(t) for t in batch.column(1).to_pylist()]
-            prints = [fingerprint(s) for s in sets]
-            least = [s[:K].view(np.int64) for s in sets]
+            sizes, prints, least = [], [], []
+            for text in batch.column(1):
+                found = shingler.set(text.as_py())
+                sizes.append(found.size)
+                prints.append(fingerprint(found))
+                least.append(found[:K].view(np.int64).copy())
             offsets = np.cumsum([0, *map(len, least)], dtype=np.int32)
             values = np.concatenate([*least, np.empty(0, np.int64)])
             columns = [
                 batch.column(0),
-                pa.array([s.size for s in sets], pa.int64()),
+                pa.array(sizes, pa.int64()),
                 pa.array([p[0] for p in prints], pa.int64()),
                 pa.array([p[1] for p in prints], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),

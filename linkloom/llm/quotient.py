@@ -8,15 +8,16 @@ lost, because a remainder holds every bit that block and quotient leave.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 QUOTIENT_BITS = 8
 #: Fingerprints that a task gathers before it writes a filter.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Fingerprints aimed at for a block, which one task merges in memory.
 PER_BLOCK = 1 << 17
 SCHEMA = "block long, runs binary, remainders binary, places binary, counts binary"
@@ -84,31 +85,44 @@ def merge(filters: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([quotients[at], remainders[at]]), np.add.reduceat(counts, at)
 
 
-def repeated(prints: DataFrame, column: str, n: int, remainder_bytes: int = 7) -> DataFrame:
-    """(print, count) of the fingerprints that occur more than once among ``column``.
+def own_values(column: pa.Array) -> Iterator[np.ndarray]:
+    """The fingerprints that a column of longs holds."""
+    yield column.to_numpy().view(np.uint64)
 
-    ``column`` holds a fingerprint (long) or many (binary, eight bytes each); n is about how many
-    there are.  With fewer than 64 bits in use, print is the fingerprint with its last bits zero.
-    A task holds CHUNK fingerprints at most, and a block about PER_BLOCK different ones, each at
-    most once per chunk, however many rows share one fingerprint.
+
+def repeated(
+    rows: DataFrame,
+    column: str,
+    n: int,
+    remainder_bytes: int = 7,
+    prints: Callable[[pa.Array], Iterator[np.ndarray]] = own_values,
+) -> DataFrame:
+    """(print, count) of the 64-bit fingerprints that occur more than once.
+
+    ``prints`` gives the fingerprints of a batch of ``column``, and n is about how many there are in
+    all.  With fewer than 64 bits in use, print is the fingerprint with its last bits zero.  A task
+    holds CHUNK fingerprints and those of one more row at most, and a block about PER_BLOCK
+    different ones, each at most once per chunk, however many rows share one fingerprint.
     """
     bits = block_bits_for(n)
     used = min(64, bits + QUOTIENT_BITS + 8 * remainder_bytes)
+    schema = pa.schema(
+        [("block", pa.int64()), *[(c, pa.binary()) for c in ("runs", "remainders", "places", "counts")]]
+    )
 
-    def filters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            if batch.dtypes.iloc[0] == object:
-                new = np.frombuffer(b"".join(batch[column]), "<u8")
-            else:
-                new = batch[column].to_numpy(np.int64).view(np.uint64)
-            held.append(new)
-            size += new.size
-            if size >= CHUNK:
-                yield pd.DataFrame(build(np.concatenate(held), bits, remainder_bytes))
-                held, size = [], 0
+            for new in prints(batch.column(0)):
+                held.append(new)
+                size += new.size
+                if size >= CHUNK:
+                    blocks = build(np.concatenate(held), bits, remainder_bytes)
+                    yield pa.RecordBatch.from_pylist(list(blocks), schema)
+                    held, size = [], 0
         if size:
-            yield pd.DataFrame(build(np.concatenate(held), bits, remainder_bytes))
+            blocks = build(np.concatenate(held), bits, remainder_bytes)
+            yield pa.RecordBatch.from_pylist(list(blocks), schema)
 
     def merged(block: pd.DataFrame) -> pd.DataFrame:
         (quotients, remainders), counts = merge(block)
@@ -122,8 +136,8 @@ def repeated(prints: DataFrame, column: str, n: int, remainder_bytes: int = 7) -
         return pd.DataFrame({"print": value.view(np.int64), "count": counts[more]})
 
     return (
-        prints.select(column)
-        .mapInPandas(filters, SCHEMA)
+        rows.select(column)
+        .mapInArrow(filters, SCHEMA)
         .groupBy("block")
         .applyInPandas(merged, "print long, count long")
     )

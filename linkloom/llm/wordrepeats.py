@@ -22,11 +22,11 @@ from linkloom.session import materialize
 WINDOW = 20
 BLOCK = 4
 LEVELS = WINDOW // BLOCK
-#: Words of an anchor: each window has the anchor with the smallest hash in it.
-ANCHOR = 8
+#: Words of an anchor, two blocks: each window has the anchor with the smallest hash in it.
+ANCHOR = 2 * BLOCK
 #: Suffixes of one range, which one task sorts.
 PER_RANGE = 400_000
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 
 PATH = [f"s{i}" for i in range(LEVELS)]
 PLACE = ["k", "h", "pos"]
@@ -49,38 +49,31 @@ class WordHasher:
         return found
 
 
-def grams(hashes: np.ndarray, size: int) -> np.ndarray:
-    """The hash of each run of ``size`` words."""
-    n = hashes.size - size + 1
-    whole = np.full(max(0, n), size, np.uint64)
-    for i in range(size if n > 0 else 0):
-        whole = mixed(whole ^ hashes[i : i + n]) + np.uint64(0x9E3779B97F4A7C15)
-    return mixed(whole)
+def runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each run of ``size`` words, a power of two."""
+    step = 1
+    while step < size:
+        hashes = mixed(hashes[:-step] * np.uint64(0x9E3779B97F4A7C15) + hashes[step:])
+        step *= 2
+    return hashes
 
 
-def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each anchor candidate, and for each window the place of its anchor (leftmost least)."""
-    found = grams(hashes, ANCHOR)
     width = WINDOW - ANCHOR + 1
-    if found.size < width:
-        return found, np.empty(0, np.int64)
+    if blocks.size < width + BLOCK:
+        return blocks[:0], np.empty(0, np.int64)
+    found = mixed(blocks[:-BLOCK] * np.uint64(0x9E3779B97F4A7C15) + blocks[BLOCK:])
     least = np.lib.stride_tricks.sliding_window_view(found, width).argmin(1)
     return found, least + np.arange(least.size)
 
 
-def anchor_hashes(rows: DataFrame) -> DataFrame:
-    """One binary per row: the hashes of the anchors that its windows have, eight bytes each."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in batches:
-            packed = []
-            for text in batch.column(0).to_pylist():
-                found, places = anchors(hasher.hashes(text))
-                packed.append(found[np.unique(places)].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["anchors"])
-
-    return rows.select("_text").mapInArrow(find, "anchors binary")
+def anchor_hashes(column: pa.Array) -> Iterator[np.ndarray]:
+    """The hashes of the anchors that each text's windows have."""
+    hasher = WordHasher()
+    for text in column:
+        found, places = anchors(runs(hasher.hashes(text.as_py()), BLOCK))
+        yield found[np.unique(places)]
 
 
 def suffixes(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -96,13 +89,13 @@ def suffixes(rows: DataFrame, table: np.ndarray) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             paths, starts = [np.empty((0, LEVELS), np.int32)], [np.empty(0, np.int32)]
-            for text in batch.column(2).to_pylist():
-                hashes = hasher.hashes(text)
-                found, places = anchors(hashes)
+            for text in batch.column(2):
+                blocks = runs(hasher.hashes(text.as_py()), BLOCK)
+                found, places = anchors(blocks)
                 own = np.flatnonzero(in_bitmap(shared.value, found[places])).astype(np.int32)
                 starts.append(own)
                 if own.size:
-                    blocks = (grams(hashes, BLOCK) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    blocks = (blocks >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     paths.append(blocks[own[:, None] + BLOCK * np.arange(LEVELS)])
             path = np.concatenate(paths)
             times = [s.size for s in starts[1:]]
@@ -169,7 +162,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     whole = copies(rows)
     distinct = without(rows, whole)
     n = distinct.select(F.sum(F.octet_length("_text"))).first()[0] or 0
-    prints = repeated(anchor_hashes(distinct), "anchors", n // 40, remainder_bytes=4)
+    prints = repeated(distinct, "_text", n // 40, 4, anchor_hashes)
     table = hash_bitmap(prints.select("print"), "print")
     found = materialize(suffixes(distinct, table), "suffixes")
     order = [*PATH, *PLACE]
