@@ -683,6 +683,11 @@ def _all_rows(stored: collection.StoredTables) -> DataFrame:
         missing.cast("double").alias("score"), "created_at", "updated_at",
     )
     rows = ready.unionByName(not_ready)
+    if stored.rejected is not None:
+        rejected = stored.rejected.withColumns(
+            {"stored_in": F.lit("reject_url"), "content": F.col("reject_reason")}
+        )
+        rows = rows.unionByName(rejected.drop("reject_reason"), allowMissingColumns=True)
     if stored.total is None:
         return rows
     total = stored.total.select(F.lit("total_url").alias("stored_in"), "url", "created_at")
@@ -697,7 +702,7 @@ def _doc_links(spark: SparkSession, sf: str) -> DataFrame:
 def status_flow(spark: SparkSession, sf: str) -> DataFrame:
     return _all_rows(
         collection.status_flow(
-            fx.doc_links(spark, sf), fx.doc_fetch_log(spark, sf), fx.doc_pages(spark, sf), fx.RULES, fx.RUN_TS
+            fx.odd_links(spark, sf), fx.doc_fetch_log(spark, sf), fx.doc_pages(spark, sf), fx.RULES, fx.RUN_TS
         )
     )
 
@@ -705,7 +710,10 @@ def status_flow(spark: SparkSession, sf: str) -> DataFrame:
 def _read_stored(spark: SparkSession, base: str, total: bool = True) -> collection.StoredTables:
     read = lambda name: spark.read.parquet(f"{base}/{name}")
     return collection.StoredTables(
-        read("request_url"), read("not_request_url"), read("total_url") if total else None
+        read("request_url"),
+        read("not_request_url"),
+        read("total_url") if total else None,
+        read("reject_url") if total else None,
     )
 
 

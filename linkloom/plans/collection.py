@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from linkloom.functions.dates import date_int
 
 from linkloom.operators.crawl import deep_crawl
 from linkloom.operators.routing import classify_links, route_not_ready, route_ready
@@ -15,11 +19,12 @@ from linkloom.sources import tables
 
 @dataclass(frozen=True)
 class StoredTables:
-    """Rows of the stored tables: all links, ready links, not-ready links."""
+    """Rows of the stored tables: ready links, not-ready links, all links, rejected links."""
 
     ready: DataFrame
     not_ready: DataFrame
     total: DataFrame | None = None
+    rejected: DataFrame | None = None
 
     def write(
         self, base: str, *, suffix: str = "", mode: str = "append", fmt: str = "parquet"
@@ -30,13 +35,44 @@ class StoredTables:
         ``overwrite``, so that it leaves its rows once.
         """
         named = {
-            "total_url": self.total, "request_url": self.ready, "not_request_url": self.not_ready
+            "total_url": self.total,
+            "request_url": self.ready,
+            "not_request_url": self.not_ready,
+            "reject_url": self.rejected,
         }
         for name, rows in named.items():
             if rows is not None:
                 tables.write_table(rows, f"{base}/{name}{suffix}", mode=mode, fmt=fmt)
 
 
+def classified_links(
+    links: DataFrame, fetch_log: DataFrame, run_ts: str, *, order: Sequence[str] = ("fetched_at",)
+) -> DataFrame:
+    """Links with status, updated_at and ``reject_reason``, written to the shared folder once.
+
+    A link is rejected if it has no address or a date that cannot be read.
+    """
+    reason = F.when(F.col("link").isNull(), F.lit("link")).when(
+        date_int(F.col("date")).isNull(), F.lit("date")
+    )
+    classified = classify_links(links, fetch_log, run_ts, order=order)
+    return materialize(classified.withColumn("reject_reason", reason), "classified")
+
+
+def _stored(
+    classified: DataFrame, pages: DataFrame, rules: ScoreRules, run_ts: str
+) -> StoredTables:
+    accepted = classified.filter("reject_reason is null").drop("reject_reason")
+    enriched = enrich_links(route_ready(accepted), pages, rules)
+    return StoredTables(
+        ready=tables.ready_rows(enriched, run_ts),
+        not_ready=tables.not_ready_rows(route_not_ready(accepted)),
+        rejected=classified.filter("reject_reason is not null").select(
+            F.col("link").alias("url"), "title", F.col("date").alias("created_at"), "reject_reason"
+        ),
+    )
+
+
 def status_flow(
     links: DataFrame,
     fetch_log: DataFrame,
@@ -44,19 +80,14 @@ def status_flow(
     rules: ScoreRules,
     run_ts: str,
     *,
-    order: tuple[str, ...] = ("fetched_at",),
+    order: Sequence[str] = ("fetched_at",),
 ) -> StoredTables:
-    """Classify links by fetch status, then shape both routes for storage.
+    """Classify links by fetch status, then shape both routes and the rejects for storage.
 
-    Classified links are written to the shared folder once; both routes read them there,
-    so links and log are read once.
+    All of them read the classified links where they were written, so links and log are
+    read once.
     """
-    classified = materialize(classify_links(links, fetch_log, run_ts, order=order), "classified")
-    enriched = enrich_links(route_ready(classified), pages, rules)
-    return StoredTables(
-        ready=tables.ready_rows(enriched, run_ts),
-        not_ready=tables.not_ready_rows(route_not_ready(classified)),
-    )
+    return _stored(classified_links(links, fetch_log, run_ts, order=order), pages, rules, run_ts)
 
 
 def first_collection(
@@ -65,12 +96,13 @@ def first_collection(
     pages: DataFrame,
     rules: ScoreRules,
     run_ts: str,
-    **options: object,
+    *,
+    order: Sequence[str] = ("fetched_at",),
 ) -> StoredTables:
     """Keep every collected link, and route each by the status of its fetch."""
-    links = materialize(links, "links")
-    routed = status_flow(links, fetch_log, pages, rules, run_ts, **options)
-    return replace(routed, total=tables.total_url_rows(links))
+    classified = classified_links(links, fetch_log, run_ts, order=order)
+    routed = _stored(classified, pages, rules, run_ts)
+    return replace(routed, total=tables.total_url_rows(classified))
 
 
 def deep_collection(
@@ -89,5 +121,4 @@ def deep_collection(
     found = deep_crawl(
         tables.ready_urls(ready), records, max_pages=max_pages, max_depth=max_depth
     ).select("title", "link", "date")
-    found = materialize(found, "found")
     return status_flow(found, fetch_log, pages, rules, run_ts, **options)

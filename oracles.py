@@ -600,7 +600,16 @@ _DOC_FLOW = _with(*_DOC_TEXTS) + f"""
   JOIN features USING (doc_id) JOIN answers USING (doc_id) WHERE status = 200
 UNION ALL {_STORED_NOT_READY} FROM docs JOIN answers USING (doc_id) WHERE status <> 200"""
 
-ORACLES["status_flow"] = _DOC_FLOW
+ORACLES["status_flow"] = f"""
+SELECT * FROM ({_DOC_FLOW}) flow
+WHERE CAST(substr(url, 5) AS BIGINT) % 13 <> 0 AND CAST(substr(url, 5) AS BIGINT) % 11 <> 0
+UNION ALL
+SELECT 'reject_url', CASE WHEN doc_id % 13 <> 0 THEN link END, NULL, title,
+       CASE WHEN doc_id % 13 = 0 THEN 'link' ELSE 'date' END, NULL, NULL,
+       CASE WHEN doc_id % 11 = 0 THEN 'soon' ELSE strftime(DATE '2024-06-24'
+         - CAST(doc_id % 6 AS INTEGER), '%Y-%m-%d: 08:00:00') END, NULL
+FROM (SELECT doc_id, 'doc-' || doc_id AS link, string_split(text, chr(10))[1] AS title
+      FROM documents) WHERE doc_id % 13 = 0 OR doc_id % 11 = 0"""
 _FIRST = _with(
     *_DOC_TEXTS,
     """items AS (
