@@ -32,15 +32,33 @@ def frontier_step(frontier: DataFrame, edges: DataFrame, visited: DataFrame) ->
     return first.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
 
 
+#: Positions of a page's links that are ranked together.
+SPAN = 1 << 16
+
+
 def _leading_edges(edges: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` links of each page with their rank from 1: url, link, rank.
 
     Exact for a crawl of at most ``limit`` pages: a later link of the page has
     ``limit`` distinct pages queued or visited before it, so it is never visited.
+    Links are ranked per page and span of positions, after those of earlier spans; spans
+    that start beyond the limit are dropped, so a hub's links never meet in one task.
     """
-    order = Window.partitionBy("url").orderBy("pos")
-    ranked = edges.select("url", "link", F.row_number().over(order).alias("rank"))
-    return ranked.filter(F.col("rank") <= limit)
+    spans = edges.select("url", "link", "pos", F.floor(F.col("pos") / SPAN).alias("span"))
+    earlier = Window.partitionBy("url").orderBy("span")
+    before = (
+        spans.groupBy("url", "span")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(earlier) - F.col("n"))
+        .filter(F.col("before") < limit)
+        .drop("n")
+    )
+    inside = Window.partitionBy("url", "span").orderBy("pos")
+    ranked = spans.withColumn("rank", F.row_number().over(inside)).filter(F.col("rank") <= limit)
+    placed = ranked.join(before, ["url", "span"]).select(
+        "url", "link", (F.col("rank") + F.col("before")).cast("int").alias("rank")
+    )
+    return placed.filter(F.col("rank") <= limit)
 
 
 def _useful_parents(frontier: DataFrame, followed: DataFrame, max_pages: int) -> DataFrame:
