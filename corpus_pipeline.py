@@ -9,32 +9,38 @@ from linkloom.llm.minhash import drop_near_duplicates
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import keep_good
 from linkloom.llm.queries import QUERIES as OPERATORS
+from linkloom.llm.settings import small_batches
 from linkloom.llm.wordrepeats import drop_repeated_words
 from linkloom.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on this folder's labels, scores high enough."""
+    small_batches(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id."""
+    small_batches(spark)
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates (five-word shingles, similarity 0.8) the row with the smallest doc_id."""
+    small_batches(spark)
     return drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the twenty-word windows that also start earlier."""
+    small_batches(spark)
     return drop_repeated_words(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes: bin and offset."""
+    small_batches(spark)
     return best_fit(docs)
 
 

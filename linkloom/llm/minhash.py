@@ -26,7 +26,7 @@ COMMON = 34
 SIMILAR = 80
 #: Bits of a sketch value by which its frequency is counted, for the order of the inverted lists.
 COUNTER_BITS = 16
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 100_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 

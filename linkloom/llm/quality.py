@@ -23,7 +23,7 @@ EPOCHS = 12
 BATCH = 128
 #: Texts scored at once, and hashed words remembered in a task.
 SCORED = 256
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 
 _UPPER = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))

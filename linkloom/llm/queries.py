@@ -16,6 +16,7 @@ from linkloom.llm.exact import exact_duplicates
 from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
+from linkloom.llm.settings import small_batches
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
 from linkloom.llm.wordrepeats import remove_repeated_words
 
@@ -28,7 +29,7 @@ TOKENIZERS = os.environ.get("LINKLOOM_TOKENIZERS", "/opt/tokenizers")
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__] = lambda spark, sf: run(small_batches(spark), sf)
     return run
 
 

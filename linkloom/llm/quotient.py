@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 QUOTIENT_BITS = 8
 #: Fingerprints that a task gathers before it writes a filter.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Fingerprints aimed at for a block, which one task merges in memory.
 PER_BLOCK = 1 << 17
 SCHEMA = "block long, runs binary, remainders binary, places binary, counts binary"

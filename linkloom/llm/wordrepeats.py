@@ -26,7 +26,7 @@ LEVELS = WINDOW // BLOCK
 ANCHOR = 2 * BLOCK
 #: Suffixes of one range, which one task sorts.
 PER_RANGE = 400_000
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 100_000
 
 PATH = [f"s{i}" for i in range(LEVELS)]
 PLACE = ["k", "h", "pos"]
