@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,23 +29,40 @@ LONGEST = 256
 SORTED = 700_000
 
 
-def window_triggers(data: bytes) -> np.ndarray:
+def _least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of each run of ``width`` values, by doubling."""
+    size, least = 1, hashes
+    while 2 * size <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    n = hashes.size - width + 1
+    return np.minimum(least[:n], least[width - size :][:n])
+
+
+def gram_hashes(data: bytes) -> np.ndarray:
+    """The rolling hash of each GRAM bytes; none for a text shorter than a window."""
+    if len(data) < WINDOW:
+        return np.empty(0, np.uint64)
+    n = len(data) - GRAM + 1
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    return mixed(mixed(eight[:n] + np.uint64(0x9E3779B97F4A7C15)) ^ eight[8 : n + 8])
+
+
+def window_triggers(grams: np.ndarray) -> np.ndarray:
     """For each window the smallest rolling hash in it: the hash of its trigger.
 
     A text is parsed where this value changes, so the parse depends on content alone: equal windows
     have equal triggers wherever they stand, and each window lies in exactly one phrase.
     """
-    n = len(data) - GRAM + 1
-    width = WINDOW - GRAM + 1
-    if n < width:
-        return np.empty(0, np.uint64)
-    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-    least = mixed(mixed(eight[:n] + np.uint64(0x9E3779B97F4A7C15)) ^ eight[8 : n + 8])
-    size = 1
-    while 2 * size <= width:
-        least = np.minimum(least[:-size], least[size:])
-        size *= 2
-    return np.minimum(least[: n - width + 1], least[width - size :][: n - width + 1])
+    return _least(grams, WINDOW - GRAM + 1) if grams.size else grams
+
+
+def window_contexts(grams: np.ndarray) -> np.ndarray:
+    """The same with the hash of 2 * GRAM bytes, which strings seldom share by chance."""
+    if not grams.size:
+        return grams
+    long = mixed(grams[:-GRAM] * np.uint64(0x9E3779B97F4A7C15) + grams[GRAM:])
+    return _least(long, WINDOW - 2 * GRAM + 1)
 
 
 def _changes(values: np.ndarray) -> np.ndarray:
@@ -54,41 +72,54 @@ def _changes(values: np.ndarray) -> np.ndarray:
 def trigger_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     """The distinct trigger hashes of each text's windows."""
     for text in column:
-        found = window_triggers(text.as_py().encode())
+        found = window_triggers(gram_hashes(text.as_py().encode()))
         yield np.unique(found[_changes(found)])
 
 
-def parse(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """Phrases of each row whose trigger may stand in several: trigger, p1, p2, phrase, k, h, start.
+def context_hashes(table: Broadcast) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+    """The distinct context hashes of each text's windows whose trigger may repeat."""
+
+    def find(column: pa.Array) -> Iterator[np.ndarray]:
+        for text in column:
+            grams = gram_hashes(text.as_py().encode())
+            found = window_contexts(grams)[in_bitmap(table.value, window_triggers(grams))]
+            yield np.unique(found[_changes(found)])
+
+    return find
+
+
+def parse(rows: DataFrame, triggers: Broadcast, contexts: Broadcast) -> DataFrame:
+    """Phrases of each row that may stand in several: trigger, p, phrase, k, h, start.
 
     A phrase is the bytes of a run of windows with one trigger; neighbours overlap by WINDOW - 1
-    bytes.  p1 and p2 are hashes of its bytes, its name in the parse.
+    bytes.  The trigger and p, a hash of its bytes, are its name in the parse: 128 bits.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(table)
-    names = ["trigger", "p1", "p2", "phrase", "k", "h", "start"]
+    names = ["trigger", "p", "phrase", "k", "h", "start"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            triggers, phrases, starts, times = [np.empty(0, np.uint64)], [], [], []
+            held, phrases, starts, times = [np.empty(0, np.uint64)], [], [], []
             for text in batch.column(2):
                 data = text.as_py().encode()
-                found = window_triggers(data)
-                begins = _changes(found)
-                ends = np.r_[begins[1:], found.size]
-                often = in_bitmap(shared.value, found[begins])
+                grams = gram_hashes(data)
+                found = window_triggers(grams)
+                may = in_bitmap(triggers.value, found) & in_bitmap(contexts.value, window_contexts(grams))
+                begins = np.union1d(_changes(found), _changes(may))
+                ends = np.r_[begins[1:], found.size].astype(np.int64)
+                often = may[begins]
                 n = len(phrases)
                 for begin, end in zip(begins[often].tolist(), ends[often].tolist()):
                     for a in range(begin, end, LONGEST):
                         phrases.append(data[a : min(a + LONGEST, end) - 1 + WINDOW])
                         starts.append(a)
                 times.append(len(phrases) - n)
-                triggers.append(found[np.array(starts[n:], np.int64)])
-            hashed = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, phrases)), "<i8").reshape(-1, 2)
+                held.append(found[np.array(starts[n:], np.int64)])
+            hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, phrases), np.uint64, len(phrases))
             keys = [np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(triggers).view(np.int64)),
-                    *[pa.array(c.copy()) for c in hashed.T],
+                    pa.array(np.concatenate(held).view(np.int64)),
+                    pa.array(hashed.view(np.int64)),
                     pa.array(phrases, pa.binary()),
                     *[pa.array(k) for k in keys],
                     pa.array(starts, pa.int32()),
@@ -96,7 +127,7 @@ def parse(rows: DataFrame, table: np.ndarray) -> DataFrame:
                 names,
             )
 
-    schema = "trigger long, p1 long, p2 long, phrase binary, k long, h long, start int"
+    schema = "trigger long, p long, phrase binary, k long, h long, start int"
     return rows.select("_k", "_h", "_text").mapInArrow(cut, schema)
 
 
@@ -126,13 +157,13 @@ def first_documents(phrases: list[bytes], firsts: np.ndarray) -> tuple[np.ndarra
 
 
 def dictionary_order(dictionary: DataFrame) -> DataFrame:
-    """(trigger, p1, p2, ends, firsts) of phrases that hold a repeat: runs of windows and, for each
+    """(trigger, p, ends, firsts) of phrases that hold a repeat: runs of windows and, for each
     run, the smallest document that has its windows.
 
-    ``dictionary`` has distinct phrases (trigger, p1, p2, phrase, first, last), sorted by trigger
+    ``dictionary`` has distinct phrases (trigger, p, phrase, first, last), sorted by trigger
     in each partition; equal windows have equal triggers, so they meet in one task.
     """
-    names = ["trigger", "p1", "p2", "ends", "firsts"]
+    names = ["trigger", "p", "ends", "firsts"]
 
     def arrays(batch: pd.DataFrame) -> pa.RecordBatch:
         phrases = batch["phrase"].tolist()
@@ -149,7 +180,7 @@ def dictionary_order(dictionary: DataFrame) -> DataFrame:
         keep = least < batch["last"].to_numpy(np.int64)
         kept = keep[of]
         offsets = pa.array(np.r_[0, np.cumsum(counts[keep])], pa.int32())
-        keys = [pa.array(batch[c].to_numpy(np.int64)[keep]) for c in names[:3]]
+        keys = [pa.array(batch[c].to_numpy(np.int64)[keep]) for c in names[:2]]
         lists = [
             pa.ListArray.from_arrays(offsets, pa.array(ends[kept].astype(np.int32))),
             pa.ListArray.from_arrays(offsets, pa.array(found[runs][kept])),
@@ -175,7 +206,7 @@ def dictionary_order(dictionary: DataFrame) -> DataFrame:
         if held and size:
             yield arrays(pd.concat(held))
 
-    schema = "trigger long, p1 long, p2 long, ends array<int>, firsts array<long>"
+    schema = "trigger long, p long, ends array<int>, firsts array<long>"
     return dictionary.mapInArrow(sort, schema)
 
 
@@ -183,7 +214,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """(_k, _h, spans, copy): byte spans of each row whose windows stand in a smaller _k.
 
     Rows that are whole copies of a smaller _k take no part.  A trigger matters only if it stands in
-    two rows or more: a quotient filter counts them.  Distinct phrases make the dictionary, with the
+    two rows or more: a quotient filter counts them.  Of the windows left, another counts the longer
+    contexts.  Distinct phrases make the dictionary, with the
     smallest and largest document of each, reduced in each task first: a phrase in a third of all
     rows is one entry.  Its suffix array gives each window's smallest document, and the parse, joined
     with that by the phrases' names, gives the spans.
@@ -191,10 +223,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     whole = copies(rows)
     distinct = without(rows, whole)
     n = distinct.select(F.sum(F.octet_length("_text"))).first()[0] or 0
+    send = rows.sparkSession.sparkContext.broadcast
     prints = repeated(distinct, "_text", n // 18, 4, trigger_hashes)
-    table = hash_bitmap(prints.select("print"), "print")
-    parsed = materialize(parse(distinct, table), "parse")
-    name = ["trigger", "p1", "p2"]
+    triggers = send(hash_bitmap(prints.select("print"), "print"))
+    prints = repeated(distinct, "_text", n // 18, 4, context_hashes(triggers))
+    contexts = send(hash_bitmap(prints.select("print"), "print"))
+    parsed = materialize(parse(distinct, triggers, contexts), "parse")
+    name = ["trigger", "p"]
     dictionary = parsed.groupBy(*name, "phrase").agg(F.min("k").alias("first"), F.max("k").alias("last"))
     ordered = dictionary.repartition("trigger").sortWithinPartitions("trigger")
     repeats = materialize(dictionary_order(ordered.select(*name, "phrase", "first", "last")), "repeats")
