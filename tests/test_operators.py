@@ -126,6 +126,14 @@ def test_portal_blocks_end_at_their_own_tags(spark):
     assert sorted(rows(portals.card_blocks(page(spark, html)).select("link"))) == [("b",), ("c",), ("c",)]
 
 
+def test_a_hubs_links_are_ranked_by_spans(spark, monkeypatch):
+    monkeypatch.setattr(crawl, "SPAN", 4)
+    edges = spark.createDataFrame([("h", f"p{i}", i * 3) for i in range(20)], "url string, link string, pos long")
+    seeds = spark.createDataFrame([("h",)], "url string")
+    got = crawl.multi_seed_crawl(seeds, edges, max_pages=7, max_depth=1)
+    assert rows(got.select("visit", "url")) == [(0, "h"), *[(i + 1, f"p{i}") for i in range(6)]]
+
+
 def test_site_dispatch(spark):
     html = '<div class="nwscnt"><div class="newscard vr" url="u1"></div></div>'
     got = rows(portals.collect_sites({"bing": page(spark, html), "google": page(spark, "<p></p>")}))
