@@ -684,10 +684,12 @@ def _all_rows(stored: collection.StoredTables) -> DataFrame:
     )
     rows = ready.unionByName(not_ready)
     if stored.rejected is not None:
-        rejected = stored.rejected.withColumns(
-            {"stored_in": F.lit("reject_url"), "content": F.col("reject_reason")}
+        rejected = stored.rejected.select(
+            F.lit("reject_url").alias("stored_in"),
+            *["url", "title", "created_at"],
+            F.col("reject_reason").alias("content"),
         )
-        rows = rows.unionByName(rejected.drop("reject_reason"), allowMissingColumns=True)
+        rows = rows.unionByName(rejected, allowMissingColumns=True)
     if stored.total is None:
         return rows
     total = stored.total.select(F.lit("total_url").alias("stored_in"), "url", "created_at")
