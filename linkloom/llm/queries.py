@@ -16,6 +16,7 @@ from linkloom.llm.exact import exact_duplicates
 from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
+from linkloom.llm.search import bm25_top_k
 from linkloom.llm.settings import small_batches
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
 from linkloom.llm.wordrepeats import remove_repeated_words
@@ -141,3 +142,10 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     sha = F.sha2("kept", 256).alias("kept_sha256")
     return remove_repeated_words(docs).select("doc_id", "n_words", "n_removed", sha)
+
+
+@query
+def op5_exact_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    asked = docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return bm25_top_k(docs, asked)
