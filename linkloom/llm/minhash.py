@@ -27,6 +27,8 @@ SIMILAR = 80
 #: Bits of a sketch value by which its frequency is counted, for the order of the inverted lists.
 COUNTER_BITS = 16
 KNOWN_WORDS = 100_000
+#: Times that classes are compared with members drawn by lot, before what is left is compared in full.
+DRAWS = 3
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -270,20 +272,24 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         return materialize(rest.join(split, "value", "left_semi"), "near-rest")
 
     rest = unresolved(lists.filter("cls <> head"))
-    lot = F.struct(F.xxhash64("value", "cls").alias("h"), "cls", "n", "comp")
-    drawn = rest.groupBy("value").agg(F.min(lot).alias("v"))
-    tried = (
-        rest.join(drawn, "value")
-        .filter("comp <> v.comp")
-        .filter(sizes_allow("n", "v.n"))
-        .select(F.col("cls").alias("u"), F.col("v.cls").alias("v"))
-        .distinct()
-    )
-    best = estimated(tried, classes).groupBy("u").agg(F.max_by("v", F.struct("common", "v")).alias("v"))
-    more = verified(best, docs, width)
-    links = components(links.select("u", F.col("m").alias("v")).unionByName(more))
+    for lot in range(DRAWS):
+        if rest.isEmpty():
+            break
+        chance = F.xxhash64("value", "cls", F.lit(lot)).alias("h")
+        drawn = rest.groupBy("value").agg(F.min(F.struct(chance, "cls", "n", "comp")).alias("v"))
+        tried = (
+            rest.join(drawn, "value")
+            .filter("comp <> v.comp")
+            .filter(sizes_allow("n", "v.n"))
+            .select(F.col("cls").alias("u"), F.col("v.cls").alias("v"))
+            .distinct()
+        )
+        best = estimated(tried, classes).groupBy("u")
+        best = best.agg(F.max_by("v", F.struct("common", "v")).alias("v"))
+        more = verified(best, docs, width)
+        links = components(links.select("u", F.col("m").alias("v")).unionByName(more))
+        rest = unresolved(rest)
 
-    rest = unresolved(rest)
     main = rest.groupBy("value", "comp").count().groupBy("value")
     main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
     outside = rest.join(main, "value").filter("comp <> main")
