@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.llm.bitmap import hash_bitmap, in_bitmap
+from linkloom.llm.bitmap import hash_bitmap, in_bitmap, may_hold
 from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
 from linkloom.llm.minhash import mixed
 from linkloom.llm.quotient import repeated
@@ -25,7 +25,7 @@ WINDOW = 50
 GRAM = 16
 #: Windows of a phrase at most; longer runs become several phrases.
 LONGEST = 256
-#: Windows that a task sorts at once, unless one trigger alone has more.
+#: Windows that a task sorts at once; a trigger that has so many alone is split by its windows.
 SORTED = 700_000
 
 
@@ -161,7 +161,8 @@ def dictionary_order(dictionary: DataFrame) -> DataFrame:
     run, the smallest document that has its windows.
 
     ``dictionary`` has distinct phrases (trigger, p, phrase, first, last), sorted by trigger
-    in each partition; equal windows have equal triggers, so they meet in one task.
+    in each partition; equal windows have equal triggers, so they meet in one task.  No trigger
+    may have SORTED windows or more.
     """
     names = ["trigger", "p", "ends", "firsts"]
 
@@ -210,6 +211,33 @@ def dictionary_order(dictionary: DataFrame) -> DataFrame:
     return dictionary.mapInArrow(sort, schema)
 
 
+def hot_triggers(parsed: DataFrame) -> DataFrame:
+    """Triggers whose phrases have SORTED windows or more in all, each phrase as often as it stands."""
+    windows = F.sum(F.octet_length("phrase") - F.lit(WINDOW - 1))
+    return parsed.groupBy("trigger").agg(windows.alias("n")).filter(F.col("n") >= SORTED).select("trigger")
+
+
+def windows_order(dictionary: DataFrame) -> DataFrame:
+    """The same as :func:`dictionary_order` with nothing gathered by trigger: windows are grouped by
+    their bytes, and only the windows of one phrase, LONGEST at most, come together again."""
+    name = ["trigger", "p"]
+    places = F.sequence(F.lit(1), F.octet_length("phrase") - F.lit(WINDOW - 1))
+    each = dictionary.withColumn("at", F.explode(places)).select(
+        *name, "first", "last", "at", F.expr(f"substring(phrase, at, {WINDOW})").alias("window")
+    )
+    least = each.groupBy("window").agg(F.min("first").alias("least"))
+    found = each.join(least, "window").groupBy(*name).agg(
+        F.max("last").alias("last"), F.array_sort(F.collect_list(F.struct("at", "least"))).alias("w")
+    )
+    found = found.select(*name, "last", F.col("w.least").alias("w")).filter(F.array_min("w") < F.col("last"))
+    ends = F.filter(
+        F.sequence(F.lit(1), F.size("w")),
+        lambda e: (e == F.size("w")) | (F.get("w", e) != F.get("w", e - 1)),
+    )
+    found = found.withColumn("ends", ends)
+    return found.select(*name, "ends", F.transform("ends", lambda e: F.get("w", e - 1)).alias("firsts"))
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(_k, _h, spans, copy): byte spans of each row whose windows stand in a smaller _k.
 
@@ -217,8 +245,9 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     two rows or more: a quotient filter counts them.  Of the windows left, another counts the longer
     contexts.  Distinct phrases make the dictionary, with the
     smallest and largest document of each, reduced in each task first: a phrase in a third of all
-    rows is one entry.  Its suffix array gives each window's smallest document, and the parse, joined
-    with that by the phrases' names, gives the spans.
+    rows is one entry.  Its suffix array gives each window's smallest document (windows of triggers
+    with very many are grouped by their bytes instead), and the parse, joined with that by the
+    phrases' names, gives the spans.
     """
     whole = copies(rows)
     distinct = without(rows, whole)
@@ -231,8 +260,12 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     parsed = materialize(parse(distinct, triggers, contexts), "parse")
     name = ["trigger", "p"]
     dictionary = parsed.groupBy(*name, "phrase").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    ordered = dictionary.repartition("trigger").sortWithinPartitions("trigger")
-    repeats = materialize(dictionary_order(ordered.select(*name, "phrase", "first", "last")), "repeats")
+    dictionary = dictionary.select(*name, "phrase", "first", "last")
+    # The bitmap may hold a trigger that is not hot: either way gives the same.
+    hot = may_hold(hash_bitmap(hot_triggers(parsed), "trigger", 25), F.col("trigger"), rows.sparkSession)
+    ordered = dictionary.filter(~hot).repartition("trigger").sortWithinPartitions("trigger")
+    repeats = dictionary_order(ordered).unionByName(windows_order(dictionary.filter(hot)))
+    repeats = materialize(repeats, "repeats")
     run = F.arrays_zip("ends", "firsts")
     spans = (
         parsed.select(*name, "k", "h", "start")

@@ -327,3 +327,28 @@ def test_pipeline(spark, tmp_path, docs):
                 d: n - gone for d, (n, gone, _) in want.items() if gone
             }
     assert set(corpus_pipeline.run(spark, str(tmp_path)).columns) == set(frame.columns)
+
+
+def test_hot_trigger_is_split(spark, monkeypatch):
+    """A passage in many documents with other words around it gives as many phrases under its triggers."""
+    line = b"0123456789abcdefghijklmnopqrstuvwxyz+-*/ABC".decode()
+    rng = random.Random(3)
+    around = lambda: "".join(rng.choices("qwertyuiop ", k=70))
+    rows = [(i, around() + line + around()) for i in range(150)]
+    rows += [(i, rows[i - 200][1][40:150] + around()) for i in range(200, 230)]
+    # Both filters would drop strings of one row only: keep every window of every row.
+    rows += [(i + 1000, "x" + t) for i, t in rows[:150]]
+    monkeypatch.setattr(byterepeats, "SORTED", 2000)
+    most = []
+
+    def watched(dictionary, run=byterepeats.dictionary_order):
+        n = dictionary.groupBy("trigger").agg(F.sum(F.octet_length("phrase") - 49).alias("n"))
+        most.append(n.agg(F.max("n")).first()[0])
+        return run(dictionary)
+
+    monkeypatch.setattr(byterepeats, "dictionary_order", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = byterepeats.remove_repeated_bytes(docs)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in found.collect()}
+    assert found == brute.repeated_bytes(rows)
+    assert most[0] < 2000
