@@ -225,7 +225,8 @@ def windows_order(dictionary: DataFrame) -> DataFrame:
     each = dictionary.withColumn("at", F.explode(places)).select(
         *name, "first", "last", "at", F.expr(f"substring(phrase, at, {WINDOW})").alias("window")
     )
-    least = each.groupBy("window").agg(F.min("first").alias("least"))
+    # Written, so that the join deals windows anew and a window in very many phrases can be split.
+    least = materialize(each.groupBy("window").agg(F.min("first").alias("least")), "windows")
     found = each.join(least, "window").groupBy(*name).agg(
         F.max("last").alias("last"), F.array_sort(F.collect_list(F.struct("at", "least"))).alias("w")
     )
