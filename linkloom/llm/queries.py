@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.bpe import token_digests
 from linkloom.llm.byterepeats import remove_repeated_bytes
 from linkloom.llm.chat import TURNS_PER_PIECE, chat_examples
+from linkloom.llm.collocations import collocations
 from linkloom.llm.exact import exact_duplicates
 from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.packing import best_fit
@@ -149,3 +150,8 @@ def op5_exact_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     asked = docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
     return bm25_top_k(docs, asked)
+
+
+@query
+def op13_phrase_collocation_mining(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))

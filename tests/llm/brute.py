@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -94,3 +95,31 @@ def packed(pieces: list[tuple], capacity: int) -> list[tuple[int, int]]:
         bins[i][1].add(source)
         bins[i][2].add(cluster)
     return placed
+
+
+PIECE = re.compile(r"[.,;:!?\x0A-\x0D]")
+
+
+def phrases(rows: list[tuple], least: int = 100, top: int = 2000, longest: int = 5) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text)."""
+    counts: dict[str, Counter] = {}
+    for lang, text in rows:
+        own = counts.setdefault("und" if lang is None else lang, Counter())
+        for piece in PIECE.split((text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, longest + 1):
+                own.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    found = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inner = {p[i:j] for p, a in often.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1)
+                 if j - i < len(p) and 100 * a >= 100 * f[p[i:j]]}
+        best = []
+        for p, a in often.items():
+            if p not in inner:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                best.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(best)[:top], 1):
+            found.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return found
