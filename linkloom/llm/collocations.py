@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -317,12 +318,14 @@ def frequent_phrases(
     ranks = words.join(levels[0].drop("f"), ["lang", "word"]).select(
         "part", F.col("lid").alias("start"), "rank", F.lit(None).cast("binary").alias("ranks")
     )
-    for size in range(2, LONGEST + 1):
+    while len(levels) < LONGEST and not levels[-1].isEmpty():
         table = part_pairs(parts, ranks, bits)
         parts = table.filter("ids is not null").select("part", "lang", "ids")
         blocks = table.filter("ids is null").select("part", "lang", "ti", "tj", "start", "cells", "counts")
         levels.append(frequency_ranks(merged_tiles(blocks, least, bits, fan), ["i", "j"]))
         ranks = block_ranks(blocks, levels[-1], bits)
+    if levels[1:] and levels[-1].isEmpty():
+        levels.pop()
     return totals, levels
 
 
@@ -383,9 +386,10 @@ def collocations(docs: DataFrame, *, least: int = 100, top: int = 2000, **tiling
             found.append(kept.select("lang", F.array_join("words", " ").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score"))
         if level is not None:
             below = here
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
+    if not found:
+        kinds = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
+        return docs.sparkSession.createDataFrame([], kinds)
+    rows = reduce(DataFrame.unionByName, found)
     best = [F.desc("score"), F.desc("a"), "phrase"]
     rows = rows.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(64)))  # so that no task ranks a whole lang
     first = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*best))
