@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ LONGEST = 5
 TILE_BITS = 10
 #: A tile is counted in a dense array if it has at least one pair for so many cells, else by sorting.
 SPARSE = 16
-#: Bytes of text of one part (a single larger text is a part of its own), and of words split at once.
+#: Bytes of text of one part (a single larger text is a part of its own), and of text split at once.
 PART_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 #: Parts whose blocks of one tile are merged at once; more are merged in rounds.
 FAN = 256
 
@@ -35,6 +37,25 @@ _PARTS = "part long, lang string, ids binary, word string, lid int, n long"
 _PAIRS = "part long, lang string, ids binary, ti long, tj long, start int, cells binary, counts binary"
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array of integers with equal bytes of all values side by side, compressed."""
+    planes = values.view(np.uint8).reshape(values.size, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_cells(cells: np.ndarray) -> bytes:
+    return packed(np.diff(cells, prepend=np.int32(0)))
+
+
+def unpacked_cells(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.int32), dtype=np.int32)
+
+
 class _Ids(dict):
     """Numbers words in the order they are met."""
 
@@ -43,7 +64,7 @@ class _Ids(dict):
         return found
 
 
-def numbered(texts: list[bytes], at_once: int = PART_BYTES) -> tuple[np.ndarray, list[bytes]]:
+def numbered(texts: list[bytes], at_once: int = SLICE_BYTES) -> tuple[np.ndarray, list[bytes]]:
     """Local word ids of the texts in order, -1 where a piece ends, and the words by id."""
     data = _END.join(texts).translate(_TABLE)
     ids = _Ids({_END: 0})
@@ -73,13 +94,13 @@ def word_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         def rows(lang: str) -> Iterator[pa.RecordBatch]:
             part = task << 32 | next(serial)
             sizes.pop(lang)
-            ids, words = numbered(waiting.pop(lang), part_bytes)
+            ids, words = numbered(waiting.pop(lang))
             if not words:
                 return
             counts = np.bincount(ids[ids >= 0], minlength=len(words))
             size = len(words)
             for n, columns in (
-                (1, [pa.array([ids.tobytes()], pa.binary()), *[pa.nulls(1, t) for t in (pa.string(), pa.int32(), pa.int64())]]),
+                (1, [pa.array([packed(ids)], pa.binary()), *[pa.nulls(1, t) for t in (pa.string(), pa.int32(), pa.int64())]]),
                 (size, [pa.nulls(size, pa.binary()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.arange(size, dtype=np.int32)), pa.array(counts.astype(np.int64))]),
             ):
                 keys = [pa.array(np.full(n, part)), pa.array([lang] * n, pa.string())]
@@ -150,9 +171,9 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
                 mine = np.flatnonzero(one[lo:hi]) + lo
                 single.append((starts[mine], alone[mine]))
                 for k in (np.flatnonzero(~one[lo:hi]) + lo).tolist():
-                    blocks.append((int(starts[k]), np.frombuffer(ranks_[k].as_buffer(), np.int64)))
+                    blocks.append((int(starts[k]), unpacked(ranks_[k].as_py(), np.int64)))
                 if hi < batch.num_rows:
-                    seq = np.frombuffer(ids[hi].as_buffer(), np.int32)
+                    seq = unpacked(ids[hi].as_py(), np.int32)
                     yield from paired(batch.column(0)[hi].as_py(), batch.column(1)[hi].as_py(), seq, single, blocks)
                     single, blocks = [], []
                 lo = hi + 1
@@ -175,14 +196,14 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
         n = len(tiles)
         nulls = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part]), pa.array([lang], pa.string()), pa.array([above.tobytes()], pa.binary()), *nulls], names
+            [pa.array([part]), pa.array([lang], pa.string()), pa.array([packed(above)], pa.binary()), *nulls], names
         )
         ti, tj, start, cells, counts = zip(*tiles)
         yield pa.RecordBatch.from_arrays(
             [
                 *[pa.array([part] * n), pa.array([lang] * n, pa.string()), pa.nulls(n, pa.binary())],
                 *[pa.array(ti, pa.int64()), pa.array(tj, pa.int64()), pa.array(start, pa.int32())],
-                *[pa.array([c.tobytes() for c in column], pa.binary()) for column in (cells, counts)],
+                *[pa.array(list(map(pack, c)), pa.binary()) for pack, c in ((packed_cells, cells), (packed, counts))],
             ],
             names,
         )
@@ -225,7 +246,7 @@ def merged_tiles(blocks: DataFrame, least: int, bits: int = TILE_BITS, fan: int
                 lang, ti, tj, group = opened
                 cells, counts = _summed(held, n_cells)
                 if not last:
-                    values = [[lang], [ti], [tj], [group], [cells.tobytes()], [counts.tobytes()]]
+                    values = [[lang], [ti], [tj], [group], [packed_cells(cells)], [packed(counts)]]
                     kinds = [pa.string(), *[pa.int64()] * 3, pa.binary(), pa.binary()]
                     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], [*key, "cells", "counts"])
                 often = counts >= least
@@ -240,7 +261,7 @@ def merged_tiles(blocks: DataFrame, least: int, bits: int = TILE_BITS, fan: int
                         if opened:
                             yield out()
                         opened, held, entries = k, [], 0
-                    held.append((np.frombuffer(cells, np.int32), np.frombuffer(counts, np.int64)))
+                    held.append((unpacked_cells(cells), unpacked(counts, np.int64)))
                     entries += held[-1][0].size
                     if entries > 2 * n_cells:
                         held = [_summed(held, n_cells)]
@@ -288,9 +309,9 @@ def block_ranks(blocks: DataFrame, ranked: DataFrame, bits: int = TILE_BITS) ->
             offsets = known.offsets.to_numpy()
             for k in range(batch.num_rows):
                 cells, ranks = (v[offsets[k] : offsets[k + 1]] for v in values)
-                own = np.frombuffer(batch.column(2)[k].as_buffer(), np.int32)
+                own = unpacked_cells(batch.column(2)[k].as_py())
                 place = np.minimum(np.searchsorted(cells, own), cells.size - 1)
-                found.append(np.where(cells[place] == own, ranks[place], -1).astype(np.int64).tobytes())
+                found.append(packed(np.where(cells[place] == own, ranks[place], -1).astype(np.int64)))
             columns = [*batch.columns[:2], pa.nulls(batch.num_rows, pa.int64()), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "start", "rank", "ranks"])
 
@@ -315,8 +336,9 @@ def frequent_phrases(
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     levels = [frequency_ranks(materialize(counted, "phrase-counts"), ["word"])]
-    ranks = words.join(levels[0].drop("f"), ["lang", "word"]).select(
-        "part", F.col("lid").alias("start"), "rank", F.lit(None).cast("binary").alias("ranks")
+    answer = F.coalesce("rank", F.lit(-1).cast("long")).alias("rank")
+    ranks = words.join(levels[0].drop("f"), ["lang", "word"], "left").select(
+        "part", F.col("lid").alias("start"), answer, F.lit(None).cast("binary").alias("ranks")
     )
     while len(levels) < LONGEST and not levels[-1].isEmpty():
         table = part_pairs(parts, ranks, bits)
