@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -33,7 +35,10 @@ _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c == 9 else 255 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
 )
 _GAP = re.compile(rb"[ \xff]")
-_PARTS = "part long, lang string, ids binary, word string, lid int, n long"
+_NAMES = ["part", "lang", "bucket", "ids", "places", "words", "counts"]
+_PARTS = "part long, lang string, bucket long, ids binary, places binary, words binary, counts binary"
+#: Bytes of text for each bucket of words.
+BUCKET_BYTES = 64 << 20
 _PAIRS = "part long, lang string, ids binary, ti long, tj long, start int, cells binary, counts binary"
 
 
@@ -56,6 +61,9 @@ def unpacked_cells(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data, np.int32), dtype=np.int32)
 
 
+_COMPRESS, _EXPAND = zstandard.compress, zstandard.decompress
+
+
 class _Ids(dict):
     """Numbers words in the order they are met."""
 
@@ -79,11 +87,11 @@ def numbered(texts: list[bytes], at_once: int = SLICE_BYTES) -> tuple[np.ndarray
     return np.concatenate([np.empty(0, np.int32), *found]) - 1, list(ids)[1:]
 
 
-def word_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Texts as parts of one lang each: a row with all local ids, and a row for each local word.
+def word_parts(docs: DataFrame, buckets: int, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Texts as parts of one lang each: a row with all local ids, and a row for each bucket of local words.
 
     A part has the texts of one task up to ``part_bytes``, so neither the ids nor the words of a part grow
-    with the corpus.
+    with the corpus.  A word's bucket is its CRC-32 modulo ``buckets``.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,13 +106,18 @@ def word_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
             if not words:
                 return
             counts = np.bincount(ids[ids >= 0], minlength=len(words))
-            size = len(words)
-            for n, columns in (
-                (1, [pa.array([packed(ids)], pa.binary()), *[pa.nulls(1, t) for t in (pa.string(), pa.int32(), pa.int64())]]),
-                (size, [pa.nulls(size, pa.binary()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.arange(size, dtype=np.int32)), pa.array(counts.astype(np.int64))]),
-            ):
-                keys = [pa.array(np.full(n, part)), pa.array([lang] * n, pa.string())]
-                yield pa.RecordBatch.from_arrays([*keys, *columns], ["part", "lang", "ids", "word", "lid", "n"])
+            bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            columns: list[list] = [[None], [packed(ids)], [None], [None], [None]]
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                joined = _COMPRESS(_END.join([words[k] for k in own]))
+                values = (int(bucket[own[0]]), None, packed_cells(own), joined, packed(counts[own]))
+                for column, value in zip(columns, values):
+                    column.append(value)
+            kinds = [pa.int64(), *[pa.binary()] * 4]
+            n = len(columns[0])
+            keys = [pa.array([part] * n), pa.array([lang] * n, pa.string())]
+            yield pa.RecordBatch.from_arrays([*keys, *map(pa.array, columns, kinds)], _NAMES)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -121,6 +134,60 @@ def word_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     return materialize(docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(cut, _PARTS), "phrase-words")
 
 
+def merged_words(blocks: DataFrame, fan: int = FAN) -> DataFrame:
+    """(lang, word, f) over all parts; blocks of a bucket meet in rounds as those of a tile do."""
+
+    def merge(last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            opened, held = None, Counter()
+
+            def out() -> pa.RecordBatch:
+                lang, bucket, group = opened
+                words, counts = list(held), np.fromiter(held.values(), np.int64, len(held))
+                if not last:
+                    values = [[lang], [bucket], [group], [_COMPRESS(_END.join(words))], [packed(counts)]]
+                    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], [*key, "words", "counts"])
+                columns = [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.binary()).cast(pa.string())]
+                return pa.RecordBatch.from_arrays([*columns, pa.array(counts)], ["lang", "word", "f"])
+
+            for batch in batches:
+                for *k, words, counts in zip(*[batch.column(c).to_pylist() for c in range(5)]):
+                    if k != opened:
+                        if opened:
+                            yield out()
+                        opened, held = k, Counter()
+                    held.update(dict(zip(_EXPAND(words).split(_END), unpacked(counts, np.int64).tolist())))
+            if opened:
+                yield out()
+
+        return run
+
+    key = ["lang", "bucket", "group"]
+    schemas = ["lang string, bucket long, `group` long, words binary, counts binary", "lang string, word string, f long"]
+    return _in_rounds(blocks, key, ["words", "counts"], merge, schemas, fan, "phrase-words")
+
+
+def word_ranks(blocks: DataFrame, ranked: DataFrame, buckets: int) -> DataFrame:
+    """(part, places, ranks): what the words of each part's buckets are ranked, -1 for rare ones."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for words, known in zip(batch.column(2).to_pylist(), batch.column(3)):
+                pairs = known.values
+                table = dict(zip(pairs.field(0).cast(pa.binary()).to_pylist(), pairs.field(1).to_pylist()))
+                ranks = [table.get(w, -1) for w in _EXPAND(words).split(_END)]
+                found.append(packed(np.array(ranks, np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], ["part", "places", "ranks"])
+
+    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(buckets)).alias("bucket")
+    known = ranked.select("lang", bucket, F.struct("word", "rank").alias("pair"))
+    known = known.groupBy("lang", "bucket").agg(F.collect_list("pair").alias("known"))
+    joined = blocks.join(known, ["lang", "bucket"]).select("part", "places", "words", "known")
+    return joined.mapInArrow(look, "part long, places binary, ranks binary")
+
+
 def tile_blocks(first: np.ndarray, second: np.ndarray, bits: int = TILE_BITS) -> tuple[np.ndarray, list[tuple]]:
     """Number of each pair among the distinct pairs, and (ti, tj, start, cells, counts) by tile.
 
@@ -152,38 +219,24 @@ def tile_blocks(first: np.ndarray, second: np.ndarray, bits: int = TILE_BITS) ->
 def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> DataFrame:
     """Adjacent pairs of ranked ids in each part: its ids one level up, and the counts of its tiles.
 
-    ``parts`` are (part, lang, ids); ``ranks`` (part, start, rank, ranks) are what came back for the
-    part's local ids: one rank, or those of the ids from ``start`` on.  A part and its ranks meet in one
-    task; both are bounded by the size of a part.
+    ``parts`` are (part, lang, ids); ``ranks`` (part, places, ranks) are what came back for the part's
+    local ids.  A part and its ranks meet in one task; both are bounded by the size of a part.
     """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single: list[tuple[np.ndarray, np.ndarray]] = []
-        blocks: list[tuple[int, np.ndarray]] = []
+        answers: list[tuple[bytes, bytes]] = []
         for batch in batches:
-            ids, ranks_, rank = batch.column(2), batch.column(5), batch.column(4)
-            starts = batch.column(3).fill_null(-1).to_numpy()
-            one = np.asarray(rank.is_valid())
-            whole = np.flatnonzero(np.asarray(ids.is_valid()))
-            alone = rank.fill_null(-1).to_numpy()
-            lo = 0
-            for hi in [*whole.tolist(), batch.num_rows]:
-                mine = np.flatnonzero(one[lo:hi]) + lo
-                single.append((starts[mine], alone[mine]))
-                for k in (np.flatnonzero(~one[lo:hi]) + lo).tolist():
-                    blocks.append((int(starts[k]), unpacked(ranks_[k].as_py(), np.int64)))
-                if hi < batch.num_rows:
-                    seq = unpacked(ids[hi].as_py(), np.int32)
-                    yield from paired(batch.column(0)[hi].as_py(), batch.column(1)[hi].as_py(), seq, single, blocks)
-                    single, blocks = [], []
-                lo = hi + 1
-
-    def paired(part: int, lang: str, seq: np.ndarray, single: list, blocks: list) -> Iterator[pa.RecordBatch]:
+            for part, lang, ids, places, ranked in zip(*[batch.column(c).to_pylist() for c in range(5)]):
+                if ids is None:
+                    answers.append((places, ranked))
+                else:
+                    yield from paired(part, lang, unpacked(ids, np.int32), answers)
+                    answers = []
+
+    def paired(part: int, lang: str, seq: np.ndarray, answers: list) -> Iterator[pa.RecordBatch]:
         table = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # its last place answers for -1
-        for start, rank in single:
-            table[start] = rank
-        for start, found in blocks:
-            table[start : start + found.size] = found
+        for places, found in answers:
+            table[unpacked_cells(places)] = unpacked(found, np.int64)
         ranked = table[seq]
         at = np.flatnonzero((ranked[:-1] >= 0) & (ranked[1:] >= 0))
         if not at.size:
@@ -208,9 +261,9 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
             names,
         )
 
-    none = {"start": "int", "rank": "long", "ranks": "binary"}
-    seqs = parts.select("part", "lang", "ids", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
-    back = ranks.select("part", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("ids"), *none)
+    none = F.lit(None)
+    seqs = parts.select("part", "lang", "ids", *[none.cast("binary").alias(c) for c in ("places", "ranks")])
+    back = ranks.select("part", none.cast("string").alias("lang"), none.cast("binary").alias("ids"), "places", "ranks")
     feed = seqs.unionByName(back).repartition("part").sortWithinPartitions("part", F.col("ids").isNotNull())
     return materialize(feed.mapInArrow(pair, _PAIRS), "phrase-pairs")
 
@@ -271,14 +324,19 @@ def merged_tiles(blocks: DataFrame, least: int, bits: int = TILE_BITS, fan: int
 
         return run
 
+    schemas = ["lang string, ti long, tj long, `group` long, cells binary, counts binary", "lang string, i long, j long, f long"]
+    return _in_rounds(blocks, key, ["cells", "counts"], merge, schemas, fan, "phrase-counts")
+
+
+def _in_rounds(blocks: DataFrame, key: list[str], values: list[str], merge, schemas: list[str], fan: int, label: str) -> DataFrame:
+    """Blocks alike in ``key`` (the last of which is their group) merged, then groups with others, until one is left."""
     groups = -(-max(1, blocks.select("part").distinct().count()) // fan)
     blocks = blocks.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(groups)))
     while True:
-        sent = blocks.select(*key, "cells", "counts").repartition(*key).sortWithinPartitions(*key)
+        sent = blocks.select(*key, *values).repartition(*key).sortWithinPartitions(*key)
         if groups == 1:
-            return materialize(sent.mapInArrow(merge(True), "lang string, i long, j long, f long"), "phrase-counts")
-        schema = "lang string, ti long, tj long, `group` long, cells binary, counts binary"
-        blocks = sent.mapInArrow(merge(False), schema).withColumn("group", F.expr(f"`group` div {fan}"))
+            return materialize(sent.mapInArrow(merge(True), schemas[1]), label)
+        blocks = sent.mapInArrow(merge(False), schemas[0]).withColumn("group", F.expr(f"`group` div {fan}"))
         groups = -(-groups // fan)
 
 
@@ -300,20 +358,22 @@ def frequency_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def block_ranks(blocks: DataFrame, ranked: DataFrame, bits: int = TILE_BITS) -> DataFrame:
-    """(part, start, rank, ranks): what the pairs of each part's tiles are ranked, -1 for rare ones."""
+    """(part, places, ranks): what the pairs of each part's tiles are ranked, -1 for rare ones."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known, found = batch.column(3), []
+            known, found, places = batch.column(3), [], []
             values = [known.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             offsets = known.offsets.to_numpy()
             for k in range(batch.num_rows):
                 cells, ranks = (v[offsets[k] : offsets[k + 1]] for v in values)
                 own = unpacked_cells(batch.column(2)[k].as_py())
+                start = batch.column(1)[k].as_py()
+                places.append(packed_cells(np.arange(start, start + own.size, dtype=np.int32)))
                 place = np.minimum(np.searchsorted(cells, own), cells.size - 1)
                 found.append(packed(np.where(cells[place] == own, ranks[place], -1).astype(np.int64)))
-            columns = [*batch.columns[:2], pa.nulls(batch.num_rows, pa.int64()), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "start", "rank", "ranks"])
+            columns = [batch.column(0), pa.array(places, pa.binary()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "places", "ranks"])
 
     mask = (1 << bits) - 1
     cell = F.shiftleft(F.col("i").bitwiseAND(F.lit(mask)), bits).bitwiseOR(F.col("j").bitwiseAND(F.lit(mask)))
@@ -321,7 +381,7 @@ def block_ranks(blocks: DataFrame, ranked: DataFrame, bits: int = TILE_BITS) ->
     known = ranked.select("lang", *tile, F.struct(cell.cast("int").alias("cell"), "rank").alias("pair"))
     known = known.groupBy("lang", "ti", "tj").agg(F.array_sort(F.collect_list("pair")).alias("known"))
     joined = blocks.join(known, ["lang", "ti", "tj"]).select("part", "start", "cells", "known")
-    return joined.mapInArrow(look, "part long, start int, rank long, ranks binary")
+    return joined.mapInArrow(look, "part long, places binary, ranks binary")
 
 
 def frequent_phrases(
@@ -331,15 +391,15 @@ def frequent_phrases(
 
     A phrase is a pair of ranks one level below, its words without the last and without the first.
     """
-    table = word_parts(docs, part_bytes)
-    words, parts = table.filter("ids is null"), table.filter("ids is not null").select("part", "lang", "ids")
-    totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    levels = [frequency_ranks(materialize(counted, "phrase-counts"), ["word"])]
-    answer = F.coalesce("rank", F.lit(-1).cast("long")).alias("rank")
-    ranks = words.join(levels[0].drop("f"), ["lang", "word"], "left").select(
-        "part", F.col("lid").alias("start"), answer, F.lit(None).cast("binary").alias("ranks")
-    )
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + size // BUCKET_BYTES
+    table = word_parts(docs, buckets, part_bytes)
+    parts = table.filter("ids is not null").select("part", "lang", "ids")
+    blocks = table.filter("ids is null").select("part", "lang", "bucket", "places", "words", "counts")
+    counted = merged_words(blocks, fan)
+    totals = materialize(counted.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
+    levels = [frequency_ranks(counted.filter(F.col("f") >= least), ["word"])]
+    ranks = word_ranks(blocks, levels[0], buckets)
     while len(levels) < LONGEST and not levels[-1].isEmpty():
         table = part_pairs(parts, ranks, bits)
         parts = table.filter("ids is not null").select("part", "lang", "ids")
