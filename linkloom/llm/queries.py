@@ -15,6 +15,7 @@ from linkloom.llm.chat import TURNS_PER_PIECE, chat_examples
 from linkloom.llm.collocations import collocations
 from linkloom.llm.exact import exact_duplicates
 from linkloom.llm.minhash import near_duplicates
+from linkloom.llm.neighbours import nearest_neighbours
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
 from linkloom.llm.search import bm25_top_k
@@ -155,3 +156,24 @@ def op5_exact_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op13_phrase_collocation_mining(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(table(spark, sf, "documents"))
+
+
+@query
+def op12_approximate_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf, "embeddings"), every=20, k=20)
+
+
+ORACLES["op12_approximate_nearest_neighbours"] = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, row_number() OVER () AS uid FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), ranked AS (
+  SELECT q.vec_id AS query_id, q.uid AS own, c.vec_id, c.uid, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.uid <> c.uid AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id, uid) AS rank FROM ranked
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM placed WHERE rank <= 20
+"""

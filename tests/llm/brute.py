@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -123,3 +124,21 @@ def phrases(rows: list[tuple], least: int = 100, top: int = 2000, longest: int =
         for rank, (score, a, phrase, left, right) in enumerate(sorted(best)[:top], 1):
             found.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
     return found
+
+
+def nearest(rows: list[tuple], every: int, k: int) -> list[tuple]:
+    """(query_id, rank, vec_id, score) of (vec_id, vector)."""
+    good = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    found = []
+    for place, (q, x) in enumerate(good):
+        if q % every:
+            continue
+        near = []
+        for other, (vec, y) in enumerate(good):
+            if other != place and len(x) == len(y):
+                score = 0.0
+                for a, b in zip(x, y):
+                    score += a * b
+                near.append((-score, vec))
+        found += [(q, n, vec, -s) for n, (s, vec) in enumerate(sorted(near)[:k], 1)]
+    return found
