@@ -16,12 +16,14 @@ from linkloom.session import materialize
 #: Rows of a block; blocks of candidates and of queries that one task joins at most.
 BLOCK_ROWS = 1024
 BLOCKS_AT_ONCE = 16
+#: Blocks that a task fills.
+FULL_BLOCKS = 4
 #: Dimensions whose int8 products add up exactly in float32: 127 * 127 * 1024 < 2**24.
 EXACT_DIMS = 1024
 #: Pairs scored exactly at once.
 PAIRS = 1 << 16
 
-_BLOCK = "side long, block long, dim int, ids binary, uids binary, vectors binary"
+_BLOCK = "block long, dim int, ids binary, uids binary, vectors binary"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -35,10 +37,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows (vec_id, uid, embedding) as blocks of up to ``size`` of one length: side, block, dim, ids, uids, vectors.
+    """Rows (vec_id, uid, embedding) as blocks of up to ``size`` of one length: block, dim, ids, uids, vectors.
 
-    ``side`` is 0; blocks are numbered within their task.
+    Blocks are numbered within their task.  Rows are dealt out so that each task fills a few blocks,
+    however they lay before: the work of the join goes with the number of blocks.
     """
+    rows = rows.repartition(-(-max(1, rows.count()) // (FULL_BLOCKS * size)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId() << 32, 0
@@ -46,8 +50,8 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
 
         def out(dim: int) -> pa.RecordBatch:
             ids, uids, values = (np.concatenate(x) for x in zip(*waiting.pop(dim)))
-            columns = [[0], [task | serial], [dim], [ids.tobytes()], [uids.tobytes()], [values.tobytes()]]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
+            columns = [[task | serial], [dim], [ids.tobytes()], [uids.tobytes()], [values.tobytes()]]
+            kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
         for batch in batches:
@@ -68,7 +72,7 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
             yield out(dim)
             serial += 1
 
-    names = ["side", "block", "dim", "ids", "uids", "vectors"]
+    names = ["block", "dim", "ids", "uids", "vectors"]
     return rows.select("vec_id", "uid", "embedding").mapInArrow(cut, _BLOCK)
 
 
@@ -216,7 +220,8 @@ def nearest_neighbours(
     found = rows.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")
     queries = rows.filter(F.col("vec_id") % every == 0)
     classes = queries.groupBy("embedding").agg(F.min("uid").alias("uid")).withColumn("vec_id", F.lit(0).cast("long"))
-    asked, searched = (materialize(blocks(t, block_rows), f"vector-{n}") for t, n in ((classes, "queries"), (found, "rows")))
+    classes, found = materialize(classes, "vector-classes"), materialize(found, "vector-found")
+    asked, searched = (materialize(blocks(t, block_rows), "vector-blocks") for t in (classes, found))
     near = materialize(joined_blocks(asked, searched, k + 1, at_once), "vector-near")
     order = [F.desc("score"), "vec_id", "uid"]
     first = F.row_number().over(Window.partitionBy("query").orderBy(*order))
