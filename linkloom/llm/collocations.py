@@ -45,7 +45,7 @@ _PAIRS = "part long, lang string, ids binary, ti long, tj long, start int, cells
 def packed(values: np.ndarray) -> bytes:
     """An array of integers with equal bytes of all values side by side, compressed."""
     planes = values.view(np.uint8).reshape(values.size, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
@@ -234,9 +234,11 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
                     answers = []
 
     def paired(part: int, lang: str, seq: np.ndarray, answers: list) -> Iterator[pa.RecordBatch]:
-        table = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # its last place answers for -1
-        for places, found in answers:
-            table[unpacked_cells(places)] = unpacked(found, np.int64)
+        known = [(unpacked_cells(places), unpacked(found, np.int64)) for places, found in answers]
+        top = max([int(seq.max(initial=-1)), *[int(places[-1]) for places, _ in known]])
+        table = np.full(top + 2, -1, np.int64)  # its last place answers for -1
+        for places, found in known:
+            table[places] = found
         ranked = table[seq]
         at = np.flatnonzero((ranked[:-1] >= 0) & (ranked[1:] >= 0))
         if not at.size:
@@ -244,6 +246,8 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
         numbers, tiles = tile_blocks(ranked[at], ranked[at + 1], bits)
         above = np.full(seq.size - 1, -1, np.int32)
         above[at] = numbers
+        edged = np.r_[-1, above, -1]
+        above[(edged[:-2] < 0) & (edged[2:] < 0)] = -1  # alone: in no longer phrase
         above = above[np.r_[True, (above[1:] >= 0) | (above[:-1] >= 0)]]  # one -1 is enough between runs
         names = ["part", "lang", "ids", "ti", "tj", "start", "cells", "counts"]
         n = len(tiles)
