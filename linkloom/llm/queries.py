@@ -18,6 +18,7 @@ from linkloom.llm.minhash import near_duplicates
 from linkloom.llm.neighbours import nearest_neighbours
 from linkloom.llm.packing import best_fit
 from linkloom.llm.quality import quality_scores
+from linkloom.llm.repair import repaired_conversations
 from linkloom.llm.search import bm25_top_k
 from linkloom.llm.settings import small_batches
 from linkloom.llm.sharding import ROW_BYTES, byte_shards
@@ -177,3 +178,8 @@ WITH usable AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM placed WHERE rank <= 20
 """
+
+
+@query
+def op11_conversation_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repaired_conversations(table(spark, sf, "conversations"))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
+import itertools
 import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -142,3 +145,66 @@ def nearest(rows: list[tuple], every: int, k: int) -> list[tuple]:
                 near.append((-score, vec))
         found += [(q, n, vec, -s) for n, (s, vec) in enumerate(sorted(near)[:k], 1)]
     return found
+
+
+def repairs(turns: list[tuple[str, int]]) -> tuple[int, str]:
+    """Cost and audit of the cheapest edits of (initial, fault) turns, by trying all edits with up to two insertions a gap."""
+    gaps = ["", "u", "a", "uu", "ua", "au", "aa"]
+    best = None
+    options = []
+    for initial, fault in turns:
+        stay = [] if fault in (1, 2) else [("K", initial, 0), ("R", "u", 2), ("R", "a", 2)]
+        options.append([("D", "", 3)] + [(e, x, c + (fault == 3)) for e, x, c in stay])
+    for edits in itertools.product(*options):
+        for between in itertools.product(gaps, repeat=len(turns) + 1):
+            roles = between[0] + "".join(x + g for (_, x, _), g in zip(edits, between[1:]))
+            if re.fullmatch(r"(s?(ua)+)?", roles):
+                audit = "I" * len(between[0]) + "".join(e + "I" * len(g) for (e, _, _), g in zip(edits, between[1:]))
+                found = sum(c for _, _, c in edits) + 2 * sum(map(len, between)), audit
+                best = found if best is None else min(best, found)
+    return best
+
+
+def repaired(rows: list[tuple]) -> dict:
+    """conv_id to (gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of (conv_id, turn, role, text)."""
+    convs: dict = {}
+    for conv, turn, role, text in rows:
+        own = convs.setdefault(conv, [])
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    found = {}
+    for conv, own in convs.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), sha(r[2].encode())))
+        seen, turns = set(), []
+        for _, role, text in own:
+            last = text.rstrip("\t\n\x0b\x0c\r ")[-1:]
+            turns.append((role[:1], 1 if not last else 2 if (role, text) in seen else 3 if last not in ".!?" else 0))
+            seen.add((role, text))
+        illegal = sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(turns, turns[1:]))
+        heap, done = [(0, "", 0, "", [])], set()
+        while heap:  # Dijkstra from the front, by cost and audit; the state is what the roles end in
+            cost, audit, i, state, out = heapq.heappop(heap)
+            if (i, state) in done:
+                continue
+            done.add((i, state))
+            if i == len(turns) and state in ("", "a"):
+                break
+            legal = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+            new = legal[-1]
+            name = {"u": "user", "a": "assistant"}[new]
+            heapq.heappush(heap, (cost + 2, audit + "I", i, new, [*out, f"{name}:"]))
+            if i < len(turns):
+                (initial, fault), (_, role, text) = turns[i], own[i]
+                heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, out))
+                if fault not in (1, 2):
+                    more = cost + (fault == 3)
+                    heapq.heappush(heap, (more + 2, audit + "R", i + 1, new, [*out, f"{name}:{text}"]))
+                    if initial and initial in legal:
+                        heapq.heappush(heap, (more, audit + "K", i + 1, initial, [*out, f"{role}:{text}"]))
+        known = {r[0] for r in own if r[0] is not None}
+        gaps = max(known) - min(known) + 1 - len(known) if known else 0
+        faults = [sum(f == code for _, f in turns) for code in (1, 2, 3)]
+        found[conv] = (gaps, *faults, illegal, cost, audit, sha("\n".join(out).encode()))
+    return found
