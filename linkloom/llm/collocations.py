@@ -37,15 +37,17 @@ _TABLE = bytes(
 _GAP = re.compile(rb"[ \xff]")
 _NAMES = ["part", "lang", "bucket", "ids", "places", "words", "counts"]
 _PARTS = "part long, lang string, bucket long, ids binary, places binary, words binary, counts binary"
+#: How hard ids are compressed: they are most of what is stored and sent.
+IDS_LEVEL = 9
 #: Bytes of text for each bucket of words.
 BUCKET_BYTES = 64 << 20
 _PAIRS = "part long, lang string, ids binary, ti long, tj long, start int, cells binary, counts binary"
 
 
-def packed(values: np.ndarray) -> bytes:
+def packed(values: np.ndarray, level: int = 3) -> bytes:
     """An array of integers with equal bytes of all values side by side, compressed."""
     planes = values.view(np.uint8).reshape(values.size, values.itemsize).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=level).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
@@ -108,7 +110,7 @@ def word_parts(docs: DataFrame, buckets: int, part_bytes: int = PART_BYTES) -> D
             counts = np.bincount(ids[ids >= 0], minlength=len(words))
             bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable").astype(np.int32)
-            columns: list[list] = [[None], [packed(ids)], [None], [None], [None]]
+            columns: list[list] = [[None], [packed(ids, IDS_LEVEL)], [None], [None], [None]]
             for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 joined = _COMPRESS(_END.join([words[k] for k in own]))
                 values = (int(bucket[own[0]]), None, packed_cells(own), joined, packed(counts[own]))
@@ -253,7 +255,7 @@ def part_pairs(parts: DataFrame, ranks: DataFrame, bits: int = TILE_BITS) -> Dat
         n = len(tiles)
         nulls = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part]), pa.array([lang], pa.string()), pa.array([packed(above)], pa.binary()), *nulls], names
+            [pa.array([part]), pa.array([lang], pa.string()), pa.array([packed(above, IDS_LEVEL)], pa.binary()), *nulls], names
         )
         ti, tj, start, cells, counts = zip(*tiles)
         yield pa.RecordBatch.from_arrays(
