@@ -171,7 +171,7 @@ def damaged(convs: DataFrame) -> DataFrame:
 def with_faults(rows: DataFrame) -> DataFrame:
     """Rows in ranges sorted by conversation, turn (nulls first), role and text, with each row's first fault.
 
-    Columns: part, conv, turn, role, text, fault, text_hash, uid.  Whether role and text came earlier is decided
+    Columns: pos, conv, turn, role, text, fault, text_hash, uid; pos goes up with the order, by one inside a range.  Whether role and text came earlier is decided
     against the first such row of the conversation; the rows after it in the order are duplicates.
     """
     rows = rows.withColumns({"text_hash": F.sha2("text", 256), "uid": F.monotonically_increasing_id()})
@@ -186,38 +186,42 @@ def with_faults(rows: DataFrame) -> DataFrame:
     marked = rows.join(first, alike).select("conv", "turn", "role", "text", fault.alias("fault"), "text_hash", "uid")
     order = ["conv", "turn", "role", "text_hash", "uid"]
     ranges = materialize(marked, "repair-marked").repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(ranges.withColumn("part", F.spark_partition_id()), "repair-ranges")
+    return materialize(ranges.withColumn("pos", F.monotonically_increasing_id()), "repair-ranges")
 
 
 _SOLVED = (
-    "part int, seg int, conv string, n long, blank long, duplicate long, truncated long, illegal long, first string, "
+    "pos long, conv string, n long, blank long, duplicate long, truncated long, illegal long, first string, "
     "last string, cost long, audit string, sha string, costs array<int>, audits array<string>"
 )
 
 
 def solved_segments(ranges: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """Runs of at most ``size`` turns of one conversation in one range, solved.
+    """Segments of at most ``size`` turns of one conversation, solved.
 
-    Each has its counts and its outer roles; a run that may be a whole conversation its cheapest repair; one that may be
-    part of a longer conversation (the first or last of a range, or one of several) the cheapest repair between each two
+    Turns are read in runs without a gap in ``pos``, which are ranges or parts of them.  Each segment has its counts and its outer roles; a run that may be a whole conversation its cheapest repair; one that may be
+    part of a longer conversation (in the first or last of a run, or one of several) the cheapest repair between each two
     states, at ``costs[4 * before + after]``, null where there is none.
     """
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("part", pa.int32()), ("seg", pa.int32()), ("conv", pa.string())]
+            [("pos", pa.int64()), ("conv", pa.string())]
             + [(c, pa.int64()) for c in ("n", "blank", "duplicate", "truncated", "illegal")]
             + [("first", pa.string()), ("last", pa.string()), ("cost", pa.int64()), ("audit", pa.string()), ("sha", pa.string())]
             + [("costs", pa.list_(pa.int32())), ("audits", pa.list_(pa.string()))]
         )
 
         def stream() -> Iterator[tuple]:
+            run, after = 0, None
             for batch in batches:
-                yield from zip(*[batch.column(c).to_pylist() for c in range(5)])
+                for row in zip(*[batch.column(c).to_pylist() for c in range(5)]):
+                    run += row[0] != after
+                    after = row[0] + 1
+                    yield (run, *row)
 
         def segments() -> Iterator[tuple[bool, list]]:
-            """Each segment, and whether it is one of several of its conversation here."""
-            for _, own in groupby(stream(), key=lambda r: r[1]):
+            """Each segment, and whether it is one of several of its conversation in its run."""
+            for _, own in groupby(stream(), key=lambda r: (r[0], r[2])):
                 held: list = []
                 many = False
                 for row in own:
@@ -228,17 +232,17 @@ def solved_segments(ranges: DataFrame, size: int = SEGMENT) -> DataFrame:
                     held.append(row)
                 yield many, held
 
-        def result(seg: int, rows: list, inner: bool) -> dict:
-            part, conv = rows[0][:2]
-            turns = [(r[2][:1], r[4]) for r in rows]
+        def result(rows: list, many: bool) -> dict:
+            run, pos, conv = rows[0][:3]
+            turns = [(r[3][:1], r[5]) for r in rows]
             illegal = sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(turns, turns[1:]))
             found = {k: sum(f == code for _, f in turns) for k, code in (("blank", BLANK), ("duplicate", DUPLICATE), ("truncated", TRUNCATED))}
-            found |= {"part": part, "seg": seg, "conv": conv, "n": len(rows), "illegal": illegal, "first": turns[0][0], "last": turns[-1][0]}
-            if not inner:
+            found |= {"pos": pos, "conv": conv, "n": len(rows), "illegal": illegal, "first": turns[0][0], "last": turns[-1][0]}
+            if not many:
                 cost, audit = cheapest(turns, NOTHING, ENDS)
-                kept, _ = edited([(r[2], r[3]) for r in rows], audit, NOTHING)
+                kept, _ = edited([(r[3], r[4]) for r in rows], audit, NOTHING)
                 found |= {"cost": cost, "audit": audit, "sha": hashlib.sha256("\n".join(kept).encode()).hexdigest()}
-            return found | {"turns": turns}
+            return found | {"turns": turns, "run": run}
 
         def matrix(found: dict) -> dict:
             ways = [cheapest(found["turns"], p, (q,)) for p in range(STATES) for q in range(STATES)]
@@ -246,13 +250,13 @@ def solved_segments(ranges: DataFrame, size: int = SEGMENT) -> DataFrame:
 
         out: list[dict] = []
         before = None
-        opening = True  # the conversation that the range begins with may have begun earlier
-        for seg, (many, rows) in enumerate(segments()):
-            found = result(seg, rows, many)
+        opening = True  # the conversation that a run begins with may have begun earlier
+        for many, rows in segments():
+            found = result(rows, many)
             if before is not None:
-                same = before["conv"] == found["conv"]
-                out.append(matrix(before) if opening or same or before.get("cost") is None else before)
-                opening = opening and same
+                run, same = before["run"] == found["run"], before["conv"] == found["conv"]
+                out.append(before if run and not opening and not same and before.get("cost") is not None else matrix(before))
+                opening = not run or opening and same
             before = found
             if len(out) >= 200:
                 yield pa.RecordBatch.from_pylist(out, schema)
@@ -261,7 +265,7 @@ def solved_segments(ranges: DataFrame, size: int = SEGMENT) -> DataFrame:
             out.append(matrix(before))
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    return materialize(ranges.select("part", "conv", "role", "text", "fault").mapInArrow(solve, _SOLVED), "repair-solved")
+    return materialize(ranges.select("pos", "conv", "role", "text", "fault").mapInArrow(solve, _SOLVED), "repair-solved")
 
 
 def _by_conversation(rows: DataFrame, order: list, run: Callable, schema: str) -> DataFrame:
@@ -297,9 +301,8 @@ def put_together(parts: DataFrame) -> DataFrame:
             kinds = [pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds)], ["conv", "cost", "audit", "seams"])
 
-    order = [F.desc("part"), F.desc("seg")]
-    rows = parts.select("conv", "costs", "audits", "first", "last", "part", "seg")
-    return materialize(_by_conversation(rows, order, fold, "conv string, cost long, audit string, seams long"), "repair-joined")
+    rows = parts.select("conv", "costs", "audits", "first", "last", "pos")
+    return materialize(_by_conversation(rows, [F.desc("pos")], fold, "conv string, cost long, audit string, seams long"), "repair-joined")
 
 
 def repaired_hashes(ranges: DataFrame, joined: DataFrame) -> DataFrame:
@@ -321,14 +324,12 @@ def repaired_hashes(ranges: DataFrame, joined: DataFrame) -> DataFrame:
                     between = "\n"
             yield pa.RecordBatch.from_arrays([pa.array([conv]), pa.array([digest.hexdigest()])], ["conv", "sha"])
 
-    order = ["turn", "role", "text_hash", "uid"]
     turns = ranges.join(joined.select("conv"), "conv", "left_semi").select(
-        *["conv", "role", "text", F.lit(None).cast("string").alias("audit"), F.lit(1).alias("kind")],
-        *["turn", "text_hash", "uid"],
+        *["conv", "role", "text", F.lit(None).cast("string").alias("audit"), "pos"]
     )
-    heads = joined.select("conv", F.lit("").alias("role"), F.lit("").alias("text"), "audit", F.lit(0).alias("kind"))
-    rows = turns.unionByName(heads, allowMissingColumns=True)
-    return _by_conversation(rows, ["kind", *order], run, "conv string, sha string")
+    heads = joined.select("conv", F.lit("").alias("role"), F.lit("").alias("text"), "audit", F.lit(-1).cast("long").alias("pos"))
+    rows = turns.unionByName(heads)
+    return _by_conversation(rows, ["pos"], run, "conv string, sha string")
 
 
 def repaired_conversations(convs: DataFrame, *, segment: int = SEGMENT) -> DataFrame:

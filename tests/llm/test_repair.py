@@ -34,8 +34,20 @@ def test_cheapest_is_the_least_of_all_edits():
         assert R.cheapest(turns, R.NOTHING, R.ENDS) == brute.repairs(turns), turns
 
 
-@pytest.mark.parametrize("segment", [R.SEGMENT, 7])
-def test_repaired(spark, segment):
+@pytest.mark.parametrize(("segment", "split"), [(R.SEGMENT, None), (7, None), (7, "2k")])
+def test_repaired(spark, segment, split):
+    """With short segments; and with ranges read back in splits, so that conversations go on in other tasks."""
+    if split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        _compare(spark, segment)
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+
+
+def _compare(spark, segment):
     rows = _rows()
     frame = spark.createDataFrame([(*r, 1, "c", 2, "u") for r in rows], SCHEMA).repartition(4)
     got = {r.conv_id: tuple(r[c] for c in COLUMNS) for r in R.repaired_conversations(frame, segment=segment).collect()}
