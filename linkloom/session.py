@@ -22,6 +22,10 @@ RECOMMENDED_CONF = {
 }
 
 
+#: Temporary folders of local sessions that name none, by application.
+_TEMPORARY: dict[str, str] = {}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Apply the recommended settings to a running session.
 
@@ -52,9 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="linkloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId  # Spark lets no running session change the setting
+    if app not in _TEMPORARY:
+        _TEMPORARY[app] = tempfile.mkdtemp(prefix="linkloom-")
+    return _TEMPORARY[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

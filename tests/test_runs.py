@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import catalog
 import fixtures as fx
+import oracles
 from check import compare, oracle_connection
 from linkloom.plans import recheck
 from linkloom.session import scratch_path, shared_folder
@@ -27,7 +28,8 @@ def test_query_equals_its_sql(spark, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracles.ORACLES)
+    assert set(entry.queries()) >= set(catalog.QUERIES)
 
 
 def test_entry(spark):
@@ -96,6 +98,23 @@ def test_plans(spark, name):
         assert "Exchange" not in plan
 
 
-def test_shared_folder_is_the_named_one(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+class _Unnamed:
+    """A session in which no one has named a shared folder."""
+
+    def __init__(self, spark, master):
+        self.conf = self
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": spark.sparkContext.applicationId})
+
+    def get(self, key, default):
+        return default
+
+
+def test_shared_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_folder(spark) == named.rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
+    folder = shared_folder(_Unnamed(spark, "local[4]"))
+    assert folder == shared_folder(_Unnamed(spark, "local[4]"))
+    spark.range(3).write.parquet(f"{folder}/numbers")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Unnamed(spark, "spark://somewhere"))
