@@ -169,11 +169,38 @@ def inside(element: Column) -> Column:
     return F.regexp_replace(element, r"(?is)^<[a-z]" + _ATTRS + ">", "")
 
 
+#: Running sums are built in blocks of this many: an array of n costs n * SUM_BLOCK + (n / SUM_BLOCK)**2 steps.
+SUM_BLOCK = 128
+
+
+def running_sums(values: Column) -> Column:
+    """The sum of an array's integers up to each."""
+
+    def summed(block: Column, start: Column) -> Column:
+        grown = F.aggregate(
+            block, F.array(start), lambda seen, v: F.array_append(seen, F.element_at(seen, -1) + v)
+        )
+        return F.slice(grown, 2, SUM_BLOCK)
+
+    def whole(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda t, v: t + v))
+        starts = F.aggregate(
+            totals, F.array(F.lit(0)), lambda seen, t: F.array_append(seen, F.element_at(seen, -1) + t)
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), summed))
+
+    last = F.floor((F.size(values) - 1) / SUM_BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * SUM_BLOCK + 1, SUM_BLOCK))
+    return F.when(F.size(values) > 0, bind(blocks, whole)).otherwise(F.array().cast("array<int>"))
+
+
 def whole_elements(html: Column, tag: str, wanted: Callable[[Column], Column]) -> Column:
     """Elements whose opening tag is ``wanted``, in page order, nested ones too.
 
     Opening and closing tags of the name give a running depth; an element ends before
-    the tag where the depth falls below its own, or at the page's end.
+    the tag where the depth falls below its own, or at the page's end.  The tags that cross
+    one depth are by turns opening and closing ones, so among all tags in order of depth and
+    place an element's end is the next: each tag is looked at once.
     """
 
     def found(parts: Column) -> Column:
@@ -182,21 +209,31 @@ def whole_elements(html: Column, tag: str, wanted: Callable[[Column], Column]) -
         steps = F.zip_with(
             opens, closes, lambda o, c: F.when(o, 1).when(c, -1).otherwise(0)
         )
-        depths = F.aggregate(
-            steps,
-            F.array(F.lit(0)),
-            lambda seen, s: F.array_append(seen, F.element_at(seen, -1) + s),
+        return bind(steps, lambda step: bind(running_sums(step), lambda depth: cut(parts, step, depth)))
+
+    def cut(parts: Column, steps: Column, depths: Column) -> Column:
+        # The depth a tag crosses: the one after an opening tag, the one before a closing tag.
+        crossings = F.transform(
+            F.arrays_zip(steps.alias("step"), depths.alias("depth")),
+            lambda t, i: F.struct(
+                F.when(t["step"] == 1, t["depth"]).otherwise(t["depth"] + 1).alias("level"), i.alias("at"), t["step"].alias("step")
+            ),
+        )
+        tags = F.array_sort(F.filter(crossings, lambda t: t["step"] != 0))
+        return bind(tags, lambda tag_: slices(parts, tag_))
+
+    def slices(parts: Column, tags: Column) -> Column:
+        following = F.slice(tags, 2, F.size(tags))
+        ends = F.zip_with(
+            tags,
+            following,
+            lambda t, n: F.when(
+                t["step"] == 1,
+                F.struct(t["at"].alias("at"), F.when(n["level"] == t["level"], n["at"]).otherwise(F.size(parts)).alias("end")),
+            ),
         )
-        # depths[i] is the depth after the first i parts.
-        return bind(depths, lambda depth: F.filter(F.transform(parts, lambda p, i: cut(parts, depth, p, i)), lambda e: e.isNotNull()))
-
-    def cut(parts: Column, depth: Column, part: Column, i: Column) -> Column:
-        own = F.get(depth, i + 1)
-        rest = F.slice(depth, i + 3, F.size(depth))
-        ends = F.array_position(F.transform(rest, lambda d: d < own), True).cast("int")
-        length = F.when(ends > 0, ends).otherwise(F.size(parts))
-        opened = F.rlike(part, F.lit(r"(?i)^<" + tag + r"[\s/>]"))
-        return F.when(opened & wanted(part), F.array_join(F.slice(parts, i + 1, length), ""))
+        own = F.filter(ends, lambda e: e.isNotNull() & wanted(F.get(parts, e["at"])))
+        return F.transform(F.array_sort(own), lambda e: F.array_join(F.slice(parts, e["at"] + 1, e["end"] - e["at"]), ""))
 
     return bind(F.split(html, r"(?i)(?=</?" + tag + r"[\s/>])"), found)
 
