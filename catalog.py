@@ -18,7 +18,7 @@ from linkloom.plans import collection, recheck
 from linkloom.session import apply_settings, materialize, scratch_path
 from linkloom.sources import api, csvfiles, tables
 from linkloom.streaming.collection import stream_first_collection
-from linkloom.streaming.recheck import recheck_batches, run_latest_status, version_path
+from linkloom.streaming.recheck import answers_table, recheck_batches, run_latest_status
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -538,16 +538,17 @@ def delete_remaining(spark: SparkSession, sf: str) -> DataFrame:
     return routing.delete_remaining(early.select("event_id", "url"), _checked(spark, sf))
 
 
+def _stored_links(spark: SparkSession, sf: str) -> recheck.LinkStore:
+    store = recheck.LinkStore.at(spark, scratch_path(spark, "links"), buckets=8)
+    store.create(collection.StoredTables(fx.ready_table(spark, sf), fx.not_ready_table(spark, sf)))
+    return store
+
+
 def _rechecked(spark: SparkSession, sf: str) -> collection.StoredTables:
+    store = _stored_links(spark, sf)
     checks = recheck.latest_checks(fx.recheck_log(spark, sf), order=("fetched_at", "event_id"))
-    return recheck.recheck(
-        fx.ready_table(spark, sf),
-        fx.not_ready_table(spark, sf),
-        checks,
-        fx.site_pages(spark, sf),
-        fx.RECHECK_RULES,
-        fx.RUN_TS,
-    )
+    store.recheck(checks, fx.site_pages(spark, sf), fx.RECHECK_RULES, fx.RUN_TS, version=1)
+    return store.read()
 
 
 @query
@@ -769,23 +770,14 @@ def stream_collection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_latest_status(spark: SparkSession, sf: str) -> DataFrame:
-    landed, base = scratch_path(spark, "log"), scratch_path(spark, "versions")
+    landed, order = scratch_path(spark, "log"), ("fetched_at", "event_id")
     log = fx.recheck_log(spark, sf)
     log.repartition(3).write.parquet(landed)
-    collection.StoredTables(fx.ready_table(spark, sf), fx.not_ready_table(spark, sf)).write(
-        version_path(base, 0), mode="overwrite"
-    )
-    pages = materialize(fx.site_pages(spark, sf), "pages")
-    migrate = recheck_batches(spark, base, pages, fx.RECHECK_RULES, fx.RUN_TS)
-    versions = []
-
-    def apply(checks: DataFrame, batch_id: int) -> None:
-        migrate(checks, batch_id)
-        versions.append(batch_id + 1)
-
+    store = _stored_links(spark, sf)
+    answers = answers_table(spark, scratch_path(spark, "answers"), log, order=order, buckets=8)
+    migrate = recheck_batches(store, fx.site_pages(spark, sf), fx.RECHECK_RULES, fx.RUN_TS, compact_every=2)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(landed)
     run_latest_status(
-        stream, scratch_path(spark, "checkpoint"), apply, order=("fetched_at", "event_id")
+        stream, scratch_path(spark, "checkpoint"), migrate, answers, order=order
     ).awaitTermination()
-    last = version_path(base, max(versions))
-    return _all_rows(_read_stored(spark, last, total=False))
+    return _all_rows(store.read())

@@ -15,6 +15,11 @@ from linkloom.functions.html import visible_text
 from linkloom.functions.text import clean_length, clean_pieces, tokens, top_words
 
 
+#: Bits of the filter of wanted pages: 2**25 bits are 4 MB, on the driver and on each executor.
+FILTER_BITS = 25
+_BITMAP_BITS = 15  # bitmap_construct_agg makes bitmaps of 32,768 bits
+
+
 @dataclass(frozen=True)
 class ScoreRules:
     """Words and switches of the score."""
@@ -86,14 +91,48 @@ def relevance_score(
     return score_links(content_features(docs, rules, content=content), rules)
 
 
-def page_features(pages: DataFrame, rules: ScoreRules) -> DataFrame:
+def wanted_pages(pages: DataFrame, links: DataFrame, *, bits: int = FILTER_BITS) -> DataFrame:
+    """Pages whose url a link names, and of those the latest of each url; a few others may pass.
+
+    Urls and times of all pages (no html) are reduced to the latest of each url and joined with the
+    links; hashes of what is left make a bitmap of fixed size, which is broadcast and tested where
+    the pages are scanned.  So html of other pages is neither parsed nor moved.  The fuller the
+    bitmap, the more pages pass in vain; what follows must be exact without it.
+    """
+    order = [c for c in ("fetched_at",) if c in pages.columns]
+    light = pages.select("url", *order)
+    if order:
+        light = light.groupBy("url").agg(*[F.max(c).alias(c) for c in order])
+    named = links.select(F.col("link").alias("url")).distinct()
+    place = F.shiftrightunsigned(F.xxhash64("url", *order), 64 - bits)
+    bit = F.expr(f"place & {(1 << _BITMAP_BITS) - 1}")
+    bitmaps = (
+        light.join(named, "url", "left_semi")
+        .select(place.alias("place"))
+        .groupBy(F.shiftright("place", _BITMAP_BITS).alias("bucket"))
+        .agg(F.bitmap_construct_agg(bit).alias("bitmap"))
+    )
+    byte = F.conv(F.hex(F.expr(f"substring(bitmap, cast((place & {(1 << _BITMAP_BITS) - 1}) >> 3 as int) + 1, 1)")), 16, 10)
+    held = F.expr("cast(byte as int) >> cast(place & 7 as int) & 1") == 1
+    placed = pages.withColumn("place", place).join(
+        F.broadcast(bitmaps), F.shiftright("place", _BITMAP_BITS) == F.col("bucket")
+    )
+    return placed.withColumn("byte", byte).filter(held).select(*pages.columns)
+
+
+def page_features(
+    pages: DataFrame, rules: ScoreRules, *, links: DataFrame | None = None
+) -> DataFrame:
     """Url, content, keyword and cleaned length of the latest page of each url.
 
+    With ``links`` only pages that they name are read for text, and their latest ones.
     Text is read where the pages are scanned, so html is never shuffled.  The latest is
     the one with the largest ``fetched_at``, if pages have it; ties, and pages without,
     go by the text.  Pages are reduced to one per url inside each task first.
     """
     order = [c for c in ("fetched_at",) if c in pages.columns]
+    if links is not None:
+        pages = wanted_pages(pages, links)
     content = pages.select("url", *order, visible_text(F.col("html")).alias("content"))
     features = content_features(content, rules)
     found = ["content", "keyword", "clean_length"]
@@ -104,11 +143,11 @@ def page_features(pages: DataFrame, rules: ScoreRules) -> DataFrame:
 def enrich_links(links: DataFrame, pages: DataFrame, rules: ScoreRules) -> DataFrame:
     """Add content, keyword and score to links; other fields are kept.
 
-    A page is read for text once, however often its link was collected: a link met a
-    million times repeats only the finished features.  Of several pages of one url the
+    A page is read for text once, however often its link was collected, and not at all
+    if no link names it: a link met a million times repeats only the finished features.  Of several pages of one url the
     latest counts.
     """
-    keyed = page_features(pages, rules).withColumnRenamed("url", "link")
+    keyed = page_features(pages, rules, links=links).withColumnRenamed("url", "link")
     joined = links.join(keyed, "link", "left").withColumns(
         {
             "content": F.coalesce("content", F.lit("")),

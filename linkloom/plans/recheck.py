@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.dates import run_stamp
@@ -18,8 +19,10 @@ from linkloom.operators.routing import (
 )
 from linkloom.operators.scoring import ScoreRules, enrich_links
 from linkloom.plans.collection import StoredTables
+from linkloom.schemas import NOT_REQUEST_URL, REQUEST_URL
 from linkloom.session import materialize
 from linkloom.sources import tables
+from linkloom.sources.keyed import KeyedTable
 
 
 def latest_checks(
@@ -57,6 +60,20 @@ def checked_links(
     )
 
 
+def rechecked_rows(
+    ready: DataFrame,
+    not_ready: DataFrame,
+    checks: DataFrame,
+    pages: DataFrame,
+    rules: ScoreRules,
+    run_ts: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Ready and not-ready rows of the checked urls, to take the place of all they had."""
+    links = materialize(checked_links(ready, not_ready, checks), "checked")
+    enriched = enrich_links(route_ready(links), pages, rules)
+    return tables.ready_rows(enriched, run_ts), tables.not_ready_rows(route_not_ready(links))
+
+
 def recheck(
     ready: DataFrame,
     not_ready: DataFrame,
@@ -72,9 +89,48 @@ def recheck(
     urls pass through as they are.
     """
     checks = materialize(checks, "checks")
-    links = materialize(checked_links(ready, not_ready, checks), "checked")
-    enriched = enrich_links(route_ready(links), pages, rules)
+    new_ready, new_not_ready = rechecked_rows(ready, not_ready, checks, pages, rules, run_ts)
     return StoredTables(
-        ready=replace_rows(ready, checks, tables.ready_rows(enriched, run_ts)),
-        not_ready=replace_rows(not_ready, checks, tables.not_ready_rows(route_not_ready(links))),
+        ready=replace_rows(ready, checks, new_ready),
+        not_ready=replace_rows(not_ready, checks, new_not_ready),
     )
+
+
+@dataclass(frozen=True)
+class LinkStore:
+    """The ready and not-ready tables, kept by url: a re-check writes what it changes, no whole table."""
+
+    ready: KeyedTable
+    not_ready: KeyedTable
+
+    @classmethod
+    def at(cls, spark: SparkSession, base: str, *, buckets: int = 64) -> LinkStore:
+        return cls(
+            KeyedTable(spark, f"{base}/request_url", REQUEST_URL, buckets=buckets),
+            KeyedTable(spark, f"{base}/not_request_url", NOT_REQUEST_URL, buckets=buckets),
+        )
+
+    def create(self, stored: StoredTables, version: int = 0) -> None:
+        self.ready.create(stored.ready, version)
+        self.not_ready.create(stored.not_ready, version)
+
+    def read(self, as_of: int | None = None) -> StoredTables:
+        return StoredTables(ready=self.ready.read(as_of), not_ready=self.not_ready.read(as_of))
+
+    def recheck(
+        self, checks: DataFrame, pages: DataFrame, rules: ScoreRules, run_ts: str, version: int
+    ) -> None:
+        """Write version ``version``: what :func:`recheck` makes of the version before.
+
+        Each table gets a delta with a marker for every checked url and the new rows.  Reading
+        the tables as of the version before makes a repeated run write the same.
+        """
+        checks = materialize(checks, "checks")
+        before = self.read(version - 1)
+        ready, not_ready = rechecked_rows(before.ready, before.not_ready, checks, pages, rules, run_ts)
+        self.ready.apply(checks, ready, version)
+        self.not_ready.apply(checks, not_ready, version)
+
+    def compact(self, version: int, *, least: int = 8) -> None:
+        self.ready.compact(version, least=least)
+        self.not_ready.compact(version, least=least)

@@ -6,19 +6,22 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.functions.dates import run_stamp
 from linkloom.operators.routing import error_column, status_classify
 from linkloom.operators.scoring import ScoreRules
-from linkloom.plans.recheck import recheck
+from linkloom.plans.recheck import LinkStore
+from linkloom.session import materialize
+from linkloom.sources.keyed import KeyedTable
 
 
 def latest_status(log: DataFrame, *, order: Sequence[str] = ("fetched_at",)) -> DataFrame:
     """Running last status of each url: url, status, updated_at.
 
-    Works on a stream or a table.  The state is one small row per url, and an answer
-    that arrives late cannot replace a later one.
+    On a stream the state is one row per url for as long as it runs; :func:`run_latest_status`
+    keeps none.
     """
     last = F.max(F.struct(*order, "status")).alias("last")
     return status_classify(log, error=error_column(log)).groupBy("url").agg(last).select(
@@ -26,48 +29,63 @@ def latest_status(log: DataFrame, *, order: Sequence[str] = ("fetched_at",)) ->
     )
 
 
+def answers_table(
+    spark: SparkSession, path: str, log: DataFrame, *, order: Sequence[str] = ("fetched_at",), buckets: int = 64
+) -> KeyedTable:
+    """Where the last answer of each url is kept: url, the columns of ``order``, status."""
+    fields = [T.StructField("url", T.StringType())]
+    fields += [T.StructField(c, log.schema[c].dataType) for c in order]
+    return KeyedTable(spark, path, T.StructType([*fields, T.StructField("status", T.IntegerType())]), buckets=buckets)
+
+
 def run_latest_status(
     log: DataFrame,
     checkpoint: str,
     apply: Callable[[DataFrame, int], None],
+    answers: KeyedTable,
     *,
     order: Sequence[str] = ("fetched_at",),
+    compact_every: int = 16,
 ) -> StreamingQuery:
-    """Hand each batch's changed urls to ``apply(checks, batch_id)``; stop when caught up."""
+    """Hand each batch's changed urls to ``apply(checks, batch_id)``; stop when caught up.
+
+    The stream has no state.  A batch's last answers are compared with those kept in ``answers``;
+    older ones are ignored, newer ones handed on and kept, as version ``batch_id + 1``.  A batch
+    run again reads the same version and writes the same.
+    """
+    place = [*order, "status"]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        classified = status_classify(batch, error=error_column(batch))
+        last = classified.groupBy("url").agg(F.max(F.struct(*place)).alias("last"))
+        known = answers.read(batch_id).select("url", F.struct(*place).alias("known"))
+        newer = last.join(known, "url", "left").filter(F.col("known").isNull() | (F.col("last") > F.col("known")))
+        newer = materialize(newer.select("url", "last.*"), "newer")
+        answers.apply(newer, newer, batch_id + 1)
+        apply(newer.select("url", "status", run_stamp(F.col(order[0])).alias("updated_at")), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            answers.compact(batch_id + 1)
+
     return (
-        latest_status(log, order=order)
-        .writeStream.outputMode("update")
-        .foreachBatch(apply)
+        log.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def version_path(base: str, version: int) -> str:
-    """Folder of one version of the stored tables."""
-    return f"{base}/version={version:010d}"
-
-
 def recheck_batches(
-    spark: SparkSession, base: str, pages: DataFrame, rules: ScoreRules, run_ts: str
+    store: LinkStore, pages: DataFrame, rules: ScoreRules, run_ts: str, *, compact_every: int = 16
 ) -> Callable[[DataFrame, int], None]:
-    """A batch function that writes version ``n + 1`` of the tables from version ``n``.
+    """A batch function that writes version ``n + 1`` of the tables: the changes to version ``n``.
 
-    The version follows from the batch id alone: a batch run again reads the same
-    tables and overwrites the same folder.  Version 0 holds the tables at the start.
+    The version follows from the batch id alone: a batch run again reads the same version and
+    overwrites the same folders.  Version 0 holds the tables at the start.
     """
 
     def apply(checks: DataFrame, batch_id: int) -> None:
-        before, after = version_path(base, batch_id), version_path(base, batch_id + 1)
-        stored = recheck(
-            spark.read.parquet(f"{before}/request_url"),
-            spark.read.parquet(f"{before}/not_request_url"),
-            checks,
-            pages,
-            rules,
-            run_ts,
-        )
-        stored.write(after, mode="overwrite")
+        store.recheck(checks, pages, rules, run_ts, batch_id + 1)
+        if (batch_id + 1) % compact_every == 0:
+            store.compact(batch_id + 1)
 
     return apply

@@ -10,9 +10,10 @@ import catalog
 import fixtures as fx
 import oracles
 from check import compare, oracle_connection
+from linkloom.operators import scoring
 from linkloom.plans import recheck
 from linkloom.session import scratch_path, shared_folder
-from linkloom.streaming.recheck import latest_status, run_latest_status
+from linkloom.streaming.recheck import answers_table, latest_status, run_latest_status
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -57,6 +58,49 @@ def test_recheck_twice_changes_nothing(spark):
     assert both.count() == both.distinct().count()
 
 
+def test_recheck_writes_what_it_changes(spark, tmp_path):
+    """A re-check of 1 % of the urls adds about 1 % of the bytes, and the whole form gives the same rows."""
+    n = 20_000
+    url = F.concat(F.lit("u"), F.col("id"))
+    stamp = F.lit("2024-01-01 00:00:00")
+    ready = spark.range(n).select(
+        F.lit(200).alias("status_code"), url.alias("url"), F.sha2(url, 256).alias("title"), F.sha2(url, 512).alias("content"),
+        F.lit("[]").alias("keyword"), F.lit(0.4).alias("score"), stamp.alias("created_at"), stamp.alias("updated_at"),
+    )
+    not_ready = ready.limit(0).select("status_code", "url", "title", "created_at", "updated_at")
+    checks = spark.range(0, n, 100).select(
+        url.alias("url"), F.when(F.col("id") % 200 == 0, 200).otherwise(404).alias("status"), stamp.alias("updated_at")
+    )
+    pages = checks.select("url", F.concat(F.lit("<p>word "), "url", F.lit("</p>")).alias("html"))
+    store = recheck.LinkStore.at(spark, str(tmp_path / "store"), buckets=8)
+    store.create(recheck.StoredTables(ready, not_ready))
+
+    def size():
+        return sum(f.stat().st_size for f in (tmp_path / "store").rglob("*.parquet"))
+
+    before = size()
+    store.recheck(checks, pages, fx.RECHECK_RULES, fx.RUN_TS, 1)
+    assert size() - before < 0.05 * before
+    whole = recheck.recheck(ready, not_ready, checks, pages, fx.RECHECK_RULES, fx.RUN_TS)
+    for got, want in ((store.read().ready, whole.ready), (store.read().not_ready, whole.not_ready)):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pages_no_link_names_are_not_read(spark):
+    stamps = [("a", 1, "old"), ("a", 2, "new"), ("b", 5, "b"), ("c", 1, "c"), (None, 1, "none"), ("d", None, "d"), ("e", None, "e")]
+    pages = spark.createDataFrame([(u, t, f"<p>{h}</p>") for u, t, h in stamps], "url string, fetched_at long, html string")
+    links = spark.createDataFrame([("a",), ("a",), ("c",), ("x",), (None,), ("d",)], "link string")
+    found = scoring.wanted_pages(pages, links)
+    assert sorted(r.html for r in found.collect()) == ["<p>c</p>", "<p>d</p>", "<p>new</p>"]
+    untimed = scoring.wanted_pages(pages.drop("fetched_at"), links)
+    assert sorted(r.html for r in untimed.collect()) == ["<p>c</p>", "<p>d</p>", "<p>new</p>", "<p>old</p>"]
+    links = links.selectExpr("'t' as title", "link", "'2024-01-01' as date")
+    plan = scoring.enrich_links(links, pages, fx.RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    # The plan reads from the top down: text is made above the filter by bitmap, out of what passed.
+    assert plan.index("regexp_replace(html") < plan.index("bitmap#", plan.index("regexp_replace(html"))
+
+
 def test_late_answers_do_not_replace_later_ones(spark, tmp_path):
     landed = str(tmp_path / "log")
     schema = "url string, status int, fetched_at timestamp_ntz"
@@ -75,8 +119,12 @@ def test_late_answers_do_not_replace_later_ones(spark, tmp_path):
     for url, status, hour in (("a", 404, 5), ("a", 200, 3), ("b", 200, 1), ("b", 503, 2)):
         land(url, status, hour)
         stream = spark.readStream.schema(schema).parquet(landed)
-        run_latest_status(stream, str(tmp_path / "checkpoint"), apply).awaitTermination()
+        answers = answers_table(spark, str(tmp_path / "answers"), stream, buckets=4)
+        query = run_latest_status(stream, str(tmp_path / "checkpoint"), apply, answers, compact_every=2)
+        query.awaitTermination()
+        assert all(not p.get("stateOperators") for p in query.recentProgress)
     assert seen == {"a": 404, "b": 503}
+    assert {r.url: r.status for r in answers.read().collect()} == seen
     batch = latest_status(spark.read.schema(schema).parquet(landed)).collect()
     assert {r["url"]: r["status"] for r in batch} == seen
 
