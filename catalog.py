@@ -566,8 +566,6 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
     pos = F.when(F.col("event_id") % 100 == 0, None).otherwise(F.col("event_id"))
     lists = F.when(F.col("user_id") % 10 != 0, F.col("user_id"))
     rows = fx.table(spark, sf, "events").select(lists.alias("list_id"), pos.alias("pos"))
-    # Positions are distinct in a list: of the rows without one, each list keeps one.
-    rows = rows.filter("pos is not null").unionByName(rows.filter("pos is null").distinct())
     return routing.batch_assign(rows, 20, span=4096)
 
 
@@ -575,7 +573,6 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
 def bucket_assign(spark: SparkSession, sf: str) -> DataFrame:
     lists = (
         fx.table(spark, sf, "events")
-        .filter("user_id % 5 <> 0 or event_id < 3000")
         .groupBy(
             F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("collection"),
             (F.dayofmonth("ts") % 4).alias("list_id"),

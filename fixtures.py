@@ -187,8 +187,12 @@ def recheck_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of 60 sites' urls, every document one, so that urls are fetched again and again."""
-    site = (F.floor(F.col("doc_id") / 10) % 60).cast("string")
+    """Pages of the users' sites, every document one, three of 13 of them of a url that has another page.
+
+    Sites go round as often as there are documents for it, so the texts used grow with the input.
+    """
+    sites = table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0] + 1
+    site = (F.floor(F.col("doc_id") / 13) % sites).cast("string")
     return text_table(spark, sf_dir, "documents").select(
         F.concat(
             F.lit("https://site"), site, F.lit(".example.org/p/"), F.col("doc_id") % 10

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.constants import FAILED_STATUS, READY_STATUS
 
@@ -122,8 +123,9 @@ def batch_assign(
     With ``dense`` positions (0, 1, 2, ... as ``posexplode`` gives them) the batch
     follows from the position alone.  Otherwise rows are ranked per list and span of
     positions, and the spans before it are added as an offset: one list can be most
-    of the table and still spread over many tasks.  Positions are distinct in a list;
-    rows without one come first.  Rows without a list form a list of their own.
+    of the table and still spread over many tasks.  Rows of one position go by their other
+    columns (maps and variants apart), and rows alike in all of them may change places.
+    Rows without a position come first.  Rows without a list form a list of their own.
     """
     if dense:
         return rows.withColumn("batch", F.floor(F.col(pos) / size).cast("bigint"))
@@ -137,8 +139,13 @@ def batch_assign(
         )
         .drop("rows_")
     )
+    others = [
+        f.name
+        for f in rows.schema.fields
+        if f.name not in (list_id, pos) and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
     ranked = spans.withColumn(
-        "rank_", F.row_number().over(Window.partitionBy(list_id, "span_").orderBy(pos))
+        "rank_", F.row_number().over(Window.partitionBy(list_id, "span_").orderBy(pos, *others))
     )
     here, there = ranked.alias("r"), before.alias("b")
     same = F.col(f"r.{list_id}").eqNullSafe(F.col(f"b.{list_id}"))

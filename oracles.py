@@ -456,7 +456,8 @@ _MIGRATE = (
     STATE,
     CHECKS,
     f"""texts AS (
-  SELECT 'https://site' || doc_id // 10 % 60 || '.example.org/p/' || doc_id % 10 AS url,
+  SELECT 'https://site' || doc_id // 13 % (SELECT max(user_id) + 1 FROM events)
+           || '.example.org/p/' || doc_id % 10 AS url,
          trim(arg_max(text, doc_id), {WS}) AS content
   FROM documents GROUP BY url)""",
     _features("texts", "url"),
@@ -486,11 +487,9 @@ ORACLES["migrate_not_ready"] = _with(*_MIGRATE) + _NEW_NOT_READY
 ORACLES["batch_assign"] = """
 SELECT list_id, pos,
        (row_number() OVER (PARTITION BY list_id ORDER BY pos NULLS FIRST) - 1) // 20 AS batch
-FROM (SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS list_id, event_id AS pos
-      FROM events WHERE event_id % 100 <> 0
-      UNION ALL
-      SELECT DISTINCT CASE WHEN user_id % 10 <> 0 THEN user_id END, CAST(NULL AS BIGINT)
-      FROM events WHERE event_id % 100 = 0)"""
+FROM (SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS list_id,
+             CASE WHEN event_id % 100 <> 0 THEN event_id END AS pos
+      FROM events)"""
 
 ORACLES["bucket_assign"] = """
 SELECT collection, list_id, day, links, CASE WHEN n <= 10 THEN n END AS slot,
@@ -502,7 +501,7 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY collection ORDER BY list_id
       FROM (SELECT CASE WHEN user_id % 5 <> 0 THEN user_id END AS collection,
                    CAST(day(ts) % 4 AS INTEGER) AS list_id, CAST(day(ts) AS INTEGER) AS day,
                    count(*) AS links
-            FROM events WHERE user_id % 5 <> 0 OR event_id < 3000 GROUP BY ALL))"""
+            FROM events GROUP BY ALL))"""
 
 # Crawls and nested results.
 

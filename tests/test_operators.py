@@ -379,6 +379,11 @@ def test_lossless_on_odd_rows(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         [(1, None, 0), (1, 2, 0), (1, 5, 1), (None, 3, 0), (None, 7, 0)], key=str
     )
+    ties = [("y", 1, "b"), ("y", 1, "a"), ("y", 1, "a"), ("y", None, "c"), ("y", None, "c"), ("y", 2, "a")]
+    got = routing.batch_assign(spark.createDataFrame(ties, "list_id string, pos int, x string"), 2)
+    assert sorted(((r.batch, r.pos or 0, r.x) for r in got.collect())) == [
+        (0, 0, "c"), (0, 0, "c"), (1, 1, "a"), (1, 1, "a"), (2, 1, "b"), (2, 2, "a")
+    ]
     tied = [("c", 1, "a"), ("c", 1, "b"), ("c", 1, "b"), (None, 2, "z")]
     got = routing.bucket_assign(spark.createDataFrame(tied, "collection string, list_id int, x string"))
     assert sorted((r.collection or "", r.x, r.slot, r.rejected) for r in got.collect()) == [
