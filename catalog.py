@@ -17,6 +17,7 @@ from linkloom.operators import crawl, extract, keywords, portals, reshape, routi
 from linkloom.plans import collection, recheck
 from linkloom.session import apply_settings, materialize, scratch_path
 from linkloom.sources import api, csvfiles, tables
+from linkloom.sources.snapshot import AnswerSnapshot
 from linkloom.streaming.collection import stream_first_collection
 from linkloom.streaming.recheck import answers_table, recheck_batches, run_latest_status
 
@@ -498,6 +499,22 @@ def status_classify(spark: SparkSession, sf: str) -> DataFrame:
     return routing.status_classify(fx.fetch_log(spark, sf)).drop("fetched_at")
 
 
+@query
+def answer_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Site pages classified by a snapshot that took up the log in several runs."""
+    landed, order = scratch_path(spark, "log"), ("fetched_at", "event_id")
+    log = fx.fetch_log(spark, sf)
+    snapshot = AnswerSnapshot.of(log, scratch_path(spark, "snapshot"), order=order)
+    checkpoint = scratch_path(spark, "checkpoint")
+    for early in (True, False):  # each run reads what landed since the one before
+        before = F.col("fetched_at") < F.lit(fx.RECHECK_FROM).cast("timestamp_ntz")
+        log.filter(before if early else ~before).repartition(3).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+        snapshot.follow(stream, checkpoint).awaitTermination()
+    links = fx.site_pages(spark, sf).select(F.col("fetched_at").alias("doc_id"), F.col("url").alias("link"))
+    return routing.classify_by_answers(links, snapshot.read(), fx.RUN_TS)
+
+
 @query
 def route_ready(spark: SparkSession, sf: str) -> DataFrame:
     return routing.route_ready(status_classify(spark, sf)).select("event_id", "url")

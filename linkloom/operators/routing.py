@@ -67,7 +67,12 @@ def classify_links(
     fetch has an ``error``, if the log has that column.
     """
     answered = latest_fetch(status_classify(fetch_log, error=error_column(fetch_log)), order=order)
-    answered = answered.select(F.col("url").alias("link"), F.col("status").alias("answer"))
+    return classify_by_answers(links, answered, run_ts)
+
+
+def classify_by_answers(links: DataFrame, answers: DataFrame, run_ts: str) -> DataFrame:
+    """Add ``status`` and ``updated_at`` to links from the one answer each url has: url, status."""
+    answered = answers.select(F.col("url").alias("link"), F.col("status").alias("answer"))
     return links.join(answered, "link", "left").select(
         *links.columns,
         fetch_status(F.col("answer")).alias("status"),

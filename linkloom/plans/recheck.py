@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +98,13 @@ def recheck(
     )
 
 
+def _both(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run two writes side by side; neither waits for the other's last task."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
+
+
 @dataclass(frozen=True)
 class LinkStore:
     """The ready and not-ready tables, kept by url: a re-check writes what it changes, no whole table."""
@@ -111,8 +120,11 @@ class LinkStore:
         )
 
     def create(self, stored: StoredTables, version: int = 0) -> None:
-        self.ready.create(stored.ready, version)
-        self.not_ready.create(stored.not_ready, version)
+        _both(
+            self.ready.spark,
+            lambda: self.ready.create(stored.ready, version),
+            lambda: self.not_ready.create(stored.not_ready, version),
+        )
 
     def read(self, as_of: int | None = None) -> StoredTables:
         return StoredTables(ready=self.ready.read(as_of), not_ready=self.not_ready.read(as_of))
@@ -128,8 +140,11 @@ class LinkStore:
         checks = materialize(checks, "checks")
         before = self.read(version - 1)
         ready, not_ready = rechecked_rows(before.ready, before.not_ready, checks, pages, rules, run_ts)
-        self.ready.apply(checks, ready, version)
-        self.not_ready.apply(checks, not_ready, version)
+        _both(
+            self.ready.spark,
+            lambda: self.ready.apply(checks, ready, version),
+            lambda: self.not_ready.apply(checks, not_ready, version),
+        )
 
     def compact(self, version: int, *, least: int = 8) -> None:
         self.ready.compact(version, least=least)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkloom.sources import folders
+
 #: Partition columns of the files, in order of the folders.
 PLACE = ("kind", "version", "bucket")
 
@@ -73,8 +75,7 @@ class KeyedTable:
         live = {(k, *place) for k, found in zip(("base", "delta"), self._live(version)) for place in found}
         gone = [x for x in self._folders() if x[1] <= version and x not in live]
         for place in gone:
-            path = self._jvm().Path(self._folder(*place))
-            path.getFileSystem(self._conf()).delete(path, True)
+            folders.delete(self.spark, self._folder(*place))
         return len(gone)
 
     def _bucket(self) -> Column:
@@ -136,22 +137,8 @@ class KeyedTable:
 
     def _folders(self) -> list[tuple[str, int, int]]:
         """(kind, version, bucket) of all folders of finished versions; as many as buckets times live versions."""
-        done = {self._parts(p)[:2] for p in self._glob("kind=*/version=*/_SUCCESS")}
-        places = [self._parts(p) for p in self._glob("kind=*/version=*/bucket=*")]
-        return [(kind, int(v), int(b)) for kind, v, b in places if (kind, v) in done]
-
-    @staticmethod
-    def _parts(path: str) -> tuple[str, ...]:
-        return tuple(x.split("=", 1)[1] for x in path.split("/") if x.split("=")[0] in PLACE and "=" in x)
-
-    def _glob(self, pattern: str) -> list[str]:
-        path = self._jvm().Path(f"{self.path}/{pattern}")
-        start = len(self._jvm().Path(self.path).toUri().getPath())
-        found = path.getFileSystem(self._conf()).globStatus(path) or []
-        return [x.getPath().toUri().getPath()[start:] for x in found]
-
-    def _jvm(self):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs
-
-    def _conf(self):
-        return self.spark.sparkContext._jsc.hadoopConfiguration()
+        finished = folders.found(self.spark, self.path, "kind=*/version=*/_SUCCESS")
+        done = {tuple(folders.values(p).values()) for p in finished}
+        places = [folders.values(p) for p in folders.found(self.spark, self.path, "kind=*/version=*/bucket=*")]
+        kept = [p for p in places if (p["kind"], p["version"]) in done]
+        return [(p["kind"], int(p["version"]), int(p["bucket"])) for p in kept]

@@ -481,6 +481,13 @@ FROM state WHERE status_code <> 200 AND url NOT IN (SELECT url FROM checks)
 UNION ALL
 SELECT status, url, title, created_at, updated_at FROM moved WHERE status <> 200"""
 
+ORACLES["answer_snapshot"] = _with(FETCHES) + f"""
+SELECT doc_id, link, coalesce(status, 500) AS status, '{RUN_TS}' AS updated_at
+FROM (SELECT doc_id, 'https://site' || doc_id // 13 % (SELECT max(user_id) + 1 FROM events)
+               || '.example.org/p/' || doc_id % 10 AS link FROM documents) d
+LEFT JOIN (SELECT url AS link, arg_max(coalesce(status, 500), (ts, event_id)) AS status
+           FROM fetches GROUP BY url) USING (link)"""
+
 ORACLES["migrate_ready"] = _with(*_MIGRATE) + _NEW_READY
 ORACLES["migrate_not_ready"] = _with(*_MIGRATE) + _NEW_NOT_READY
 
