@@ -457,7 +457,12 @@ def title_hit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def keyword_tier(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("doc_id", "tier", "tier_effect")
+    # The words' tiers as a table: nations' names, which no text has, and the rules' own words.
+    rows = [(w, t) for t in ("coin", "other") for w in getattr(fx.RULES, t)]
+    own = spark.createDataFrame(rows, "word string, tier string")
+    names = fx.table(spark, sf, "nation").select(F.col("n_name").alias("word"), F.lit("other").alias("tier"))
+    found = scoring.relevance_score(fx.docs(spark, sf), fx.RULES, tiers=own.unionByName(names))
+    return found.select("doc_id", "tier", "tier_effect")
 
 
 @query

@@ -62,6 +62,18 @@ def tier_name(
     )
 
 
+def tier_of(links: DataFrame, tiers: DataFrame, word: Column) -> DataFrame:
+    """Links with the ``tier`` of a word by a table of word and tier (``coin`` or ``other``); ``none`` if it has none.
+
+    A word in both tiers, or listed twice, counts once, as coin if it is one.  Catalyst broadcasts the table if
+    it finds it small; a large one is joined by word.
+    """
+    one = tiers.groupBy(F.col("word").alias("word_")).agg(F.min("tier").alias("tier"))  # coin comes before other
+    keyed = links.withColumn("word__", word)
+    joined = keyed.join(one, F.col("word__") == F.col("word_"), "left").drop("word__", "word_")
+    return joined.withColumn("tier", F.coalesce("tier", F.lit("none")))
+
+
 def tier_tenths(tier: Column, length: Column, hundredths: Column) -> Column:
     """Effect of the keyword's tier; 0 outside the length and share bounds."""
     counted = length.between(*CLEAN_LENGTH_BOUNDS) & hundredths.between(*SHARE_BOUNDS)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,8 +31,39 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+#: Up to so many words are looked for one after the other, more by their beginnings.
+FEW_WORDS = 32
+
+
 def contains_any(text: Column, words: Sequence[str]) -> Column:
-    """Whether any word is a case-sensitive substring of ``text``."""
+    """Whether any word is a case-sensitive substring of ``text``; the cost of many does not grow with their number."""
+    words = list(dict.fromkeys(words))
+    if len(words) <= FEW_WORDS or "" in words:
+        return _contains_each(text, words)
+    return _contains_by_beginnings(text, words)
+
+
+def _contains_by_beginnings(text: Column, words: Sequence[str]) -> Column:
+    """Every place of the text is looked up by its first characters in a set of all words' beginnings.
+
+    As many characters count as the shortest word has.  Only where they begin a word are the places
+    compared with the words, by one set for each length.  Sets are built once and looked up by hash.
+    """
+    by_length: dict[int, list[str]] = {}
+    for word in words:
+        by_length.setdefault(len(word), []).append(word)
+    short, long = min(by_length), max(by_length)
+    places = F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d,%d}))" % (short, long)), F.lit(1))
+    starts = sorted({w[:short] for w in words})
+
+    def begins(place: Column) -> Column:
+        whole = [F.left(place, F.lit(n)).isin(*by_length[n]) for n in sorted(by_length)]
+        return F.left(place, F.lit(short)).isin(*starts) & reduce(or_, whole)
+
+    return F.exists(places, begins)
+
+
+def _contains_each(text: Column, words: Sequence[str]) -> Column:
     return reduce(
         lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words], F.lit(False)
     )

@@ -32,33 +32,41 @@ def frontier_step(frontier: DataFrame, edges: DataFrame, visited: DataFrame) ->
     return first.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
 
 
-#: Positions of a page's links that are ranked together.
+#: Values (positions of a page's links, arrivals in a crawl) that are ranked together.
 SPAN = 1 << 16
 
 
+def _first_of_each(rows: DataFrame, group: str, value: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each group by ``value``, with their ``rank`` from 1.
+
+    Values are distinct in a group and rows are counted by span of values, so a row's rank is
+    its place in its span after all earlier spans.  Spans that start beyond the limit are
+    dropped.  No task ranks more than SPAN rows of a group, however large the group.
+    """
+    spans = rows.withColumn("span_", F.floor(F.col(value) / SPAN))
+    earlier = Window.partitionBy(group).orderBy("span_")
+    before = (
+        spans.groupBy(group, "span_")
+        .agg(F.count("*").alias("n_"))
+        .withColumn("before_", F.sum("n_").over(earlier) - F.col("n_"))
+        .filter(F.col("before_") < limit)
+        .drop("n_")
+    )
+    inside = Window.partitionBy(group, "span_").orderBy(value)
+    ranked = spans.withColumn("rank_", F.row_number().over(inside)).filter(F.col("rank_") <= limit)
+    placed = ranked.join(before, [group, "span_"]).withColumn("rank", F.col("rank_") + F.col("before_"))
+    return placed.filter(F.col("rank") <= limit).select(*rows.columns, "rank")
+
+
 def _leading_edges(edges: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` links of each page with their rank from 1: url, link, rank.
 
     Exact for a crawl of at most ``limit`` pages: a later link of the page has
     ``limit`` distinct pages queued or visited before it, so it is never visited.
-    Links are ranked per page and span of positions, after those of earlier spans; spans
-    that start beyond the limit are dropped, so a hub's links never meet in one task.
+    A hub's links never meet in one task.
     """
-    spans = edges.select("url", "link", "pos", F.floor(F.col("pos") / SPAN).alias("span"))
-    earlier = Window.partitionBy("url").orderBy("span")
-    before = (
-        spans.groupBy("url", "span")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.sum("n").over(earlier) - F.col("n"))
-        .filter(F.col("before") < limit)
-        .drop("n")
-    )
-    inside = Window.partitionBy("url", "span").orderBy("pos")
-    ranked = spans.withColumn("rank", F.row_number().over(inside)).filter(F.col("rank") <= limit)
-    placed = ranked.join(before, ["url", "span"]).select(
-        "url", "link", (F.col("rank") + F.col("before")).cast("int").alias("rank")
-    )
-    return placed.filter(F.col("rank") <= limit)
+    first = _first_of_each(edges.select("url", "link", "pos"), "url", "pos", limit)
+    return first.select("url", "link", F.col("rank").cast("int").alias("rank"))
 
 
 def _useful_parents(frontier: DataFrame, followed: DataFrame, max_pages: int) -> DataFrame:
@@ -88,7 +96,8 @@ def multi_seed_crawl(
     ``seeds`` has one column ``url``; all seeds advance together, one join per level.
     ``edges`` holds url, link, pos with distinct positions and links per url.  The
     order of a level is one number, the parent's visit and the link's rank, so the
-    first arrival of a page is a plain hash aggregation.
+    first arrival of a page is a plain hash aggregation.  Arrivals are ranked by spans,
+    so a seed that reaches most pages is ranked by many tasks.
     """
     level = seeds.select(
         F.col("url").alias("seed"),
@@ -103,7 +112,6 @@ def multi_seed_crawl(
     if max_depth == 0 or max_pages == 1:
         return level
     followed = materialize(_leading_edges(edges, max_pages), "crawl-edges")
-    queue_order = Window.partitionBy("seed").orderBy("arrival")
     for _ in range(max_depth):
         visited = reduce(DataFrame.unionByName, levels)
         counts = visited.groupBy("seed").agg(F.count("*").alias("visited"))
@@ -123,9 +131,9 @@ def multi_seed_crawl(
             .agg(F.min("arrival").alias("arrival"))
             .join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
         )
+        reached = materialize(reached, "crawl-reached")
         taken = (
-            reached.withColumn("rank", F.row_number().over(queue_order))
-            .filter(F.col("rank") <= max_pages)
+            _first_of_each(reached, "seed", "arrival", max_pages)
             .join(unfilled, "seed")
             .withColumn("visit", F.col("visited") + F.col("rank") - 1)
             .filter(F.col("visit") < max_pages)

@@ -50,9 +50,14 @@ def content_features(
     )
 
 
-def score_links(links: DataFrame, rules: ScoreRules) -> DataFrame:
+def score_links(
+    links: DataFrame, rules: ScoreRules, *, tiers: DataFrame | None = None
+) -> DataFrame:
     """Add ``share``, ``title_hit``, ``tier``, ``recency`` and ``score`` to links with features.
 
+    The tier of a link's keyword follows from the words of ``rules`` or, if given, from ``tiers``, a
+    table of word and tier of any size.
+
     A date that cannot be read gives a null score; the caller routes it to rejects.
     """
     word = F.get("keyword", F.lit(0))["word"]
@@ -62,10 +67,13 @@ def score_links(links: DataFrame, rules: ScoreRules) -> DataFrame:
         {
             "hundredths_": S.share_hundredths(n, length),
             "title_hit": S.title_hit(F.col("title"), rules.coin, fold_case=rules.fold_case),
-            "tier": S.tier_name(word, rules.coin, rules.other),
             "ymd_": date_int(F.col("date")),
         }
     )
+    if tiers is None:
+        parts = parts.withColumn("tier", S.tier_name(word, rules.coin, rules.other))
+    else:
+        parts = S.tier_of(parts, tiers, word)
     scored = parts.withColumns(
         {
             "tier_effect": F.coalesce(
@@ -85,10 +93,10 @@ def score_links(links: DataFrame, rules: ScoreRules) -> DataFrame:
 
 
 def relevance_score(
-    docs: DataFrame, rules: ScoreRules, *, content: str = "content"
+    docs: DataFrame, rules: ScoreRules, *, content: str = "content", tiers: DataFrame | None = None
 ) -> DataFrame:
-    """Features and score of links that carry their text; a map over the table."""
-    return score_links(content_features(docs, rules, content=content), rules)
+    """Features and score of links that carry their text; a map over the table, but for a join with ``tiers``."""
+    return score_links(content_features(docs, rules, content=content), rules, tiers=tiers)
 
 
 def wanted_pages(pages: DataFrame, links: DataFrame, *, bits: int = FILTER_BITS) -> DataFrame:
