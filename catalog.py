@@ -181,6 +181,15 @@ def log_export(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(log.schema).option("escape", '"').csv(path)
 
 
+@query
+def csv_saving(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's record with its whole text, saved with a header and read back."""
+    records = fx.docs(spark, sf).select("doc_id", "title", "link", "date", "content")
+    path = scratch_path(spark, "saved")
+    csvfiles.csv_saving(records, path)
+    return csvfiles.csv_reading(spark, path, records.schema)
+
+
 # Links and pages.
 
 
@@ -403,6 +412,13 @@ def noun_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def compound_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return keywords.compound_tokens(
+        fx.docs(spark, sf), _lexicon(spark, sf), keys=("doc_id",), min_length=3, **TOKEN_RULES
+    )
+
+
 @query
 def lexicon_keywords(spark: SparkSession, sf: str) -> DataFrame:
     return keywords.lexicon_keywords(

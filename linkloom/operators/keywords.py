@@ -33,6 +33,56 @@ def noun_tokens(
     )
 
 
+def compound_parts(words: DataFrame, lexicon: DataFrame, *, min_length: int = 2) -> DataFrame:
+    """Words cut into lexicon words, longest first from left to right: word, part (from 0), text.
+
+    At each place of a word the longest lexicon word that begins there (of ``min_length`` characters or more) is
+    taken and the next place is behind it; where none begins, a character is passed over.  A word in the lexicon is
+    its own only part; a word without any part, or null, gives no rows.
+
+    Only distinct words are cut, and their pieces are compared with the lexicon by a join.  What is gathered of a
+    word is one length for each of its places.
+    """
+    known = lexicon.select(F.col("word").alias("text")).filter(F.length("word") >= min_length).distinct()
+    longest = F.least(F.length("word") - F.col("place") + 1, F.lit(known.agg(F.max(F.length("text"))).first()[0] or 0))
+    places = words.select("word").distinct().select(
+        "word", F.explode(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1)))).alias("place")
+    )
+    pieces = places.filter(longest >= min_length).select(
+        "word", "place", F.explode(F.sequence(F.lit(min_length), longest)).alias("size")
+    )
+    pieces = pieces.withColumn("text", F.substring("word", F.col("place"), F.col("size")))
+    begun = pieces.join(known, "text", "left_semi").groupBy("word", "place").agg(F.max("size").alias("size"))
+    by_word = begun.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("place", "size"))).alias("begun"))
+    none = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<place:int,size:int>>").alias("taken"))
+    taken = F.aggregate(
+        "begun",
+        none,
+        lambda so_far, b: F.when(
+            b["place"] >= so_far["next"],
+            F.struct((b["place"] + b["size"]).alias("next"), F.array_append(so_far["taken"], b).alias("taken")),
+        ).otherwise(so_far),
+        lambda so_far: so_far["taken"],
+    )
+    rows = by_word.select("word", F.posexplode(taken).alias("part", "at"))
+    return rows.select("word", "part", F.substring("word", F.col("at.place"), F.col("at.size")).alias("text"))
+
+
+def compound_tokens(
+    docs: DataFrame,
+    lexicon: DataFrame,
+    *,
+    keys: Sequence[str] = ("link",),
+    text: str = "content",
+    min_length: int = 2,
+    **rules: object,
+) -> DataFrame:
+    """One row per lexicon word inside a token: keys, pos, part, word; tokens without any give no rows."""
+    rows = noun_tokens(docs, keys=keys, text=text, **rules)
+    parts = compound_parts(rows, lexicon, min_length=min_length)
+    return rows.join(parts, "word").select(*keys, "pos", "part", F.col("text").alias("word"))
+
+
 def top_keywords(
     docs: DataFrame, k: int = 1, *, text: str = "content", output: str = "keyword", **rules: object
 ) -> DataFrame:

@@ -234,6 +234,8 @@ ORACLES["log_export"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
 FROM events"""
 
+ORACLES["csv_saving"] = _with(DOCS) + "SELECT doc_id, title, link, date, content FROM docs"
+
 # Links and pages.
 
 ORACLES["page_anchors"] = _with(ANCHORS) + "SELECT page_id, pos, href, text FROM anchors"
@@ -375,6 +377,26 @@ ORACLES["noun_tokens"] = _with(DOCS, _counts("docs", "doc_id"), LEXICON) + """
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, word
 FROM tokens WHERE word IN (SELECT word FROM lexicon)"""
 
+ORACLES["compound_tokens"] = _with(
+    DOCS,
+    _counts("docs", "doc_id"),
+    LEXICON,
+    """begun AS (
+  SELECT t.word, i AS place, max(length(l.word)) AS size
+  FROM (SELECT DISTINCT word FROM tokens) t, range(1, 400) p(i), range(3, 400) q(n), lexicon l
+  WHERE i + n - 1 <= length(t.word) AND l.word = substr(t.word, i, n)
+  GROUP BY ALL)""",
+    """cut AS (
+  (SELECT word, 0 AS part, place, size FROM begun
+   QUALIFY row_number() OVER (PARTITION BY word ORDER BY place) = 1)
+  UNION ALL
+  (SELECT b.word, part + 1, b.place, b.size
+   FROM cut c JOIN begun b ON b.word = c.word AND b.place >= c.place + c.size
+   QUALIFY row_number() OVER (PARTITION BY b.word ORDER BY b.place) = 1))""",
+).replace("WITH", "WITH RECURSIVE", 1) + """
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, part, substr(word, CAST(place AS INTEGER), CAST(size AS INTEGER)) AS word
+FROM tokens JOIN cut USING (word)"""
+
 ORACLES["lexicon_keywords"] = _with(DOCS, _counts("docs", "doc_id"), LEXICON) + """
 SELECT doc_id, CAST(rank AS INTEGER) AS rank, word, n
 FROM (SELECT doc_id, word, n,

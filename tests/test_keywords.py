@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from linkloom.functions import text as X
-from linkloom.operators import crawl, scoring
+from linkloom.operators import crawl, keywords, scoring
 
 
 def test_many_words_equal_one_by_one(spark):
@@ -83,3 +83,25 @@ def test_a_seed_that_reaches_most_pages(spark, monkeypatch):
     assert [r["rank"] for r in placed.orderBy("arrival").collect()] == list(range(1, 901))
     sizes = reached.groupBy(F.floor(F.col("arrival") / crawl.SPAN)).count().collect()
     assert max(r["count"] for r in sizes) <= 900 / 4
+
+
+def test_compounds(spark):
+    lexicon = spark.createDataFrame([(w,) for w in ["비트코인", "비트", "코인", "가격", "시장", "가", "코인시장", None, "비트"]], "word string")
+    words = ["비트코인가격", "비트코인시장", "코인시장가격", "새코인값", "시장", "모름", "비트트비트", "", None, "비트" * 50]
+    frame = spark.createDataFrame([(w,) for w in words] * 2, "word string")
+    got = {}
+    for r in keywords.compound_parts(frame, lexicon).orderBy("word", "part").collect():
+        got.setdefault(r.word, []).append(r.text)
+    assert got == {
+        "비트코인가격": ["비트코인", "가격"],
+        "비트코인시장": ["비트코인", "시장"],
+        "코인시장가격": ["코인시장", "가격"],
+        "새코인값": ["코인"],
+        "시장": ["시장"],
+        "비트트비트": ["비트", "비트"],
+        "비트" * 50: ["비트"] * 50,
+    }
+    docs = spark.createDataFrame([(1, "새 비트코인가격이 시장에서"), (2, None), (3, "x")], "link int, content string")
+    found = keywords.compound_tokens(docs, lexicon).orderBy("pos", "part").collect()
+    assert [(r.link, r.part, r.word) for r in found] == [(1, 0, "비트코인"), (1, 1, "가격"), (1, 0, "시장")]
+    assert keywords.compound_parts(frame, lexicon.limit(0)).count() == 0
