@@ -121,21 +121,25 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_
 
     Null and empty texts have nothing to pack: one row, length 0, bin_group, bin and bin_offset
     null.  A null source conflicts with nothing.  Repeated rows are packed each; being equal texts,
-    they go to different bins.  Other columns are not read.  No rows in, no rows out.
+    they go to different bins.  Rows come out alike however the input is laid out.  Other columns are not read.  No rows in, no rows out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     length = F.length(text).cast("long")
-    starts = F.sequence(F.lit(0).cast("long"), F.greatest(length - 1, F.lit(0)), F.lit(capacity).cast("long"))
+    last = F.greatest(F.col("whole") - 1, F.lit(0))
+    starts = F.sequence(F.lit(0).cast("long"), last, F.lit(capacity).cast("long"))
+    rows = docs.select(
+        F.col("doc_id").cast("long"),
+        F.col("source").cast("string"),
+        F.xxhash64(text).alias("cluster"),
+        length.alias("whole"),
+    )
+    # Rows alike are counted and numbered: uid, from 0.  The first level keeps arrays of many copies short.
+    alike = rows.groupBy("doc_id", "source", "cluster", "whole").agg(F.count(F.lit(1)).alias("n"))
+    alike = alike.withColumn("low", F.explode(F.expr("sequence(0L, n - 1, 65536L)")))
+    alike = alike.withColumn("uid", F.explode(F.expr("sequence(low, least(low + 65535, n - 1))")))
     pieces = materialize(
-        docs.select(
-            F.col("doc_id").cast("long"),
-            F.col("source").cast("string"),
-            F.xxhash64(text).alias("cluster"),
-            length.alias("whole"),
-            F.posexplode(starts).alias("piece", "start"),
-        )
+        alike.select("doc_id", "source", "cluster", "uid", "whole", F.posexplode(starts).alias("piece", "start"))
         .withColumn("length", F.least(F.col("whole") - F.col("start"), F.lit(capacity)))
-        .withColumn("uid", F.monotonically_increasing_id())
         .drop("whole"),
         "pack-pieces",
     )
@@ -147,7 +151,7 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_
         "source string, cluster long"
     )
     packed = (
-        filled.withColumn("bin_group", F.pmod(F.xxhash64("doc_id", "piece", "uid"), F.lit(groups)).cast("int"))
+        filled.withColumn("bin_group", F.pmod(F.xxhash64("doc_id", "source", "cluster", "piece", "uid"), F.lit(groups)).cast("int"))
         .groupBy("bin_group")
         .applyInPandas(lambda group: pack_group(group, capacity)[columns], schema)
     )
