@@ -7,15 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm.bitmap import hash_bitmap, in_bitmap
 from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
-from linkloom.llm.minhash import mixed
 from linkloom.llm.quotient import repeated
+from linkloom.llm.words import mixed, word_hashes
 from linkloom.session import materialize
 
 #: Words of a window; suffixes are compared to this depth, in blocks of BLOCK words.
@@ -26,29 +25,11 @@ LEVELS = WINDOW // BLOCK
 ANCHOR = 2 * BLOCK
 #: Suffixes of one range, which one task sorts.
 PER_RANGE = 400_000
-KNOWN_WORDS = 100_000
 
 PATH = [f"s{i}" for i in range(LEVELS)]
 PLACE = ["k", "h", "pos"]
 
 
-class WordHasher:
-    """64-bit hashes of a text's words; those met before are kept."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def hashes(self, text: str) -> np.ndarray:
-        words = text.encode().split()
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        found = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        return found
-
-
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of each run of ``size`` words, a power of two."""
     step = 1
@@ -58,22 +39,40 @@ def runs(hashes: np.ndarray, size: int) -> np.ndarray:
     return hashes
 
 
-def anchors(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each anchor candidate, and for each window the place of its anchor (leftmost least)."""
-    width = WINDOW - ANCHOR + 1
-    if blocks.size < width + BLOCK:
-        return blocks[:0], np.empty(0, np.int64)
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each ``width`` neighbours, the leftmost of equal ones."""
+    at, step = np.arange(values.size), 1
+    while step < width:
+        more = min(step, width - step)
+        left, right = at[:-more], at[more:]
+        at = np.where(values[left] <= values[right], left, right)
+        step += more
+    return at
+
+
+def anchors(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts with ``counts`` words, one after the other: (blocks, windows, least, at).
+
+    blocks has the hash of each run of BLOCK words.  windows are the places of the runs of WINDOW
+    words that lie in one text, least the smallest hash of an anchor in each (the leftmost of equal
+    ones), and at those hashes, once for each place.
+    """
+    if hashes.size < WINDOW:
+        return hashes[:0], np.empty(0, np.int64), hashes[:0], hashes[:0]
+    blocks = runs(hashes, BLOCK)
     found = mixed(blocks[:-BLOCK] * np.uint64(0x9E3779B97F4A7C15) + blocks[BLOCK:])
-    least = np.lib.stride_tricks.sliding_window_view(found, width).argmin(1)
-    return found, least + np.arange(least.size)
+    places = _least(found, WINDOW - ANCHOR + 1)
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(hashes.size)
+    windows = np.flatnonzero(left[: places.size] >= WINDOW)
+    places = places[windows]
+    # Anchors move to the right only, so equal places stand together.
+    return blocks, windows, found[places], found[places[np.r_[True, places[1:] != places[:-1]][: places.size]]]
 
 
 def anchor_hashes(column: pa.Array) -> Iterator[np.ndarray]:
-    """The hashes of the anchors that each text's windows have."""
-    hasher = WordHasher()
-    for text in column:
-        found, places = anchors(runs(hasher.hashes(text.as_py()), BLOCK))
-        yield found[np.unique(places)]
+    """The hashes of the anchors that the texts' windows have."""
+    for _, hashes, counts in word_hashes(column):
+        yield anchors(hashes, counts)[3]
 
 
 def suffixes(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -86,22 +85,18 @@ def suffixes(rows: DataFrame, table: np.ndarray) -> DataFrame:
     names = [*PATH, *PLACE]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
-            paths, starts = [np.empty((0, LEVELS), np.int32)], [np.empty(0, np.int32)]
-            for text in batch.column(2):
-                blocks = runs(hasher.hashes(text.as_py()), BLOCK)
-                found, places = anchors(blocks)
-                own = np.flatnonzero(in_bitmap(shared.value, found[places])).astype(np.int32)
-                starts.append(own)
-                if own.size:
-                    blocks = (blocks >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    paths.append(blocks[own[:, None] + BLOCK * np.arange(LEVELS)])
-            path = np.concatenate(paths)
-            times = [s.size for s in starts[1:]]
-            keys = [np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1)]
-            columns = [*path.T.copy(), *keys, np.concatenate(starts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            keys = [batch.column(i).to_numpy() for i in (0, 1)]
+            parts = [[np.empty(0, np.int32)] * LEVELS + [k[:0] for k in keys] + [np.empty(0, np.int32)]]
+            for row, hashes, counts in word_hashes(batch.column(2)):
+                blocks, windows, least, _ = anchors(hashes, counts)
+                own = windows[in_bitmap(shared.value, least)]
+                text = np.repeat(np.arange(counts.size), counts)[own]
+                pos = (own - (np.cumsum(counts) - counts)[text]).astype(np.int32)
+                path = (blocks >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                parts.append([path[own + BLOCK * i] for i in range(LEVELS)] + [k[row + text] for k in keys] + [pos])
+            # One batch for each that came in: many small ones leave the executor's memory in pieces.
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names)
 
     schema = ", ".join(f"{s} int" for s in PATH) + ", k long, h long, pos int"
     return rows.select("_k", "_h", "_text").mapInArrow(cut, schema)
