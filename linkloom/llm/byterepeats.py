@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from linkloom.llm.bitmap import hash_bitmap, in_bitmap, may_hold
 from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
-from linkloom.llm.minhash import mixed
 from linkloom.llm.quotient import repeated
+from linkloom.llm.words import mixed
 from linkloom.session import materialize
 
 #: Bytes of a string that counts as a repeat.

@@ -24,11 +24,6 @@ def texts(rows: DataFrame) -> DataFrame:
     return rows.select("_k", "_h", F.coalesce(F.col("_row.text"), F.lit("")).alias("_text"))
 
 
-def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose keys (_k, or _k and _h) are given."""
-    return without(keyed(docs), materialize(keys, "dropped")).select("_row.*")
-
-
 def copies(rows: DataFrame) -> DataFrame:
     """(_k, _h) of rows whose text, by its SHA-256, also stands in a row with a smaller _k."""
     light = materialize(rows.select("_k", "_h", F.sha2("_text", 256).alias("sha")), "copy-light")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
-from linkloom.llm.copies import NO_ID, drop_rows
+from linkloom.llm.copies import NO_ID, keyed, with_decisions, without
 from linkloom.llm.quotient import repeated
 from linkloom.session import materialize
 
@@ -56,7 +56,16 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that :func:`exact_duplicates` does not keep."""
-    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    dropped = exact_duplicates(docs).filter("not kept")
-    return drop_rows(docs, dropped.select(key.alias("_k"), F.col("text_hash").alias("_h")).distinct())
+    """``docs`` with one row of each group of equal texts, one with the largest doc_id.
+
+    Of rows repeated with doc_id and text (null ids count as one) any one stays, with its other
+    columns.  Null text counts as empty.  No rows in, no rows out.
+    """
+    key = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_k")
+    found = materialize(exact_duplicates(docs).select(key, F.col("text_hash").alias("_h"), "kept"), "exact-found")
+    dropped = materialize(found.filter("not kept").select("_k", "_h").distinct(), "dropped")
+    twice = found.filter("kept").groupBy("_k", "_h").count().filter("count > 1")
+    twice = materialize(twice.select("_k", "_h", F.lit(True).alias("_twice")), "exact-twice")
+    rows = with_decisions(without(keyed(docs), dropped), twice)
+    once = rows.filter("_twice").groupBy("_k", "_h").agg(F.first("_row").alias("_row"))
+    return rows.filter("_twice is null").select("_row.*").unionByName(once.select("_row.*"))

@@ -7,13 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
 from linkloom.llm.components import components
-from linkloom.llm.copies import drop_rows
+from linkloom.llm.copies import keyed, with_decisions, without
+from linkloom.llm.words import mixed, word_hashes
 from linkloom.session import materialize
 
 #: Values that a sketch retains.
@@ -26,48 +27,33 @@ COMMON = 34
 SIMILAR = 80
 #: Bits of a sketch value by which its frequency is counted, for the order of the inverted lists.
 COUNTER_BITS = 16
-KNOWN_WORDS = 100_000
+#: Inverted lists that two similar sketches share at least, of those that they are put into.
+SHARED = 4
 #: Times that classes are compared with members drawn by lot, before what is left is compared in full.
 DRAWS = 3
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text of a column without nulls."""
+    for _, hashes, counts in word_hashes(texts, lower=True):
+        runs, begin = _shingles(hashes, width), 0
+        for n in counts.tolist():
+            if n >= width:
+                yield np.unique(runs[begin : begin + n - width + 1])
+            else:  # the whole sequence, if any
+                yield _shingles(hashes[begin : begin + n], n)
+            begin += n
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scrambling of 64-bit values."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
-
-class Shingler:
-    """Sets of hashed shingles; hashes of words met before are kept."""
-
-    def __init__(self, width: int) -> None:
-        self.width = width
-        self.known: dict[bytes, int] = {}
-
-    def _hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        found = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        return found
-
-    def set(self, text: str) -> np.ndarray:
-        """Sorted distinct hashes of the shingles of a text."""
-        words = text.encode().translate(_LOWER).split()
-        if not words:
-            return np.empty(0, np.uint64)
-        hashes = self._hashes(words)
-        width = min(self.width, len(words))
-        n = len(words) - width + 1
-        whole = np.full(n, width, np.uint64)
-        for i in range(width):
-            whole = mixed(whole ^ hashes[i : i + n]) + np.uint64(0x9E3779B97F4A7C15)
-        return np.unique(mixed(whole))
+def _shingles(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each run of ``width`` words."""
+    n = hashes.size - width + 1
+    if n < 1 or not width:
+        return hashes[:0]
+    whole = np.full(n, width, np.uint64)
+    for i in range(width):
+        whole = mixed(whole ^ hashes[i : i + n]) + np.uint64(0x9E3779B97F4A7C15)
+    return mixed(whole)
 
 
 def fingerprint(values: np.ndarray) -> tuple[int, int]:
@@ -81,11 +67,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     names = ["doc_id", "n", "f1", "f2", "sketch"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(width)
         for batch in batches:
             sizes, prints, least = [], [], []
-            for text in batch.column(1):
-                found = shingler.set(text.as_py())
+            for found in shingle_sets(batch.column(1), width):
                 sizes.append(found.size)
                 prints.append(fingerprint(found))
                 least.append(found[:K].view(np.int64).copy())
@@ -109,13 +93,13 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 def indexed_values(values: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     """The retained values to put into inverted lists: the rarest ones, by a fixed order of all.
 
-    Of two sketches with c values in common, each of at most m values, the first m - c + 1 of each
-    in the same order have one in common.
+    Of two sketches with c values in common, each of at most m values, the first m - c + s of each
+    in the same order have s in common.
     """
     least = min(COMMON, -(-values.size * SIMILAR // 100))
     bucket = values.view(np.uint64) & np.uint64((1 << COUNTER_BITS) - 1)
     order = np.lexsort((values, frequency[bucket]))
-    return values[order[: values.size - least + 1]]
+    return values[order[: values.size - least + min(SHARED, least)]]
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -181,33 +165,30 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     ids = materialize(ids.select("id", F.xxhash64("id").alias("h")), "near-ids")
     table = hash_bitmap(ids, "h", 24)
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = materialize(
+        docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
         .filter(may_hold(table, F.xxhash64("id"), spark))
-        .join(ids.select("id"), "id", "left_semi")
+        .join(ids.select("id"), "id", "left_semi"),
+        "near-texts",
     )
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(width)
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingler.set(t or "").tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "members": sets})
-
-    sets = materialize(texts.mapInPandas(build, "id long, members binary"), "near-sets")
-
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            linked = []
-            for a, b in zip(batch["u_members"], batch["v_members"]):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            text, linked = batch.column(3), []
+            # Rows of one v stand together: equal neighbours are hashed once.
+            fresh = [True, *pc.not_equal(text.slice(1), text.slice(0, max(0, len(text) - 1))).to_pylist()]
+            fresh = pa.array(fresh[: len(text)], pa.bool_())
+            others, b = shingle_sets(text.filter(fresh), width), None
+            for a, new in zip(shingle_sets(batch.column(2), width), fresh.to_pylist()):
+                b = next(others) if new else b
                 common = np.intersect1d(a, b, assume_unique=True).size
                 linked.append(common * 100 >= SIMILAR * (a.size + b.size - common) and a.size > 0)
-            yield batch.loc[np.array(linked, bool), ["u", "v"]]
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
     for side in "uv":
-        own = sets.select(F.col("id").alias(side), F.col("members").alias(f"{side}_members"))
+        own = texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))
         pairs = pairs.join(own, side)
-    return pairs.select("u", "v", "u_members", "v_members").mapInPandas(confirm, "u long, v long")
+    return pairs.select("u", "v", "u_text", "v_text").mapInArrow(confirm, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -223,8 +204,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     the whole sets.  Lists whose members are then in one component are done.  In the others each
     class is compared with a member drawn by lot from each of its lists, which brings in the rest of
     a large group.  In the lists still open, every class outside the largest component is compared
-    with every member of another component, so no link between components is left out; pairs inside
-    a component cannot change the result.
+    with every member of another component that shares SHARED lists with it, so no link between components
+    is left out; pairs inside a component cannot change the result.
 
     Null and empty texts, and texts of blanks, have n_shingles 0 and are linked with nothing; so are
     rows with a null doc_id (component_id null, kept).  doc_id names a document: rows repeated with
@@ -292,14 +273,18 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     main = rest.groupBy("value", "comp").count().groupBy("value")
     main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    outside = rest.join(main, "value").filter("comp <> main")
+    rest = rest.join(main, "value")
+    outside = rest.filter("comp <> main")
     outside = outside.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "comp")])
+    smaller = F.least("n", "o_n", F.lit(K))
     across = (
         outside.join(rest, "value")
-        .filter("comp <> o_comp")
+        .filter("comp <> o_comp and (comp = main or cls < o_cls)")  # a pair once for each list
         .filter(sizes_allow("n", "o_n"))
-        .select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v"))
-        .distinct()
+        .groupBy(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v"))
+        .agg(F.count(F.lit(1)).alias("lists"), F.min(F.least(F.ceil(smaller * SIMILAR / 100), F.lit(SHARED))).alias("least"))
+        .filter("lists >= least")
+        .select("u", "v")
     )
     open_star = in_component(in_component(star, "u", "u_comp"), "v", "v_comp").filter("u_comp <> v_comp")
     more = estimated(across, classes).unionByName(open_star.select("u", "v", "common"))
@@ -319,6 +304,22 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id."""
-    dropped = near_duplicates(docs, width).filter("not kept")
-    return drop_rows(docs, dropped.select(F.col("doc_id").alias("_k")).distinct())
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Rows with one doc_id and different texts are judged each by its own text: the text with the
+    smallest hash goes by the doc_id, the others by ids of their own above all doc_ids, so they give
+    way to any other document of their group.  Rows repeated with doc_id and text share one
+    decision.  Null doc_ids and null, empty or blank texts stay.  No rows in, no rows out.
+    """
+    rows = keyed(docs)
+    ids = materialize(rows.filter("_row.doc_id is not null").select("_k", "_h").distinct(), "near-ids")
+    first = ids.groupBy("_k").agg(F.min("_h").alias("first"), F.max("_h").alias("last"))
+    others = ids.join(first.filter("first < last"), "_k").filter("_h > first").select("_k", "_h")
+    top = ids.agg(F.max("_k")).first()[0] or 0
+    own = F.monotonically_increasing_id() + F.lit(top + 1)
+    rows = with_decisions(rows, materialize(others.withColumn("_own", own), "near-own-ids"))
+    rows = rows.select("_row", F.coalesce("_own", "_k").alias("_k"))
+    named = F.when(F.col("_row.doc_id").isNotNull(), F.col("_k")).alias("doc_id")
+    dropped = near_duplicates(rows.select(named, F.col("_row.text").alias("text")), width).filter("not kept")
+    dropped = materialize(dropped.select(F.col("doc_id").alias("_k")).distinct(), "dropped")
+    return without(rows, dropped).select("_row.*")

@@ -201,6 +201,8 @@ def test_packing(rows, odd, nothing):
         assert ends.iloc[-1] <= 256 and pieces["bin_offset"].tolist() == [0, *ends.tolist()[:-1]]
         assert pieces["source"].dropna().is_unique and pieces["cluster"].is_unique
     assert packing.best_fit(nothing).count() == 0
+    again = packing.best_fit(odd.repartition(7, "kept", "doc_id").sortWithinPartitions(F.desc("doc_id")), 256, 40)
+    assert Counter(again.collect()) == Counter(packing.best_fit(odd, 256, 40).collect())
 
 
 def test_sharding(rows, docs, odd, nothing):
@@ -329,6 +331,22 @@ def test_pipeline(spark, tmp_path, docs):
     assert set(corpus_pipeline.run(spark, str(tmp_path)).columns) == set(frame.columns)
 
 
+def test_dropped_rows_are_judged_by_their_own_text(spark, odd, nothing):
+    words = [f"w{i}" for i in range(100)]
+    near, clean = " ".join(words[:99] + ["other"]), "a clean text " + " ".join(reversed(words))
+    rows = [(1, " ".join(words)), (2, near), (2, clean), (2, clean), (None, near), (9, ""), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = Counter(map(tuple, minhash.drop_near_duplicates(docs).collect()))
+    assert left == Counter(rows) - Counter([(2, near)])
+    left = Counter(map(tuple, exact.drop_exact_duplicates(docs).collect()))
+    # near stands under doc_id 2 as well as without one; rows written twice stay once
+    assert left == Counter([(1, " ".join(words)), (2, near), (2, clean), (9, "")])
+    for drop in (exact.drop_exact_duplicates, minhash.drop_near_duplicates, wordrepeats.drop_repeated_words):
+        assert drop(nothing).count() == 0 and drop(odd).columns == odd.columns
+    once = exact.drop_exact_duplicates(odd)
+    assert once.count() == once.select(F.coalesce("text", F.lit(""))).distinct().count()
+
+
 def test_hot_trigger_is_split(spark, monkeypatch):
     """A passage in many documents with other words around it gives as many phrases under its triggers."""
     line = b"0123456789abcdefghijklmnopqrstuvwxyz+-*/ABC".decode()
