@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkloom.sources.folders import delete
+
 # Settings the jobs rely on.  Joins keep no broadcast hints: Catalyst broadcasts a
 # side only when its measured size is under autoBroadcastJoinThreshold, and AQE
 # splits partitions that one hot url has blown up.
@@ -21,6 +23,8 @@ RECOMMENDED_CONF = {
     ),
 }
 
+#: Spark removes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Temporary folders of local sessions that name none, by application.
 _TEMPORARY: dict[str, str] = {}
@@ -71,10 +75,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
 
     Unlike an in-memory cache it survives lost executors, and the files give the
-    optimizer a true size for the joins that follow.  Folders stay until whoever owns the shared
-    folder empties it; an expiry of a few days there is enough, for no job reads another's.
+    optimizer a true size for the joins that follow.  Shuffle files of the write go when it has
+    ended, not when the driver collects garbage.  The folder stays until :func:`discard`, or until
+    whoever owns the shared folder empties it; an expiry of a few days there is enough, for no job
+    reads another's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` returned, once nothing that is still to run reads them."""
+    for table in tables:
+        delete(table.sparkSession, table._scratch)

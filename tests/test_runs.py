@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ import oracles
 from check import compare, oracle_connection
 from linkloom.operators import scoring
 from linkloom.plans import recheck
-from linkloom.session import scratch_path, shared_folder
+from linkloom.session import SHUFFLE_CLEANUP, discard, materialize, scratch_path, shared_folder
 from linkloom.streaming.recheck import answers_table, latest_status, run_latest_status
 
 SMALL = "/root/testdata/sf0.001"
@@ -166,3 +168,20 @@ def test_shared_folder(spark):
     spark.range(3).write.parquet(f"{folder}/numbers")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Unnamed(spark, "spark://somewhere"))
+
+
+def test_written_tables_leave_no_shuffle_files_and_go(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    held = shuffles.size()
+    table = materialize(counts, "counts")
+    assert table.count() == 10 and spark.conf.get(SHUFFLE_CLEANUP) == before
+    folder = Path(table._scratch.removeprefix("file:"))
+    assert folder.exists()
+    discard(table)
+    assert not folder.exists()
+    again = materialize(counts, "counts")
+    assert again.count() == 10
+    discard(again)
+    assert shuffles.size() <= held + 2  # those of the two counts, not of the writes
