@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.session import discard, materialize
+
 #: Bits of the bitmap; 2**27 bits are 16 MB, on the driver and on each executor.
 BITMAP_BITS = 27
 _BUCKET_BITS = 15  # bitmap_construct_agg makes bitmaps of 32,768 bits
@@ -27,10 +29,12 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.n
         .groupBy(F.shiftright("place", _BUCKET_BITS).alias("bucket"))
         .agg(F.expr(f"bitmap_construct_agg(place & {(1 << _BUCKET_BITS) - 1})").alias("bits"))
     )
+    parts = materialize(parts, "bitmap")  # shuffle files of what was hashed go
     size = 1 << (_BUCKET_BITS - 3)
     table = np.zeros(1 << (bits - 3), dtype=np.uint8)
     for row in parts.toLocalIterator():
         table[row.bucket * size : (row.bucket + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    discard(parts)
     return table
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,16 +17,20 @@ from linkloom.llm.bitmap import hash_bitmap, in_bitmap, may_hold
 from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
 from linkloom.llm.quotient import repeated
 from linkloom.llm.words import mixed
-from linkloom.session import materialize
+from linkloom.session import discard, materialize
 
 #: Bytes of a string that counts as a repeat.
 WINDOW = 50
 #: Bytes that the rolling hash covers.
 GRAM = 16
+#: Bytes of texts that are hashed at once; a longer text is hashed alone.
+TOGETHER = 1 << 17
 #: Windows of a phrase at most; longer runs become several phrases.
 LONGEST = 256
 #: Windows that a task sorts at once; a trigger that has so many alone is split by its windows.
-SORTED = 700_000
+SORTED = 400_000
+#: Places of phrases that a task of the parse gathers before it writes them.
+PARSED = 1 << 15
 
 
 def _least(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -65,69 +69,133 @@ def window_contexts(grams: np.ndarray) -> np.ndarray:
     return _least(long, WINDOW - 2 * GRAM + 1)
 
 
-def _changes(values: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if values.size else np.empty(0, np.int64)
+def together(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Texts in runs of about TOGETHER bytes: the first one's row, their bytes, and the length of each."""
+    row, held, size = 0, [], 0
+    for i, text in enumerate(column.cast(pa.binary()).to_pylist()):
+        held.append(text)
+        size += len(text)
+        if size >= TOGETHER:
+            yield row, b"".join(held), np.array([*map(len, held)])
+            row, held, size = i + 1, [], 0
+    if held:
+        yield row, b"".join(held), np.array([*map(len, held)])
+
+
+def _windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each place with WINDOW bytes after it: whether they lie in one text, and its text."""
+    ends = np.cumsum(lengths)
+    n = max(0, int(ends[-1]) - WINDOW + 1)
+    text = np.repeat(np.arange(lengths.size), lengths)[:n]
+    return ends[text] - np.arange(n) >= WINDOW, text
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of places alike in all columns begins."""
+    new = np.zeros(columns[0].size, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _held(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """:func:`in_bitmap`, looked up once for each run of equal values."""
+    heads = _runs(values)
+    return np.repeat(in_bitmap(table, values[heads]), np.diff(np.r_[heads, values.size]))
+
+
+def _once(values: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The values, each once for each text that has it."""
+    order = np.lexsort((text, values))
+    values, text = values[order], text[order]
+    return values[_runs(values, text)]
 
 
 def trigger_hashes(column: pa.Array) -> Iterator[np.ndarray]:
-    """The distinct trigger hashes of each text's windows."""
-    for text in column:
-        found = window_triggers(gram_hashes(text.as_py().encode()))
-        yield np.unique(found[_changes(found)])
+    """The trigger hashes of each text's windows, each once a text."""
+    for _, data, lengths in together(column):
+        found = window_triggers(gram_hashes(data))
+        whole, text = _windows(lengths)
+        heads = _runs(found, whole)
+        heads = heads[whole[heads]]
+        yield _once(found[heads], text[heads])
 
 
 def context_hashes(table: Broadcast) -> Callable[[pa.Array], Iterator[np.ndarray]]:
-    """The distinct context hashes of each text's windows whose trigger may repeat."""
+    """The context hashes of each text's windows whose trigger may repeat, each once a text."""
 
     def find(column: pa.Array) -> Iterator[np.ndarray]:
-        for text in column:
-            grams = gram_hashes(text.as_py().encode())
-            found = window_contexts(grams)[in_bitmap(table.value, window_triggers(grams))]
-            yield np.unique(found[_changes(found)])
+        for _, data, lengths in together(column):
+            grams = gram_hashes(data)
+            found = window_contexts(grams)
+            whole, text = _windows(lengths)
+            may = whole & _held(table.value, window_triggers(grams))
+            heads = _runs(found, may)
+            heads = heads[may[heads]]
+            yield _once(found[heads], text[heads])
 
     return find
 
 
 def parse(rows: DataFrame, triggers: Broadcast, contexts: Broadcast) -> DataFrame:
-    """Phrases of each row that may stand in several: trigger, p, phrase, k, h, start.
+    """Phrases of each row that may stand in several, in rows of two kinds: where a phrase stands
+    (trigger, p, k, h, start), and what it is (trigger, p, phrase, first, last).
 
     A phrase is the bytes of a run of windows with one trigger; neighbours overlap by WINDOW - 1
-    bytes.  The trigger and p, a hash of its bytes, are its name in the parse: 128 bits.
+    bytes.  The trigger and p, a hash of its bytes, are its name in the parse: 128 bits.  Its bytes
+    are written once for each PARSED places of a task, with the smallest and largest document there.
     """
-    names = ["trigger", "p", "phrase", "k", "h", "start"]
+    places, words = ["k", "h", "start"], ["phrase", "first", "last"]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    layout = pa.schema(list(zip(["trigger", "p", *places, *words], kinds)))
+
+    def rows_of(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+        n = len(columns["p"])
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in layout], schema=layout)
+
+    def both(held: list[tuple[np.ndarray, ...]], phrases: list[bytes]) -> Iterator[pa.RecordBatch]:
+        trigger, k, h, start = (np.concatenate(c) for c in zip(*held))
+        p = np.fromiter(map(xxhash.xxh3_64_intdigest, phrases), np.uint64, len(phrases)).view(np.int64)
+        yield rows_of({c: pa.array(v) for c, v in zip(["trigger", "p", *places], (trigger, p, k, h, start))})
+        order = np.lexsort((p, trigger))
+        new = (trigger[order[1:]] != trigger[order[:-1]]) | (p[order[1:]] != p[order[:-1]])
+        heads = np.flatnonzero(np.r_[True, new])
+        one = order[heads]
+        found = {"trigger": pa.array(trigger[one]), "p": pa.array(p[one])}
+        found["phrase"] = pa.array([phrases[i] for i in one.tolist()], pa.binary())
+        found["first"] = pa.array(np.minimum.reduceat(k[order], heads))
+        found["last"] = pa.array(np.maximum.reduceat(k[order], heads))
+        yield rows_of(found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, phrases = [], []
         for batch in batches:
-            held, phrases, starts, times = [np.empty(0, np.uint64)], [], [], []
-            for text in batch.column(2):
-                data = text.as_py().encode()
+            keys = [batch.column(i).to_numpy() for i in (0, 1)]
+            for row, data, lengths in together(batch.column(2)):
                 grams = gram_hashes(data)
                 found = window_triggers(grams)
-                may = in_bitmap(triggers.value, found) & in_bitmap(contexts.value, window_contexts(grams))
-                begins = np.union1d(_changes(found), _changes(may))
-                ends = np.r_[begins[1:], found.size].astype(np.int64)
-                often = may[begins]
-                n = len(phrases)
-                for begin, end in zip(begins[often].tolist(), ends[often].tolist()):
-                    for a in range(begin, end, LONGEST):
-                        phrases.append(data[a : min(a + LONGEST, end) - 1 + WINDOW])
-                        starts.append(a)
-                times.append(len(phrases) - n)
-                held.append(found[np.array(starts[n:], np.int64)])
-            hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, phrases), np.uint64, len(phrases))
-            keys = [np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(held).view(np.int64)),
-                    pa.array(hashed.view(np.int64)),
-                    pa.array(phrases, pa.binary()),
-                    *[pa.array(k) for k in keys],
-                    pa.array(starts, pa.int32()),
-                ],
-                names,
-            )
-
-    schema = "trigger long, p long, phrase binary, k long, h long, start int"
+                whole, text = _windows(lengths)
+                may = whole & _held(triggers.value, found) & _held(contexts.value, window_contexts(grams))
+                heads = _runs(found, may)
+                ends = np.r_[heads[1:], found.size].astype(np.int64)
+                heads, ends = heads[may[heads]], ends[may[heads]]
+                times = -(-(ends - heads) // LONGEST)
+                ends = np.repeat(ends, times)
+                step = np.arange(ends.size) - np.repeat(np.cumsum(times) - times, times)
+                heads = np.repeat(heads, times) + LONGEST * step
+                ends = np.minimum(heads + LONGEST, ends) - 1 + WINDOW
+                own = text[heads]
+                start = (heads - (np.cumsum(lengths) - lengths)[own]).astype(np.int32)
+                phrases += [data[a:b] for a, b in zip(heads.tolist(), ends.tolist())]
+                held.append((found[heads].view(np.int64), *[k[row + own] for k in keys], start))
+                if len(phrases) >= PARSED:
+                    yield from both(held, phrases)
+                    held, phrases = [], []
+        if phrases:
+            yield from both(held, phrases)
+
+    schema = "trigger long, p long, k long, h long, start int, phrase binary, first long, last long"
     return rows.select("_k", "_h", "_text").mapInArrow(cut, schema)
 
 
@@ -157,36 +225,35 @@ def first_documents(phrases: list[bytes], firsts: np.ndarray) -> tuple[np.ndarra
 
 
 def dictionary_order(dictionary: DataFrame) -> DataFrame:
-    """(trigger, p, ends, firsts) of phrases that hold a repeat: runs of windows and, for each
-    run, the smallest document that has its windows.
+    """(trigger, p, begins, ends, firsts) of phrases that hold a repeat: the runs of windows that
+    also stand in a document before the last one that has the phrase, and the smallest such document.
 
     ``dictionary`` has distinct phrases (trigger, p, phrase, first, last), sorted by trigger
     in each partition; equal windows have equal triggers, so they meet in one task.  No trigger
     may have SORTED windows or more.
     """
-    names = ["trigger", "p", "ends", "firsts"]
+    names = ["trigger", "p", "begins", "ends", "firsts"]
 
     def arrays(batch: pd.DataFrame) -> pa.RecordBatch:
         phrases = batch["phrase"].tolist()
         found, sizes = first_documents(phrases, batch["first"].to_numpy(np.int64))
-        stops = np.cumsum(sizes)
-        fresh = np.r_[True, found[1:] != found[:-1]]
-        fresh[stops[:-1]] = True
-        runs = np.flatnonzero(fresh)
-        of = np.searchsorted(stops, runs, side="right")
-        ends = np.r_[runs[1:], found.size] - (stops - sizes)[of]
-        counts = np.bincount(of, minlength=len(phrases))
-        # A repeat: a window with a document before the last one that has the phrase.
-        least = np.minimum.reduceat(found[runs], np.r_[0, np.cumsum(counts)[:-1]])
-        keep = least < batch["last"].to_numpy(np.int64)
-        kept = keep[of]
-        offsets = pa.array(np.r_[0, np.cumsum(counts[keep])], pa.int32())
-        keys = [pa.array(batch[c].to_numpy(np.int64)[keep]) for c in names[:2]]
-        lists = [
-            pa.ListArray.from_arrays(offsets, pa.array(ends[kept].astype(np.int32))),
-            pa.ListArray.from_arrays(offsets, pa.array(found[runs][kept])),
-        ]
-        return pa.RecordBatch.from_arrays([*keys, *lists], names)
+        of = np.repeat(np.arange(sizes.size), sizes)
+        heads = _runs(found, of)
+        ends = np.r_[heads[1:], found.size]
+        repeat = found[heads] < batch["last"].to_numpy(np.int64)[of[heads]]
+        heads, ends = heads[repeat], ends[repeat]
+        own = of[heads]
+        before = (np.cumsum(sizes) - sizes)[own]
+        kept = _runs(own)
+        offsets = pa.array(np.r_[kept, own.size], pa.int32())
+        lists = [(heads - before).astype(np.int32), (ends - before).astype(np.int32), found[heads]]
+        return pa.RecordBatch.from_arrays(
+            [
+                *[pa.array(batch[c].to_numpy(np.int64)[own[kept]]) for c in names[:2]],
+                *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists],
+            ],
+            names,
+        )
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
@@ -207,36 +274,51 @@ def dictionary_order(dictionary: DataFrame) -> DataFrame:
         if held and size:
             yield arrays(pd.concat(held))
 
-    schema = "trigger long, p long, ends array<int>, firsts array<long>"
+    schema = "trigger long, p long, begins array<int>, ends array<int>, firsts array<long>"
     return dictionary.mapInArrow(sort, schema)
 
 
-def hot_triggers(parsed: DataFrame) -> DataFrame:
-    """Triggers whose phrases have SORTED windows or more in all, each phrase as often as it stands."""
+def hot_triggers(found: DataFrame) -> DataFrame:
+    """Triggers whose phrases have SORTED windows or more in all, each phrase as often as it was written."""
     windows = F.sum(F.octet_length("phrase") - F.lit(WINDOW - 1))
-    return parsed.groupBy("trigger").agg(windows.alias("n")).filter(F.col("n") >= SORTED).select("trigger")
+    return found.groupBy("trigger").agg(windows.alias("n")).filter(F.col("n") >= SORTED).select("trigger")
 
 
-def windows_order(dictionary: DataFrame) -> DataFrame:
+def windows_order(dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The same as :func:`dictionary_order` with nothing gathered by trigger: windows are grouped by
-    their bytes, and only the windows of one phrase, LONGEST at most, come together again."""
+    their bytes, and only the windows of one phrase, LONGEST at most, come together again.  Also
+    returns the table of windows that it reads."""
     name = ["trigger", "p"]
     places = F.sequence(F.lit(1), F.octet_length("phrase") - F.lit(WINDOW - 1))
     each = dictionary.withColumn("at", F.explode(places)).select(
         *name, "first", "last", "at", F.expr(f"substring(phrase, at, {WINDOW})").alias("window")
     )
+    least = each.groupBy("window").agg(F.min("first").alias("least"), F.max("last").alias("most"))
     # Written, so that the join deals windows anew and a window in very many phrases can be split.
-    least = materialize(each.groupBy("window").agg(F.min("first").alias("least")), "windows")
-    found = each.join(least, "window").groupBy(*name).agg(
-        F.max("last").alias("last"), F.array_sort(F.collect_list(F.struct("at", "least"))).alias("w")
+    # Windows of one document are no repeats; a bitmap keeps most of them from moving again.
+    least = materialize(least.filter("least < most").select("window", "least"), "windows")
+    table = hash_bitmap(least.select(F.xxhash64("window").alias("h")), "h", 25)
+    maybe = each.filter(may_hold(table, F.xxhash64("window"), dictionary.sparkSession))
+    found = maybe.join(least, "window").filter(F.col("least") < F.col("last")).groupBy(*name)
+    found = found.agg(F.array_sort(F.collect_list(F.struct("at", "least"))).alias("w"))
+
+    def breaks(w: Column, i: Column) -> Column:
+        """Whether no run goes on from the place before i to i."""
+        a, b = F.get(w, i - 1), F.get(w, i)
+        apart = (b["at"] != a["at"] + 1) | (b["least"] != a["least"])
+        return F.coalesce(apart, F.lit(True))  # before the first and after the last
+
+    index = F.sequence(F.lit(0), F.size("w") - 1)
+    heads = F.filter(index, lambda i: breaks(F.col("w"), i))
+    tails = F.filter(index, lambda i: breaks(F.col("w"), i + 1))
+    found = found.withColumns({"heads": heads, "tails": tails})
+    runs = found.select(
+        *name,
+        F.transform("heads", lambda i: F.get("w", i)["at"] - 1).alias("begins"),
+        F.transform("tails", lambda i: F.get("w", i)["at"]).alias("ends"),
+        F.transform("heads", lambda i: F.get("w", i)["least"]).alias("firsts"),
     )
-    found = found.select(*name, "last", F.col("w.least").alias("w")).filter(F.array_min("w") < F.col("last"))
-    ends = F.filter(
-        F.sequence(F.lit(1), F.size("w")),
-        lambda e: (e == F.size("w")) | (F.get("w", e) != F.get("w", e - 1)),
-    )
-    found = found.withColumn("ends", ends)
-    return found.select(*name, "ends", F.transform("ends", lambda e: F.get("w", e - 1)).alias("firsts"))
+    return runs, least
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -260,39 +342,34 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     contexts = send(hash_bitmap(prints.select("print"), "print"))
     parsed = materialize(parse(distinct, triggers, contexts), "parse")
     name = ["trigger", "p"]
-    dictionary = parsed.groupBy(*name, "phrase").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    dictionary = dictionary.select(*name, "phrase", "first", "last")
+    found = parsed.filter("phrase is not null").select(*name, "phrase", "first", "last")
     # The bitmap may hold a trigger that is not hot: either way gives the same.
-    hot = may_hold(hash_bitmap(hot_triggers(parsed), "trigger", 25), F.col("trigger"), rows.sparkSession)
-    ordered = dictionary.filter(~hot).repartition("trigger").sortWithinPartitions("trigger")
-    repeats = dictionary_order(ordered).unionByName(windows_order(dictionary.filter(hot)))
-    repeats = materialize(repeats, "repeats")
-    run = F.arrays_zip("ends", "firsts")
+    hot = may_hold(hash_bitmap(hot_triggers(found), "trigger", 25), F.col("trigger"), rows.sparkSession)
+
+    def distinct_phrases(some: DataFrame) -> DataFrame:
+        return some.groupBy(*name, "phrase").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+    # Phrases move once: dealt by trigger, they are made distinct and sorted where they are.
+    ordered = distinct_phrases(found.filter(~hot).repartition("trigger")).sortWithinPartitions("trigger")
+    by_window, least = windows_order(distinct_phrases(found.filter(hot)))
+    repeats = materialize(dictionary_order(ordered).unionByName(by_window), "repeats")
+    discard(least)
     spans = (
-        parsed.select(*name, "k", "h", "start")
+        parsed.filter("k is not null")
+        .select(*name, "k", "h", "start")
         .join(repeats, name)
         .select(
             *["k", "h", "start"],
-            F.filter(
-                F.transform(
-                    run,
-                    lambda r, i: F.struct(
-                        F.when(i == 0, 0).otherwise(F.get("ends", i - 1)).alias("a"),
-                        r["ends"].alias("b"),
-                        r["firsts"].alias("first"),
-                    ),
-                ),
-                lambda r: r["first"] < F.col("k"),
-            ).alias("runs"),
+            F.filter(F.arrays_zip("begins", "ends", "firsts"), lambda r: r["firsts"] < F.col("k")).alias("runs"),
         )
         .filter(F.size("runs") > 0)
         .select("k", "h", "start", F.explode("runs").alias("r"))
         .groupBy(F.col("k").alias("_k"), F.col("h").alias("_h"))
         .agg(
-            F.collect_set(
+            F.collect_list(
                 F.struct(
-                    (F.col("start") + F.col("r.a")).alias("a"),
-                    (F.col("start") + F.col("r.b") + F.lit(WINDOW - 1)).alias("b"),
+                    (F.col("start") + F.col("r.begins")).alias("a"),
+                    (F.col("start") + F.col("r.ends") + F.lit(WINDOW - 1)).alias("b"),
                 )
             ).alias("spans"),
             F.lit(False).alias("copy"),
@@ -300,7 +377,11 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     )
     kind = spans.schema["spans"].dataType
     copied = whole.select("_k", "_h", F.lit(None).cast(kind).alias("spans"), F.lit(True).alias("copy"))
-    return materialize(spans.unionByName(copied), "repeat-spans")
+    spans = materialize(spans.unionByName(copied), "repeat-spans")
+    discard(whole, parsed, repeats)
+    for table in (triggers, contexts):
+        table.destroy()
+    return spans
 
 
 KEPT = T.StructType(

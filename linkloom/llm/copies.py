@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
-from linkloom.session import materialize
+from linkloom.session import discard, materialize
 
 #: Stands for a null doc_id: smaller than any other.
 NO_ID = -(2**63)
@@ -30,7 +30,9 @@ def copies(rows: DataFrame) -> DataFrame:
     first = light.groupBy("sha").agg(F.min("_k").alias("first"), F.max("_k").alias("last"))
     first = first.filter("first < last").select("sha", "first")
     found = light.join(first, "sha").filter("_k > first").select("_k", "_h").distinct()
-    return materialize(found, "copies")
+    found = materialize(found, "copies")
+    discard(light)
+    return found
 
 
 def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
