@@ -15,7 +15,7 @@ from linkloom.llm.bitmap import hash_bitmap, may_hold
 from linkloom.llm.components import components
 from linkloom.llm.copies import keyed, with_decisions, without
 from linkloom.llm.words import mixed, word_hashes
-from linkloom.session import materialize
+from linkloom.session import discard, materialize
 
 #: Values that a sketch retains.
 K = 64
@@ -161,7 +161,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     and few others before texts are shuffled.
     """
     spark = docs.sparkSession
-    pairs = materialize(pairs.select("u", "v"), "near-pairs")
+    pairs = given = materialize(pairs.select("u", "v"), "near-pairs")
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     ids = materialize(ids.select("id", F.xxhash64("id").alias("h")), "near-ids")
     table = hash_bitmap(ids, "h", 24)
@@ -188,7 +188,10 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     for side in "uv":
         own = texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))
         pairs = pairs.join(own, side)
-    return pairs.select("u", "v", "u_text", "v_text").mapInArrow(confirm, "u long, v long")
+    linked = pairs.select("u", "v", "u_text", "v_text").mapInArrow(confirm, "u long, v long")
+    linked = materialize(linked, "near-linked")
+    discard(given, ids, texts)
+    return linked
 
 
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ from linkloom.llm.bitmap import hash_bitmap, in_bitmap
 from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
 from linkloom.llm.quotient import repeated
 from linkloom.llm.words import mixed, word_hashes
-from linkloom.session import materialize
+from linkloom.session import discard, materialize
 
 #: Words of a window; suffixes are compared to this depth, in blocks of BLOCK words.
 WINDOW = 20
@@ -165,6 +165,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     leaves = materialize(
         subtrees(found.repartitionByRange(ranges, *order).sortWithinPartitions(*order)), "repeats"
     )
+    discard(found)
     edges = leaves.filter("edge")  # two rows for each range
     first = edges.groupBy(*PATH).agg(F.min(F.struct(*PLACE)).alias("first"))
     carried = edges.join(first, PATH).filter(F.struct(*PLACE) > F.col("first"))
@@ -176,7 +177,9 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
         .agg(F.collect_set(F.col("pos").cast("int")).alias("starts"), F.lit(False).alias("copy"))
     )
     copied = whole.select("_k", "_h", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy"))
-    return materialize(starts.unionByName(copied), "repeat-starts")
+    starts = materialize(starts.unionByName(copied), "repeat-starts")
+    discard(whole, leaves)
+    return starts
 
 
 KEPT = T.StructType(
