@@ -320,6 +320,48 @@ def test_crawl_equals_a_queue(spark):
         assert {r["url"]: r["depth"] for r in single.collect()} == got["n0"]
 
 
+@pytest.mark.parametrize("span", [8, 1 << 16])
+def test_crawl_by_spans_and_by_seeds_equals_a_queue(spark, monkeypatch, span):
+    import random
+
+    monkeypatch.setattr(crawl, "SPAN", span)
+    rng = random.Random(9)
+    edges = [("h", f"n{i}", i) for i in range(30)] + [("n2", "n2", 0)]
+    for node in range(30):
+        targets = rng.sample([*range(node), *range(node + 1, 30)], rng.randint(0, 8))
+        edges += [(f"n{node}", f"n{t}", i + 1) for i, t in enumerate(targets)]
+    frame = spark.createDataFrame(edges, "url string, link string, pos bigint").cache()
+    seeds = ["h", "n1", "n2", "n9", "nowhere"]
+    for max_pages, max_depth in [(3, 2), (9, 3), (28, 4)]:
+        start = spark.createDataFrame([(s,) for s in seeds], "url string")
+        got = rows(crawl.multi_seed_crawl(start, frame, max_pages=max_pages, max_depth=max_depth), "seed", "visit")
+        for seed in seeds:
+            want = queue_crawl(edges, seed, max_pages, max_depth)
+            assert [r[1:] for r in got if r[0] == seed] == [(u, d, i) for i, (u, d) in enumerate(want.items())]
+
+
+def test_a_crawl_moves_each_levels_rows_once(spark, monkeypatch):
+    moves, write = [], crawl.materialize
+
+    def counted(df, label):
+        if label in ("crawl-level", "crawl-reached"):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            moves.append(plan.count("Exchange hashpartitioning"))
+        return write(df, label)
+
+    monkeypatch.setattr(crawl, "materialize", counted)
+    edges = spark.createDataFrame(GRAPH, "url string, link string, pos bigint")
+    seeds = spark.createDataFrame([("A",), ("C",)], "url string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        crawl.multi_seed_crawl(seeds, edges, max_pages=4, max_depth=2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # seeds; links with full pages, parents with links, arrivals; the last level without full pages
+    assert moves == [1, 5, 3]
+
+
 def test_first_rows(spark):
     numbers = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
     for k in (0, 1, 499, 1000, 2000):
