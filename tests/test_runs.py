@@ -185,3 +185,22 @@ def test_written_tables_leave_no_shuffle_files_and_go(spark):
     assert again.count() == 10
     discard(again)
     assert shuffles.size() <= held + 2  # those of the two counts, not of the writes
+
+
+def test_stream_collection_lands_as_many_files_as_the_input_is_read_in(spark, tmp_path, monkeypatch):
+    import catalog
+
+    rows = [(i, f"line {i}\nthe end", "en", "s", 10) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(9).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        stored = catalog.QUERIES["stream_collection"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list(tmp_path.glob("landed/part-*"))) >= 9
+    assert len(list(tmp_path.glob("stream/total_url/batch_id=*"))) == 2
+    assert stored.filter("stored_in = 'total_url'").count() == 120
