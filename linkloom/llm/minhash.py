@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.bitmap import hash_bitmap, may_hold
@@ -31,6 +32,15 @@ COUNTER_BITS = 16
 SHARED = 4
 #: Times that classes are compared with members drawn by lot, before what is left is compared in full.
 DRAWS = 3
+#: A draw that links fewer than one in so many open classes is the last one.
+FEW = 1000
+#: Members of an open list up to which they meet in it one with another; members of longer lists meet
+#: under the rarest values of their whole sets.
+SHORT = 128
+#: Ratio of the sizes of whole sets that are listed together.
+STEP = 1.05
+#: Values of whole sets that a task gathers before it writes them.
+GATHERED = 1 << 16
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -154,23 +164,30 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select("u", "v", "u_sketch", "v_sketch").mapInPandas(keep, "u long, v long, common int")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (u, v) of doc_ids whose whole shingle sets are similar enough.
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, text) of the documents whose ids a table of distinct ids holds; null texts are empty.
 
-    Only texts of documents in a pair are read on: a bitmap of fixed size lets through their ids
-    and few others before texts are shuffled.
+    A bitmap of fixed size lets through those rows and few others before texts are shuffled.
     """
-    spark = docs.sparkSession
-    pairs = given = materialize(pairs.select("u", "v"), "near-pairs")
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     ids = materialize(ids.select("id", F.xxhash64("id").alias("h")), "near-ids")
     table = hash_bitmap(ids, "h", 24)
     texts = materialize(
         docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-        .filter(may_hold(table, F.xxhash64("id"), spark))
+        .filter(may_hold(table, F.xxhash64("id"), docs.sparkSession))
         .join(ids.select("id"), "id", "left_semi"),
         "near-texts",
     )
+    discard(ids)
+    return texts
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """The pairs (u, v) of doc_ids whose whole shingle sets are similar enough.
+
+    Only texts of documents in a pair are read on.
+    """
+    pairs = given = materialize(pairs.select("u", "v"), "near-pairs")
+    texts = texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), docs)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,10 +207,109 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
         pairs = pairs.join(own, side)
     linked = pairs.select("u", "v", "u_text", "v_text").mapInArrow(confirm, "u long, v long")
     linked = materialize(linked, "near-linked")
-    discard(given, ids, texts)
+    discard(given, texts)
     return linked
 
 
+def sizes_allow(a: str, b: str) -> str:
+    """Whether sets of these sizes can be similar enough."""
+    return f"least({a}, {b}) * 100 >= greatest({a}, {b}) * {SIMILAR}"
+
+
+def between(rows: DataFrame, keys: list[str], condition: str) -> DataFrame:
+    """Pairs of rows alike in ``keys`` that stand in different components, once for each key.
+
+    Rows need cls, n and comp; the second row's columns are called o_*.  Members of the component
+    that has most rows of a key are not compared with each other.
+    """
+    main = rows.groupBy(*keys, "comp").count().groupBy(*keys)
+    main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
+    rows = rows.join(main, keys)
+    outside = rows.filter("comp <> main").drop("main")
+    outside = outside.select(*keys, *[F.col(c).alias(f"o_{c}") for c in outside.columns if c not in keys])
+    return (
+        outside.join(rows, keys)
+        .filter("comp <> o_comp and (comp = main or cls < o_cls)")
+        .filter(sizes_allow("n", "o_n"))
+        .filter(condition)
+    )
+
+
+def set_values(texts: DataFrame, width: int) -> DataFrame:
+    """(value, own, n) of the whole shingle sets of (own, text): each value with the size of its set."""
+    names = ["value", "own", "n"]
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, owners, size = [], [], 0
+
+        def gathered() -> pa.RecordBatch:
+            sizes = [len(values) for values in held]
+            values = np.concatenate([*held, np.empty(0, np.uint64)]).view(np.int64)
+            columns = [values, np.repeat(np.array(owners, np.int64), sizes), np.repeat(sizes, sizes).astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+        for batch in batches:
+            for own, values in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
+                held.append(values)
+                owners.append(own)
+                size += values.size
+                if size >= GATHERED:
+                    yield gathered()
+                    held, owners, size = [], [], 0
+        yield gathered()
+
+    return texts.select("own", "text").mapInArrow(listed, "value long, own long, n long")
+
+
+def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(u, v) of classes (cls, comp) in different components whose whole sets may be similar enough.
+
+    All values of these sets stand in one order, the rarest among them first.  The first value that
+    two sets x and y of enough similarity share has at most |x| - o values before it in x, and
+    |y| - o in y, where o is the least intersection, 4/9 of |x| + |y|: so they meet under it, and no
+    pair is lost.  Values of one set alone are never shared but count as values before.  Sets meet
+    only under sizes near to each other's, so what is listed depends on the partner's size as well.
+    """
+    found = texts_of(hot.select(F.col("cls").alias("id")).distinct(), docs)
+    rows = found.withColumn("own", F.xxhash64("id", "text"))
+    owners = rows.select("own", F.col("id").alias("cls")).distinct().join(hot, "cls")
+    owners = materialize(owners, "near-owners")
+    values = materialize(set_values(rows.dropDuplicates(["own"]), width), "near-values")
+    discard(found)
+    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    own = Window.partitionBy("own")
+    place = F.row_number().over(own.orderBy("often", "value")) - 1
+    before = F.col("n") - F.count(F.lit(1)).over(own) + place
+    allowed = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100)
+    places = values.join(often, "value").withColumn("before", before).filter(F.col("before") <= allowed)
+
+    def step(n: Column) -> Column:
+        return F.floor(F.log(n) / math.log(STEP))
+
+    mine, other = step(F.col("n")), F.col("other")
+    smallest, largest = F.floor(F.col("n") * SIMILAR / 100), F.ceil(F.col("n") * 100 / SIMILAR)
+    steps = F.sequence(step(F.greatest(smallest, F.lit(1))), step(largest))
+    least = F.greatest(smallest, F.floor(F.pow(F.lit(STEP), other) * 0.999999))  # size of a partner there
+    entries = (
+        places.select("value", "own", "n", "before", F.explode(steps).alias("other"))
+        .filter(F.col("before") * 9 <= F.col("n") * 9 - (F.col("n") + least) * 4)
+        .withColumns({"mine": mine, "low": F.least(mine, other), "high": F.greatest(mine, other)})
+        .drop("other")
+    )
+    entries = listed = materialize(entries.join(owners, "own").drop("own"), "near-entries")
+    keys = ["value", "low", "high"]
+    several = entries.groupBy(*keys).agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("comp", "mine")])
+    several = several.filter("min_comp < max_comp and min_mine = low and max_mine = high")
+    entries = entries.join(several.select(*keys), keys, "left_semi")
+    meet = "before * 9 <= n * 9 - (n + o_n) * 4 and o_before * 9 <= o_n * 9 - (n + o_n) * 4"
+    meet += " and (mine <> o_mine or low = high)"
+    pairs = between(entries, keys, meet)
+    pairs = pairs.select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v")).distinct()
+    pairs = materialize(pairs, "near-met")
+    discard(owners, values, listed)
+    return pairs
+
+
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """Each row's group of near-duplicates: doc_id, n_shingles, component_id, kept.
 
@@ -206,9 +322,10 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     of its lists: the union sketch filters, and the most promising pair of each class is verified on
     the whole sets.  Lists whose members are then in one component are done.  In the others each
     class is compared with a member drawn by lot from each of its lists, which brings in the rest of
-    a large group.  In the lists still open, every class outside the largest component is compared
-    with every member of another component that shares SHARED lists with it, so no link between components
-    is left out; pairs inside a component cannot change the result.
+    a large group.  In the lists still open, no link between components is left out: classes that share
+    SHARED lists, one of them with at most SHORT members, meet in that list and are compared.  Classes
+    in SHARED longer lists meet by their whole sets, so work does not grow with the square of a list.
+    Pairs inside a component cannot change the result.
 
     Null and empty texts, and texts of blanks, have n_shingles 0 and are linked with nothing; so are
     rows with a null doc_id (component_id null, kept).  doc_id names a document: rows repeated with
@@ -234,10 +351,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         ),
         "near-lists",
     )
-
-    def sizes_allow(a: str, b: str) -> str:
-        return f"least({a}, {b}) * 100 >= greatest({a}, {b}) * {SIMILAR}"
-
+    discard(entries)
     star = lists.filter("cls <> head").filter(sizes_allow("n", "head_n"))
     star = star.select(F.col("cls").alias("u"), F.col("head").alias("v")).distinct()
     star = materialize(estimated(star, classes), "near-star")
@@ -256,6 +370,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         return materialize(rest.join(split, "value", "left_semi"), "near-rest")
 
     rest = unresolved(lists.filter("cls <> head"))
+    discard(lists)
     for lot in range(DRAWS):
         if rest.isEmpty():
             break
@@ -272,26 +387,31 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         best = best.agg(F.max_by("v", F.struct("common", "v")).alias("v"))
         more = verified(best, docs, width)
         links = components(links.select("u", F.col("m").alias("v")).unionByName(more))
-        rest = unresolved(rest)
+        few = more.count() * FEW < rest.select("cls").distinct().count()
+        open_before, rest = rest, unresolved(rest)
+        discard(open_before)
+        if few:
+            break
 
-    main = rest.groupBy("value", "comp").count().groupBy("value")
-    main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    rest = rest.join(main, "value")
-    outside = rest.filter("comp <> main")
-    outside = outside.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "comp")])
-    smaller = F.least("n", "o_n", F.lit(K))
+    long = rest.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter(f"members > {SHORT}").select("value")
+    # A pair shares as many lists as this, and sizes that allow it give both classes the same number.
+    least = F.least(F.ceil(F.least("n", F.lit(K)) * SIMILAR / 100), F.lit(SHARED))
+    many = rest.join(long, "value").groupBy("cls").agg(F.count(F.lit(1)).alias("many"))
+    many = materialize(many, "near-many")
+    short = rest.join(long, "value", "left_anti").join(many, "cls", "left")
+    short = short.withColumn("many", F.coalesce("many", F.lit(0))).withColumn("hot", F.col("many") >= least)
     across = (
-        outside.join(rest, "value")
-        .filter("comp <> o_comp and (comp = main or cls < o_cls)")  # a pair once for each list
-        .filter(sizes_allow("n", "o_n"))
+        between(short, ["value"], "not (hot and o_hot)")  # those two meet by their whole sets
         .groupBy(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v"))
-        .agg(F.count(F.lit(1)).alias("lists"), F.min(F.least(F.ceil(smaller * SIMILAR / 100), F.lit(SHARED))).alias("least"))
-        .filter("lists >= least")
+        .agg(F.count(F.lit(1)).alias("lists"), F.min(F.least("many", "o_many")).alias("others"), F.min(least).alias("least"))
+        .filter("lists + others >= least")
         .select("u", "v")
     )
+    hot = rest.join(many, "cls").filter(F.col("many") >= least).select("cls", "comp").distinct()
+    whole = by_whole_sets(materialize(hot, "near-hot"), docs, width)
     open_star = in_component(in_component(star, "u", "u_comp"), "v", "v_comp").filter("u_comp <> v_comp")
-    more = estimated(across, classes).unionByName(open_star.select("u", "v", "common"))
-    more = verified(more.select("u", "v").distinct(), docs, width)
+    more = estimated(across, classes).select("u", "v").unionByName(open_star.select("u", "v")).unionByName(whole)
+    more = verified(more.distinct(), docs, width)
     links = components(links.select("u", F.col("m").alias("v")).unionByName(more))
     named = in_component(classes.select("n", "f1", "f2", "cls"), "cls", "component_id")
     return (

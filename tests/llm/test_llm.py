@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +144,49 @@ def test_near_group_of_many(spark):
     assert got == brute.near(rows)
 
 
+def _group_with_far_copies() -> list[tuple]:
+    """300 copies of a text that stay similar enough to it, and 100 that do not."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for doc in range(400):
+        own = list(words)
+        for place in rng.sample(range(150), 4 if doc % 4 else 12):
+            own[place] = f"x{rng.randrange(1000)}"
+        rows.append((doc, " ".join(own)))
+    return rows
+
+
+def test_near_group_with_far_copies(spark, monkeypatch):
+    """Copies too far from the rest of their group are not compared with each of its members."""
+    rows, compared, plain = _group_with_far_copies(), [], minhash.verified
+
+    def counted(pairs, docs, width):
+        compared.append(pairs.count())
+        return plain(pairs, docs, width)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(minhash.near_duplicates(docs, 2), "n_shingles", "component_id") == brute.near(rows)
+    assert sum(compared) < 10 * len(rows)
+
+
+def test_near_by_whole_sets(spark, rows, docs, monkeypatch):
+    """Of classes that meet by their whole sets no linked pair is left out, and few others are met."""
+    some = [*_group_with_far_copies(), (400, "a b c d"), (401, "a b c d e"), (402, "a b"), (403, "a b a b")]
+    sets = {d: set(s.tolist()) for (d, _), s in zip(some, minhash.shingle_sets(pa.array([t for _, t in some]), 2))}
+    hot = spark.createDataFrame([(d, d) for d, _ in some], "cls long, comp long")
+    table = spark.createDataFrame(some + some[:50], "doc_id long, text string")  # some come twice
+    met = [(r.u, r.v) for r in minhash.by_whole_sets(hot, table, 2).collect()]
+    linked = {(a, b) for a in sets for b in sets if b < a and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(met) == len(set(met)) and linked <= set(met)
+    assert not {(u, v) for u, v in met if u % 4 == 0 and v % 4 == 0 and u < 400} - linked
+    monkeypatch.setattr(minhash, "SHORT", 1)
+    monkeypatch.setattr(minhash, "DRAWS", 0)
+    got = by_id(minhash.near_duplicates(docs, 2), "n_shingles", "component_id")
+    assert got == brute.near(rows)
+
+
 def test_repeated_bytes(rows, docs, odd, nothing):
     got = byterepeats.remove_repeated_bytes(docs)
     assert set(docs.columns) <= set(got.columns)
