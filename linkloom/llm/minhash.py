@@ -236,8 +236,8 @@ def between(rows: DataFrame, keys: list[str], condition: str) -> DataFrame:
 
 
 def set_values(texts: DataFrame, width: int) -> DataFrame:
-    """(value, own, n) of the whole shingle sets of (own, text): each value with the size of its set."""
-    names = ["value", "own", "n"]
+    """(value, own, cls, comp, n) of the whole sets of (own, cls, comp, text): each value with its set's size."""
+    names = ["value", "own", "cls", "comp", "n"]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, owners, size = [], [], 0
@@ -245,11 +245,13 @@ def set_values(texts: DataFrame, width: int) -> DataFrame:
         def gathered() -> pa.RecordBatch:
             sizes = [len(values) for values in held]
             values = np.concatenate([*held, np.empty(0, np.uint64)]).view(np.int64)
-            columns = [values, np.repeat(np.array(owners, np.int64), sizes), np.repeat(sizes, sizes).astype(np.int64)]
+            of = np.array(owners, np.int64).reshape(-1, 3)
+            columns = [values, *[np.repeat(c, sizes) for c in of.T], np.repeat(sizes, sizes).astype(np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for batch in batches:
-            for own, values in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
+            of = zip(*[batch.column(i).to_pylist() for i in range(3)])
+            for own, values in zip(of, shingle_sets(batch.column(3), width)):
                 held.append(values)
                 owners.append(own)
                 size += values.size
@@ -258,7 +260,8 @@ def set_values(texts: DataFrame, width: int) -> DataFrame:
                     held, owners, size = [], [], 0
         yield gathered()
 
-    return texts.select("own", "text").mapInArrow(listed, "value long, own long, n long")
+    schema = "value long, own long, cls long, comp long, n long"
+    return texts.select("own", "cls", "comp", "text").mapInArrow(listed, schema)
 
 
 def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -271,9 +274,7 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     only under sizes near to each other's, so what is listed depends on the partner's size as well.
     """
     found = texts_of(hot.select(F.col("cls").alias("id")).distinct(), docs)
-    rows = found.withColumn("own", F.xxhash64("id", "text"))
-    owners = rows.select("own", F.col("id").alias("cls")).distinct().join(hot, "cls")
-    owners = materialize(owners, "near-owners")
+    rows = found.withColumnRenamed("id", "cls").join(hot, "cls").withColumn("own", F.xxhash64("cls", "text"))
     values = materialize(set_values(rows.dropDuplicates(["own"]), width), "near-values")
     discard(found)
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
@@ -291,12 +292,12 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     steps = F.sequence(step(F.greatest(smallest, F.lit(1))), step(largest))
     least = F.greatest(smallest, F.floor(F.pow(F.lit(STEP), other) * 0.999999))  # size of a partner there
     entries = (
-        places.select("value", "own", "n", "before", F.explode(steps).alias("other"))
+        places.select("value", "cls", "comp", "n", "before", F.explode(steps).alias("other"))
         .filter(F.col("before") * 9 <= F.col("n") * 9 - (F.col("n") + least) * 4)
         .withColumns({"mine": mine, "low": F.least(mine, other), "high": F.greatest(mine, other)})
         .drop("other")
     )
-    entries = listed = materialize(entries.join(owners, "own").drop("own"), "near-entries")
+    entries = listed = materialize(entries, "near-entries")
     keys = ["value", "low", "high"]
     several = entries.groupBy(*keys).agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("comp", "mine")])
     several = several.filter("min_comp < max_comp and min_mine = low and max_mine = high")
@@ -306,7 +307,7 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     pairs = between(entries, keys, meet)
     pairs = pairs.select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v")).distinct()
     pairs = materialize(pairs, "near-met")
-    discard(owners, values, listed)
+    discard(values, listed)
     return pairs
 
 
