@@ -187,6 +187,8 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     Only texts of documents in a pair are read on.
     """
     pairs = given = materialize(pairs.select("u", "v"), "near-pairs")
+    if given.isEmpty():
+        return given
     texts = texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), docs)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +275,8 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     pair is lost.  Values of one set alone are never shared but count as values before.  Sets meet
     only under sizes near to each other's, so what is listed depends on the partner's size as well.
     """
+    if hot.isEmpty():
+        return hot.select(F.col("cls").alias("u"), F.col("cls").alias("v"))
     found = texts_of(hot.select(F.col("cls").alias("id")).distinct(), docs)
     rows = found.withColumnRenamed("id", "cls").join(hot, "cls").withColumn("own", F.xxhash64("cls", "text"))
     values = materialize(set_values(rows.dropDuplicates(["own"]), width), "near-values")

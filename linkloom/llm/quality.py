@@ -222,8 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         .sort_values(["doc_id", "stats"])
         .drop_duplicates("doc_id")
     )
-    found = [
-        (np.frombuffer(p, "<i4").astype(np.int64), np.frombuffer(w, "<f4").astype(float), np.frombuffer(s, "<f8"))
+    found = [  # as they came; a batch of the fit is widened when its turn comes
+        (np.frombuffer(p, "<i4"), np.frombuffer(w, "<f4"), np.frombuffer(s, "<f8"))
         for p, w, s in zip(got["places"], got["weights"], got["stats"])
     ]
     return fit(found, got["label"].to_numpy(float))
