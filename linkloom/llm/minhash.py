@@ -39,6 +39,8 @@ FEW = 1000
 SHORT = 128
 #: Ratio of the sizes of whole sets that are listed together.
 STEP = 1.05
+#: Members at most that are drawn by lot from each list of whole sets.
+LOTS = 64
 #: Values of whole sets that a task gathers before it writes them.
 GATHERED = 1 << 16
 
@@ -186,10 +188,17 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
     Only texts of documents in a pair are read on.
     """
-    pairs = given = materialize(pairs.select("u", "v"), "near-pairs")
-    if given.isEmpty():
-        return given
+    pairs = materialize(pairs.select("u", "v"), "near-pairs")
+    if pairs.isEmpty():
+        return pairs
     texts = texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), docs)
+    linked = confirmed(pairs, texts, width)
+    discard(pairs, texts)
+    return linked
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The same with the texts (id, text) of the documents in the pairs."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,9 +217,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
         own = texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))
         pairs = pairs.join(own, side)
     linked = pairs.select("u", "v", "u_text", "v_text").mapInArrow(confirm, "u long, v long")
-    linked = materialize(linked, "near-linked")
-    discard(given, texts)
-    return linked
+    return materialize(linked, "near-linked")
 
 
 def sizes_allow(a: str, b: str) -> str:
@@ -218,15 +225,20 @@ def sizes_allow(a: str, b: str) -> str:
     return f"least({a}, {b}) * 100 >= greatest({a}, {b}) * {SIMILAR}"
 
 
+def with_main(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with main, the component that has most rows of their key, and members, the rows of the key."""
+    main = rows.groupBy(*keys, "comp").count().groupBy(*keys)
+    main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.sum("count").alias("members"))
+    return rows.join(main, keys)
+
+
 def between(rows: DataFrame, keys: list[str], condition: str) -> DataFrame:
     """Pairs of rows alike in ``keys`` that stand in different components, once for each key.
 
     Rows need cls, n and comp; the second row's columns are called o_*.  Members of the component
     that has most rows of a key are not compared with each other.
     """
-    main = rows.groupBy(*keys, "comp").count().groupBy(*keys)
-    main = main.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    rows = rows.join(main, keys)
+    rows = with_main(rows, keys).drop("members")
     outside = rows.filter("comp <> main").drop("main")
     outside = outside.select(*keys, *[F.col(c).alias(f"o_{c}") for c in outside.columns if c not in keys])
     return (
@@ -237,6 +249,22 @@ def between(rows: DataFrame, keys: list[str], condition: str) -> DataFrame:
     )
 
 
+def by_lot(rows: DataFrame, keys: list[str], condition: str, lot: int) -> DataFrame:
+    """Of the pairs of :func:`between` under keys of more than LOTS rows, those with a row drawn by lot.
+
+    LOTS rows are drawn for each key, at most one from each of LOTS parts of its rows.  Only rows
+    outside of the component that has most rows of the key meet them, so pairs grow with the rows.
+    """
+    rows = with_main(rows, keys).filter(f"members > {LOTS}")
+    chance = F.xxhash64("cls", *keys, F.lit(lot))
+    others = [c for c in rows.columns if c not in (*keys, "main", "members")]
+    drawn = rows.groupBy(*keys, F.pmod(chance, F.lit(LOTS)).alias("part"))
+    drawn = drawn.agg(F.min(F.struct(chance.alias("h"), *others)).alias("o"))
+    drawn = drawn.select(*keys, *[F.col(f"o.{c}").alias(f"o_{c}") for c in others])
+    met = rows.filter("comp <> main").join(drawn, keys).filter("comp <> o_comp")
+    return met.filter(sizes_allow("n", "o_n")).filter(condition)
+
+
 def set_values(texts: DataFrame, width: int) -> DataFrame:
     """(value, own, cls, comp, n) of the whole sets of (own, cls, comp, text): each value with its set's size."""
     names = ["value", "own", "cls", "comp", "n"]
@@ -266,7 +294,7 @@ def set_values(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("own", "cls", "comp", "text").mapInArrow(listed, schema)
 
 
-def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int, draws: int = 0) -> DataFrame:
     """(u, v) of classes (cls, comp) in different components whose whole sets may be similar enough.
 
     All values of these sets stand in one order, the rarest among them first.  The first value that
@@ -274,13 +302,16 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     |y| - o in y, where o is the least intersection, 4/9 of |x| + |y|: so they meet under it, and no
     pair is lost.  Values of one set alone are never shared but count as values before.  Sets meet
     only under sizes near to each other's, so what is listed depends on the partner's size as well.
+
+    A class outside a large component may meet all of it, though a single link would do.  So members
+    of the lists are drawn by lot first, ``draws`` times, and classes that are linked with one join
+    its component; of the pairs inside the components of then only these links are returned.
     """
     if hot.isEmpty():
         return hot.select(F.col("cls").alias("u"), F.col("cls").alias("v"))
     found = texts_of(hot.select(F.col("cls").alias("id")).distinct(), docs)
     rows = found.withColumnRenamed("id", "cls").join(hot, "cls").withColumn("own", F.xxhash64("cls", "text"))
     values = materialize(set_values(rows.dropDuplicates(["own"]), width), "near-values")
-    discard(found)
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     own = Window.partitionBy("own")
     place = F.row_number().over(own.orderBy("often", "value")) - 1
@@ -305,13 +336,31 @@ def by_whole_sets(hot: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     keys = ["value", "low", "high"]
     several = entries.groupBy(*keys).agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("comp", "mine")])
     several = several.filter("min_comp < max_comp and min_mine = low and max_mine = high")
-    entries = entries.join(several.select(*keys), keys, "left_semi")
+    entries = shared = materialize(entries.join(several.select(*keys), keys, "left_semi"), "near-shared")
+    discard(values, listed)
     meet = "before * 9 <= n * 9 - (n + o_n) * 4 and o_before * 9 <= o_n * 9 - (n + o_n) * 4"
     meet += " and (mine <> o_mine or low = high)"
-    pairs = between(entries, keys, meet)
-    pairs = pairs.select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v")).distinct()
-    pairs = materialize(pairs, "near-met")
-    discard(values, listed)
+
+    def distinct_pairs(met: DataFrame, label: str) -> DataFrame:
+        pairs = met.select(F.greatest("cls", "o_cls").alias("u"), F.least("cls", "o_cls").alias("v"))
+        return materialize(pairs.distinct(), label)
+
+    linked = []
+    for lot in range(draws):
+        drawn = distinct_pairs(by_lot(entries, keys, meet, lot), "near-drawn")
+        more = drawn if drawn.isEmpty() else confirmed(drawn, found, width)
+        if more.isEmpty():
+            break
+        linked.append(more)
+        links = hot.select(F.col("cls").alias("u"), F.col("comp").alias("v"))
+        for more in linked:
+            links = links.unionByName(more)
+        joined = components(links).withColumnRenamed("u", "cls")
+        entries = shared.join(joined, "cls", "left").withColumn("comp", F.coalesce("m", "cls")).drop("m")
+    pairs = distinct_pairs(between(entries, keys, meet), "near-met")
+    discard(found, shared)
+    for more in linked:
+        pairs = pairs.unionByName(more)
     return pairs
 
 
@@ -329,7 +378,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     class is compared with a member drawn by lot from each of its lists, which brings in the rest of
     a large group.  In the lists still open, no link between components is left out: classes that share
     SHARED lists, one of them with at most SHORT members, meet in that list and are compared.  Classes
-    in SHARED longer lists meet by their whole sets, so work does not grow with the square of a list.
+    in SHARED longer lists meet by their whole sets, members drawn by lot first, so work does not grow
+    with the square of a list.
     Pairs inside a component cannot change the result.
 
     Null and empty texts, and texts of blanks, have n_shingles 0 and are linked with nothing; so are
@@ -413,7 +463,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         .select("u", "v")
     )
     hot = rest.join(many, "cls").filter(F.col("many") >= least).select("cls", "comp").distinct()
-    whole = by_whole_sets(materialize(hot, "near-hot"), docs, width)
+    whole = by_whole_sets(materialize(hot, "near-hot"), docs, width, DRAWS)
     open_star = in_component(in_component(star, "u", "u_comp"), "v", "v_comp").filter("u_comp <> v_comp")
     more = estimated(across, classes).select("u", "v").unionByName(open_star.select("u", "v")).unionByName(whole)
     more = verified(more.distinct(), docs, width)

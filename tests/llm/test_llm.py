@@ -187,6 +187,34 @@ def test_near_by_whole_sets(spark, rows, docs, monkeypatch):
     assert got == brute.near(rows)
 
 
+def test_whole_sets_meet_by_lot(spark, monkeypatch):
+    """Classes that link to a few members of a large component do not meet all of it, and no component is lost."""
+    rng, rows = random.Random(5), []
+    for doc in range(600):
+        own = [f"w{i}" for i in range(150)]
+        for place in rng.sample(range(150), 6 if doc < 520 else 7):
+            own[place] = "x"
+        rows.append((doc, " ".join(own)))
+    sets = {d: set(s.tolist()) for (d, _), s in zip(rows, minhash.shingle_sets(pa.array([t for _, t in rows]), 2))}
+    near = {(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    hot = [(d, 0 if d < 520 else d) for d in sets]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "LOTS", 16)
+    full = minhash.by_whole_sets(spark.createDataFrame(hot, "cls long, comp long"), table, 2)
+    drawn = minhash.by_whole_sets(spark.createDataFrame(hot, "cls long, comp long"), table, 2, minhash.DRAWS)
+    full, drawn = ({(r.u, r.v) for r in found.collect()} for found in (full, drawn))
+
+    def joined(pairs):
+        names = dict(hot)
+        for a, b in pairs & near:
+            old, new = max(names[a], names[b]), min(names[a], names[b])
+            names = {d: new if c == old else c for d, c in names.items()}
+        return names
+
+    assert len(set(joined(full).values())) < 80 and joined(drawn) == joined(full) == joined(near)
+    assert 2 * len(drawn) < len(full)
+
+
 def test_repeated_bytes(rows, docs, odd, nothing):
     got = byterepeats.remove_repeated_bytes(docs)
     assert set(docs.columns) <= set(got.columns)
