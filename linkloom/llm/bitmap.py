@@ -15,9 +15,16 @@ from linkloom.session import discard, materialize
 
 #: Bits of the bitmap; 2**27 bits are 16 MB, on the driver and on each executor.
 BITMAP_BITS = 27
+#: Bits that :func:`bits_for` goes up to: 32 MB.
+MOST_BITS = 28
 _BUCKET_BITS = 15  # bitmap_construct_agg makes bitmaps of 32,768 bits
 
 
+def bits_for(n: int) -> int:
+    """Bits of a bitmap of which n hashes set about an eighth at most, while MOST_BITS allow it."""
+    return min(MOST_BITS, max(BITMAP_BITS, (8 * n - 1).bit_length()))
+
+
 def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """The bitmap of a long column as 2**bits / 8 bytes.
 

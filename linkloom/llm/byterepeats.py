@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.llm.bitmap import hash_bitmap, in_bitmap, may_hold
-from linkloom.llm.copies import copies, keyed, texts, with_decisions, without
+from linkloom.llm.bitmap import bits_for, hash_bitmap, in_bitmap, may_hold
+from linkloom.llm.copies import by_decisions, copies, keyed, texts, without
 from linkloom.llm.quotient import repeated
 from linkloom.llm.words import mixed
 from linkloom.session import discard, materialize
@@ -100,20 +100,24 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 def _held(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """:func:`in_bitmap`, looked up once for each run of equal values."""
+    """:func:`in_bitmap` of the values' prints, looked up once for each run of equal values."""
     heads = _runs(values)
-    return np.repeat(in_bitmap(table, values[heads]), np.diff(np.r_[heads, values.size]))
+    return np.repeat(in_bitmap(table, mixed(values[heads])), np.diff(np.r_[heads, values.size]))
 
 
 def _once(values: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """The values, each once for each text that has it."""
+    """The prints of the values, each once for each text that has it.
+
+    Values are least hashes, which crowd at the low end: by their first bits they would share few
+    places of a bitmap and few blocks of a filter.  Mixed again they spread over all, one to one.
+    """
     order = np.lexsort((text, values))
     values, text = values[order], text[order]
-    return values[_runs(values, text)]
+    return mixed(values[_runs(values, text)])
 
 
 def trigger_hashes(column: pa.Array) -> Iterator[np.ndarray]:
-    """The trigger hashes of each text's windows, each once a text."""
+    """The prints of the trigger hashes of each text's windows, each once a text."""
     for _, data, lengths in together(column):
         found = window_triggers(gram_hashes(data))
         whole, text = _windows(lengths)
@@ -123,7 +127,7 @@ def trigger_hashes(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def context_hashes(table: Broadcast) -> Callable[[pa.Array], Iterator[np.ndarray]]:
-    """The context hashes of each text's windows whose trigger may repeat, each once a text."""
+    """The prints of the context hashes of each text's windows whose trigger may repeat, each once a text."""
 
     def find(column: pa.Array) -> Iterator[np.ndarray]:
         for _, data, lengths in together(column):
@@ -336,10 +340,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     distinct = without(rows, whole)
     n = distinct.select(F.sum(F.octet_length("_text"))).first()[0] or 0
     send = rows.sparkSession.sparkContext.broadcast
-    prints = repeated(distinct, "_text", n // 18, 4, trigger_hashes)
-    triggers = send(hash_bitmap(prints.select("print"), "print"))
-    prints = repeated(distinct, "_text", n // 18, 4, context_hashes(triggers))
-    contexts = send(hash_bitmap(prints.select("print"), "print"))
+
+    def repeating(prints: Callable[[pa.Array], Iterator[np.ndarray]]) -> Broadcast:
+        found = materialize(repeated(distinct, "_text", n // 18, 4, prints).select("print"), "prints")
+        table = send(hash_bitmap(found, "print", bits_for(found.count())))
+        discard(found)
+        return table
+
+    triggers = repeating(trigger_hashes)
+    contexts = repeating(context_hashes(triggers))
     parsed = materialize(parse(distinct, triggers, contexts), "parse")
     name = ["trigger", "p"]
     found = parsed.filter("phrase is not null").select(*name, "phrase", "first", "last")
@@ -427,8 +436,13 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     remove anything from each other.  Other columns come out as they are.  No rows in, no rows out.
     """
     rows = keyed(docs)
-    decided = with_decisions(rows, repeated_spans(texts(rows)))
+    decided, plain = by_decisions(rows, repeated_spans(texts(rows)))
     text = F.coalesce(F.col("_row.text"), F.lit(""))
-    result = decided.withColumn("_kept", _kept(text, F.col("spans.a"), F.col("spans.b"), "copy"))
+    kept = _kept(text, F.col("spans.a"), F.col("spans.b"), "copy")
+    # Texts that lose nothing do not go through Python.
+    none = F.lit(0).cast("long")
+    whole = [F.octet_length(text).cast("long"), none, none, text.cast("binary")]
+    whole = F.struct(*[c.alias(n) for c, n in zip(whole, KEPT.names)])
+    result = decided.select("_row", kept.alias("_kept")).unionByName(plain.select("_row", whole.alias("_kept")))
     others = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in KEPT.names]
     return result.select(*others, "_kept.*")

@@ -45,15 +45,21 @@ def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.filter(~maybe).unionByName(rows.filter(maybe).join(keys, keys.columns, "left_anti"))
 
 
-def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows with the columns of ``decisions`` (by _k and _h; null where there are none).
+def by_decisions(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with the columns of ``decisions`` (by _k and _h; null where there are none), and rows that
+    surely have none, as they are.
 
-    As in :func:`without`, texts of rows that surely have none are not moved.
+    As in :func:`without`, texts of the latter are not moved.
     """
     maybe = _may_have(rows, decisions, ["_k", "_h"])
-    joined = rows.filter(maybe).join(decisions, ["_k", "_h"], "left")
+    return rows.filter(maybe).join(decisions, ["_k", "_h"], "left"), rows.filter(~maybe)
+
+
+def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """All rows of :func:`by_decisions` with the columns of ``decisions``."""
+    joined, plain = by_decisions(rows, decisions)
     added = [f for f in decisions.schema.fields if f.name not in ("_k", "_h")]
-    plain = rows.filter(~maybe).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+    plain = plain.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
     return joined.unionByName(plain)
 
 

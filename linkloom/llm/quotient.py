@@ -28,6 +28,11 @@ def block_bits_for(n: int) -> int:
     return min(24, max(5, (max(1, n) // PER_BLOCK).bit_length()))
 
 
+def _narrow(lengths: np.ndarray) -> bytes:
+    """In as few bytes each as the largest needs: the more blocks, the shorter the runs."""
+    return lengths.astype(np.min_scalar_type(int(lengths.max())).newbyteorder("<")).tobytes()
+
+
 def build(prints: np.ndarray, block_bits: int, remainder_bytes: int) -> Iterator[dict]:
     """The blocks of the filter of some 64-bit fingerprints.
 
@@ -51,9 +56,7 @@ def build(prints: np.ndarray, block_bits: int, remainder_bytes: int) -> Iterator
         places = np.flatnonzero(own > 1)
         yield {
             "block": int(blocks[start]),
-            "runs": np.bincount(quotients[start:end], minlength=1 << QUOTIENT_BITS)
-            .astype("<u4")
-            .tobytes(),
+            "runs": _narrow(np.bincount(quotients[start:end], minlength=1 << QUOTIENT_BITS)),
             "remainders": packed[start:end].tobytes(),
             "places": places.astype("<u4").tobytes(),
             "counts": own[places].astype("<i8").tobytes(),
@@ -64,7 +67,7 @@ def merge(filters: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Quotient and remainder joined again, ascending, and their counts, over filters of one block."""
     values, counts = [], []
     for row in filters.itertuples(index=False):
-        runs = np.frombuffer(row.runs, "<u4")
+        runs = np.frombuffer(row.runs, f"<u{len(row.runs) >> QUOTIENT_BITS}").astype(np.int64)
         n = int(runs.sum())
         packed = np.frombuffer(row.remainders, np.uint8).reshape(n, -1)
         wide = np.zeros((n, 8), np.uint8)

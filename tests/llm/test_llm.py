@@ -103,6 +103,24 @@ def test_repeated_and_bitmap(spark):
     assert want.keys() <= kept and len(kept) < 310
 
 
+def test_filters_stay_small_with_many_blocks():
+    values = np.random.default_rng(2).integers(0, 2**64, 1 << 14, dtype=np.uint64)
+    blocks = [*quotient.build(values, 12, 4)]
+    assert sum(len(b["runs"]) for b in blocks) == len(blocks) << 8
+    assert bitmap.bits_for(0) == bitmap.bits_for(1 << 24) == 27 < bitmap.bits_for(3 << 23) <= bitmap.bits_for(1 << 40)
+
+
+def test_prints_of_least_hashes_spread():
+    """By their first bits, which place them in a bitmap; as they are, nearly all are below 1/8."""
+    rng = random.Random(4)
+    texts = pa.array(["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(5)])
+    table = np.full(1 << 10, 255, np.uint8)
+    every = type("Sent", (), {"value": table})
+    for find in (byterepeats.trigger_hashes, byterepeats.context_hashes(every)):
+        prints = np.concatenate([*find(texts)])
+        assert prints.size > 500 and np.bincount((prints >> np.uint64(61)).astype(int), minlength=8).max() < prints.size / 5
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 3)]
     got = {r.u: r.m for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
