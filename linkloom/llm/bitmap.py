@@ -25,18 +25,33 @@ def bits_for(n: int) -> int:
     return min(MOST_BITS, max(BITMAP_BITS, (8 * n - 1).bit_length()))
 
 
-def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """The bitmap of a long column as 2**bits / 8 bytes.
-
-    The driver gets at most 2**(bits - 15) rows of 4 KB, whatever the number of hashes.
-    """
+def bitmap_parts(hashes: DataFrame, column: str, bits: int) -> DataFrame:
+    """The bitmap of a long column as a table of its own: (bucket, bits), 4 KB for each bucket that has any."""
     place = F.shiftrightunsigned(column, 64 - bits)  # the first bits of the hash
     parts = (
         hashes.select(place.alias("place"))
         .groupBy(F.shiftright("place", _BUCKET_BITS).alias("bucket"))
         .agg(F.expr(f"bitmap_construct_agg(place & {(1 << _BUCKET_BITS) - 1})").alias("bits"))
     )
-    parts = materialize(parts, "bitmap")  # shuffle files of what was hashed go
+    return materialize(parts, "bitmap")  # shuffle files of what was hashed go
+
+
+def part_holds(hashed: Column, bits: int) -> tuple[Column, Column]:
+    """Which row of :func:`bitmap_parts` a hash goes with, and whether that row has it."""
+    place = F.shiftrightunsigned(hashed, 64 - bits)
+    inside = place.bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1))
+    at = (F.shiftright(inside, 3) + 1).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", at, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (inside.bitwiseAND(F.lit(7)) + 1).cast("int"))
+    return F.shiftright(place, _BUCKET_BITS) == F.col("bucket"), byte.bitwiseAND(mask) != 0
+
+
+def hash_bitmap(hashes: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """The bitmap of a long column as 2**bits / 8 bytes.
+
+    The driver gets at most 2**(bits - 15) rows of 4 KB, whatever the number of hashes.
+    """
+    parts = bitmap_parts(hashes, column, bits)
     size = 1 << (_BUCKET_BITS - 3)
     table = np.zeros(1 << (bits - 3), dtype=np.uint8)
     for row in parts.toLocalIterator():

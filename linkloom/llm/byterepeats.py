@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm.bitmap import bits_for, hash_bitmap, in_bitmap, may_hold
-from linkloom.llm.copies import by_decisions, copies, keyed, texts, without
+from linkloom.llm.copies import apart, copies, keyed, texts
 from linkloom.llm.quotient import repeated
 from linkloom.llm.words import mixed
 from linkloom.session import discard, materialize
@@ -337,7 +337,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     phrases' names, gives the spans.
     """
     whole = copies(rows)
-    distinct = without(rows, whole)
+    maybe, rest, marks = apart(rows, whole)
+    distinct = rest.unionByName(maybe.join(whole, ["_k", "_h"], "left_anti"))
     n = distinct.select(F.sum(F.octet_length("_text"))).first()[0] or 0
     send = rows.sparkSession.sparkContext.broadcast
 
@@ -387,7 +388,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     kind = spans.schema["spans"].dataType
     copied = whole.select("_k", "_h", F.lit(None).cast(kind).alias("spans"), F.lit(True).alias("copy"))
     spans = materialize(spans.unionByName(copied), "repeat-spans")
-    discard(whole, parsed, repeats)
+    discard(whole, marks, parsed, repeats)
     for table in (triggers, contexts):
         table.destroy()
     return spans
@@ -436,7 +437,9 @@ def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     remove anything from each other.  Other columns come out as they are.  No rows in, no rows out.
     """
     rows = keyed(docs)
-    decided, plain = by_decisions(rows, repeated_spans(texts(rows)))
+    spans = repeated_spans(texts(rows))
+    maybe, plain, _ = apart(rows, spans)
+    decided = maybe.join(spans, ["_k", "_h"], "left")
     text = F.coalesce(F.col("_row.text"), F.lit(""))
     kept = _kept(text, F.col("spans.a"), F.col("spans.b"), "copy")
     # Texts that lose nothing do not go through Python.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.bitmap import hash_bitmap, may_hold
+from linkloom.llm.bitmap import bitmap_parts, hash_bitmap, may_hold, part_holds
 from linkloom.session import discard, materialize
 
 #: Stands for a null doc_id: smaller than any other.
@@ -45,24 +45,30 @@ def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.filter(~maybe).unionByName(rows.filter(maybe).join(keys, keys.columns, "left_anti"))
 
 
-def by_decisions(rows: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with the columns of ``decisions`` (by _k and _h; null where there are none), and rows that
-    surely have none, as they are.
+def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Rows with the columns of ``decisions`` (by _k and _h; null where there are none).
 
-    As in :func:`without`, texts of the latter are not moved.
+    As in :func:`without`, texts of rows that surely have none are not moved.
     """
     maybe = _may_have(rows, decisions, ["_k", "_h"])
-    return rows.filter(maybe).join(decisions, ["_k", "_h"], "left"), rows.filter(~maybe)
-
-
-def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
-    """All rows of :func:`by_decisions` with the columns of ``decisions``."""
-    joined, plain = by_decisions(rows, decisions)
+    joined = rows.filter(maybe).join(decisions, ["_k", "_h"], "left")
     added = [f for f in decisions.schema.fields if f.name not in ("_k", "_h")]
-    plain = plain.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+    plain = rows.filter(~maybe).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
     return joined.unionByName(plain)
 
 
+def apart(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows whose _k and _h may be among those of ``keys``, rows for which a bitmap of fixed size rules
+    that out, and the table of that bitmap, which both read.
+
+    The bitmap is broadcast and tested in the JVM, so a task that goes on in Python needs no second worker.
+    """
+    parts = bitmap_parts(keys.select(F.xxhash64("_k", "_h").alias("h")), "h", 25)
+    bucket, held = part_holds(F.xxhash64("_k", "_h"), 25)
+    marked = rows.join(F.broadcast(parts), bucket, "left").select(*rows.columns, F.coalesce(held, F.lit(False)).alias("_may"))
+    return marked.filter("_may").drop("_may"), marked.filter("not _may").drop("_may"), parts
+
+
 def _may_have(rows: DataFrame, keys: DataFrame, on: list[str]) -> Column:
     table = hash_bitmap(keys.select(F.xxhash64(*on).alias("h")), "h", 25)
     return may_hold(table, F.xxhash64(*on), rows.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from linkloom.llm import bitmap, byterepeats, exact, minhash, packing, quality, quotient, sharding, wordrepeats
+from linkloom.llm import bitmap, byterepeats, copies, exact, minhash, packing, quality, quotient, sharding, wordrepeats
 from linkloom.llm.bpe import Encoder, Vocabulary, decode, encode, token_digests
 from linkloom.llm.chat import chat_examples
 from linkloom.llm.components import components
@@ -121,6 +121,18 @@ def test_prints_of_least_hashes_spread():
         assert prints.size > 500 and np.bincount((prints >> np.uint64(61)).astype(int), minlength=8).max() < prints.size / 5
 
 
+def test_rows_apart_by_a_bitmap_in_the_jvm(spark):
+    rows = spark.range(3000).select(F.col("id").alias("_k"), F.xxhash64("id").alias("_h"), F.lit("x").alias("_text"))
+    keys = rows.filter("_k % 3 = 0").select("_k", "_h")
+    maybe, rest, parts = copies.apart(rows, keys)
+    found, others = ({r["_k"] for r in x.collect()} for x in (maybe, rest))
+    assert found >= set(range(0, 3000, 3)) and len(found) < 1010 and found | others == set(range(3000)) and not found & others
+    assert maybe.columns == rest.columns == rows.columns and parts.count() > 500
+    assert "Python" not in maybe._jdf.queryExecution().toString()
+    none = copies.apart(rows, keys.limit(0))
+    assert none[0].count() == 0 and none[1].count() == 3000
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 3)]
     got = {r.u: r.m for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
